@@ -33,25 +33,19 @@ def _record_rules(suffix: Column, split_flagged: Column, choices: bool) -> dict:
 
 
 def latest_life_status() -> Column:
-    """Latest life of a history table."""
+    """The newest life of a key that was found."""
     suffix = part("matched_pc_norm", "matched_pc_base")
     r = _record_rules(suffix, suffix == "A", True)
-    return first_rule([(F.col("postcode_key").isNull(), "missing_postcode"),
-                       (F.col("matched_pc_norm").isNull(), "not_found"),
-                       *r["undecided"], *r["geography"], *r["found"]], "matched")
+    return first_rule([*r["undecided"], *r["geography"], *r["found"]], "matched")
 
 
-def as_of_status() -> Column:
-    """The life on a date, with the reasons a date can find none."""
+def stretch_status() -> Column:
+    """A stretch of days of a known key; the stretch before its first life has no start."""
     suffix = part("matched_pc_norm", "matched_pc_base")
     r = _record_rules(suffix, suffix == "A", True)
     none = F.col("matched_pc_norm").isNull()
-    when = F.col("address_date")
     return first_rule([
-        (F.col("postcode_key").isNull(), "missing_postcode"),
-        (F.col("first_introduced_on").isNull(), "not_found"),
-        (none & when.isNull(), "missing_address_date"),
-        (none & (when < F.col("first_introduced_on")), "postcode_not_yet_introduced"),
+        (none & F.col("seg_from").isNull(), "postcode_not_yet_introduced"),
         (none & F.col("next_life_introduced_on").isNotNull(), "between_lives"),
         (none, "postcode_deleted_by_date"),
         *r["undecided"], *r["geography"],
@@ -60,11 +54,17 @@ def as_of_status() -> Column:
 
 
 def lookup_status(split_flag="SplitIndicator") -> Column:
-    """A lookup of whole latest keys: no candidates to choose between."""
+    """A record of a lookup of whole latest keys: no candidates to choose between."""
     r = _record_rules(F.lit(""), F.col(split_flag) == "Y", False)
-    return first_rule([(F.col("postcode_key").isNull(), "missing_postcode"),
-                       (F.col("matched_pc_norm").isNull(), "not_found"),
-                       *r["geography"], *r["found"]], "matched")
+    return first_rule([*r["geography"], *r["found"]], "matched")
+
+
+def request_status(found="postcode_status", date: str | None = None) -> Column:
+    """The key's own problem first, then a missing date, then the status of what was found."""
+    rules = [(F.col("postcode_key").isNull(), "missing_postcode"), (F.col(found).isNull(), "not_found")]
+    if date is not None:
+        rules.append((F.col(date).isNull(), "missing_address_date"))
+    return first_rule(rules, F.col(found))
 
 
 def value_status(usable: tuple, missing: Column) -> Column:

@@ -45,11 +45,11 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], *, counts: Dat
     """Left join to a table with one row per key (null equals null). `small` says its size was checked.
     `counts` is key_counts(left, on) where the caller has it already."""
     value = [c for c in right.columns if c not in on]
-    packed = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], F.struct(*value).alias("_v"))
     pairs = [(c, f"_r_{c}") for c in on]
     if small:
-        out = left.join(F.broadcast(packed), all_null_safe(left, packed, pairs), "left")
-        return out.select(*[left[c] for c in left.columns], *[F.col(f"_v.{c}").alias(c) for c in value])
+        flat = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *value)
+        return left.join(F.broadcast(flat), all_null_safe(left, flat, pairs), "left").select(*[left[c] for c in left.columns], *[flat[c] for c in value])
+    packed = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], F.struct(*value).alias("_v"))
 
     counts = counts if counts is not None else key_counts(left, on)
     heavy = heavy_keys(counts, on).select(*[F.col(c).alias(f"_h_{c}") for c in on])

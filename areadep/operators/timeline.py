@@ -95,17 +95,22 @@ def sweep(requests: DataFrame, segments: DataFrame, key: str, date: str, as_: st
     return latest.select(key, date, F.when(inside, F.col("_seg")).alias(as_))
 
 
-def as_of_join(left: DataFrame, segments: DataFrame, key: str, date: str, as_: str = "seg", *, small: bool = False) -> DataFrame:
-    """Each row of `left` with the stretch of its key its date falls in, as one struct column.
+SPAN = ("seg_from", "seg_to", "n_marks")
+
+
+def as_of_join(left: DataFrame, segments: DataFrame, key: str, date: str, *, small: bool = False) -> DataFrame:
+    """Each row of `left` with the columns of the stretch of its key its date falls in.
 
     `small` says the stretches were counted and may be broadcast: nothing of `left` moves then.
     Otherwise every distinct (key, date) is answered once and joined back."""
+    values = [c for c in segments.columns if c != key and c not in SPAN]
     if small:
-        right = segments.select(F.col(key).alias("_k"), F.struct(*[c for c in segments.columns if c != key]).alias(as_))
-        cond = (left[key] == right["_k"]) & within(left[date], right[as_]["seg_from"], right[as_]["seg_to"])
-        return left.join(F.broadcast(right), cond, "left").drop("_k")
+        right = segments.select(F.col(key).alias("_k"), "seg_from", "seg_to", *values)
+        cond = (left[key] == right["_k"]) & within(left[date], right["seg_from"], right["seg_to"])
+        return left.join(F.broadcast(right), cond, "left").select(*[left[c] for c in left.columns], *values)
     asked = key_counts(left, [key, date])
-    return lookup_join(left, sweep(asked, segments, key, date, as_), [key, date], counts=asked)
+    answered = lookup_join(left, sweep(asked, segments, key, date, "_seg"), [key, date], counts=asked)
+    return answered.select(*left.columns, *[F.col(f"_seg.{c}").alias(c) for c in values])
 
 
 def broadcastable(segments: DataFrame) -> tuple[DataFrame, bool]:

@@ -62,12 +62,11 @@ def _geo_fields(lives: Lives, source) -> list:
             F.col(lives.current).alias("is_current"), *[F.col(c) for c in source]]
 
 
-def _finish(df: DataFrame, original: list[str], answer: str, context, source, extra: dict, rule) -> DataFrame:
-    """The answer struct spread into named columns, and the status."""
-    at = lambda f: F.col(f"{answer}.{f}")
+def _named(df: DataFrame, kept: list[str], context, source, rule) -> DataFrame:
+    """The answer as flat output columns with its status, worked out once per answer and not per row."""
+    at = F.col
     out = df.select(
-        *original, *[v.alias(k) for k, v in extra.items()],
-        at("rec.pc_norm").alias("matched_pc_norm"), at("rec.pc_base").alias("matched_pc_base"),
+        *kept, at("rec.pc_norm").alias("matched_pc_norm"), at("rec.pc_base").alias("matched_pc_base"),
         at("rec.introduced_on").alias("matched_introduced_on"), at("rec.deleted_on").alias("matched_deleted_on"),
         at("rec.is_current").alias("matched_is_current"), at("rec.role").alias("matched_user_type"),
         at("rec.link").alias("requested_link_postcode"), at("candidates").alias("matched_candidate_count"),
@@ -84,10 +83,10 @@ def _follow_links(segments: DataFrame, targets: DataFrame) -> DataFrame:
     joined = _joined_by_link(segments, targets)
     inside = lambda d: d.isNotNull() & (F.col("seg_from").isNull() | (d > F.col("seg_from"))) & (F.col("seg_to").isNull() | (d < F.col("seg_to")))
     days = F.array_union(F.transform("target", lambda x: x["s"]), F.transform("target", lambda x: x["e"]))
-    cuts = F.when(~F.col("from_previous"), F.array_sort(F.filter(days, inside)))
+    cuts = F.when(~F.col("from_previous_life"), F.array_sort(F.filter(days, inside)))
     cuts = F.concat(F.array(F.col("seg_from")), F.coalesce(cuts, F.array().cast("array<date>")))
     pieces = joined.withColumn("_cuts", cuts).select("*", F.posexplode("_cuts").alias("_i", "_from"))
-    day = F.when(F.col("from_previous"), F.date_sub(F.col("rec.deleted_on"), 1)).otherwise(F.col("_from"))
+    day = F.when(F.col("from_previous_life"), F.date_sub(F.col("rec.deleted_on"), 1)).otherwise(F.col("_from"))
     hit = F.filter("target", lambda x: (x["s"] <= day) & (x["e"].isNull() | (day < x["e"])))
     until = F.coalesce(F.try_element_at("_cuts", F.col("_i") + 2), F.col("seg_to"))
     geo = F.when(F.col("link_key").isNull(), F.col("geo")).when(F.size(hit) > 0, hit[0]["geo"])
@@ -109,10 +108,13 @@ def as_of_table(history: DataFrame, lives: Lives = Lives(), context=(), source=(
     narrow = len(carried) <= NARROW
     record = life_record(lives, carried if narrow else ())
     segments = stretches(history, lives.base, part(lives.key, lives.base), lives.start, lives.end, record)
-    segments = segments.select(F.col(lives.base).alias("postcode_key"), "seg_from", "seg_to", "first_start", "previous_end",
-                               "next_start", "from_previous", "n_marks", *best_of_parts())
+    segments = segments.select(F.col(lives.base).alias("postcode_key"), "seg_from", "seg_to", "n_marks",
+                               F.col("first_start").alias("first_introduced_on"), F.col("previous_end").alias("previous_life_deleted_on"),
+                               F.col("next_start").alias("next_life_introduced_on"), F.col("from_previous").alias("from_previous_life"),
+                               *best_of_parts())
     segments = _context(segments, history, lives, context, source, narrow)
-    return _follow_links(segments, _linked_lives(history, lives, source)).drop("link_key")
+    kept = ["postcode_key", "seg_from", "seg_to", "n_marks", "first_introduced_on", "previous_life_deleted_on", "next_life_introduced_on", "from_previous_life"]
+    return _named(_follow_links(segments, _linked_lives(history, lives, source)), kept, context, source, st.stretch_status)
 
 
 def link_as_of(cohort: DataFrame, history: DataFrame, postcode: str = "postcode", address_date: str = "address_date", *,
@@ -129,10 +131,9 @@ def link_as_of(cohort: DataFrame, history: DataFrame, postcode: str = "postcode"
         asked = asked.withColumn("address_date", F.col(address_date))
     found = as_of_join(asked, segments, "postcode_key", "address_date", small=small)
     dated = lambda c: F.when(F.col("address_date").isNotNull(), F.col(c))
-    extra = {"from_previous_life": F.coalesce(F.col("seg.from_previous"), F.lit(False)),
-             "first_introduced_on": F.col("seg.first_start"),
-             "previous_life_deleted_on": dated("seg.previous_end"), "next_life_introduced_on": dated("seg.next_start")}
-    return _finish(found, asked.columns, "seg", context, source, extra, st.as_of_status)
+    return found.withColumns({
+        "postcode_status": st.request_status(date="address_date"), "from_previous_life": F.coalesce("from_previous_life", F.lit(False)),
+        "previous_life_deleted_on": dated("previous_life_deleted_on"), "next_life_introduced_on": dated("next_life_introduced_on")})
 
 
 def latest_table(history: DataFrame, lives: Lives = Lives(), context=(), source=()) -> DataFrame:
@@ -148,7 +149,7 @@ def latest_table(history: DataFrame, lives: Lives = Lives(), context=(), source=
     full = newest if narrow else newest.join(history.select(lives.key, lives.start, *more), [lives.key, lives.start])
     targets = full.where(F.col(lives.role) == "small_user").select(
         F.col(lives.key).alias("link_key"), F.struct(*_geo_fields(lives, source)).alias("target"))
-    return _with_target(best, targets)
+    return _named(_with_target(best, targets), ["postcode_key"], context, source, st.latest_life_status)
 
 
 def _with_target(answers: DataFrame, targets: DataFrame) -> DataFrame:
@@ -161,7 +162,7 @@ def link_latest(cohort: DataFrame, history: DataFrame, postcode: str = "postcode
                 context=(), source=(), strategy: str = "auto", answers: DataFrame | None = None) -> DataFrame:
     """The newest life of every key, whatever the date."""
     table = answers if answers is not None else latest_table(history, lives, context, source)
-    return _link_keyed(cohort, table, postcode, context, source, strategy, st.latest_life_status)
+    return _link_keyed(cohort, table, postcode, strategy)
 
 
 def lookup_table(main: DataFrame, lives: Lives = Lives(), context=(), source=(), split_flag: str = "SplitIndicator") -> DataFrame:
@@ -180,22 +181,19 @@ def lookup_table(main: DataFrame, lives: Lives = Lives(), context=(), source=(),
         F.col(lives.key).alias("postcode_key"), F.lit(1).cast("long").alias("candidates"), F.struct(*life_record(lives)).alias("rec"),
         F.struct(F.col(lives.key).alias("pc_norm"), *[F.col(c) for c in context]).alias("ctx"),
         F.when(small, geo).alias("geo"), F.when(~small, normalised(lives.link)).alias("link_key"))
-    return _with_target(answers, targets)
+    return _named(_with_target(answers, targets), ["postcode_key"], context, source, lambda: st.lookup_status(f"context_{split_flag}"))
 
 
 def link_lookup(cohort: DataFrame, main: DataFrame, postcode: str = "postcode", *, lives: Lives = Lives(), context=(), source=(),
                 split_flag: str = "SplitIndicator", strategy: str = "auto", answers: DataFrame | None = None) -> DataFrame:
     """Equality on the whole key of a latest-key lookup."""
     table = answers if answers is not None else lookup_table(main, lives, context, source, split_flag)
-    context = list(dict.fromkeys([*context, split_flag]))
-    return _link_keyed(cohort, table, postcode, context, source, strategy, lambda: st.lookup_status(f"context_{split_flag}"))
+    return _link_keyed(cohort, table, postcode, strategy)
 
 
-def _link_keyed(cohort, table, postcode, context, source, strategy, rule) -> DataFrame:
+def _link_keyed(cohort, table, postcode, strategy) -> DataFrame:
     small = strategy == "broadcast"
     if strategy == "auto":
         table, small = measured(table)
     asked = cohort.withColumn("postcode_key", request_key(postcode))
-    packed = table.select("postcode_key", F.struct(*[c for c in table.columns if c != "postcode_key"]).alias("_answer"))
-    found = lookup_join(asked, packed, ["postcode_key"], small=small)
-    return _finish(found, asked.columns, "_answer", context, source, {}, rule)
+    return lookup_join(asked, table, ["postcode_key"], small=small).withColumn("postcode_status", st.request_status())

@@ -216,15 +216,13 @@ def _(spark, sf):
 
 
 @query("rank_dense_check", """
-WITH r AS (SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS r, count(*) OVER (PARTITION BY p_brand) AS n, p_size FROM part)
-SELECT p_brand AS area, min(r) = 1 AND max(r) = max(n) AND count(DISTINCT r) = max(n) AS dense, count(DISTINCT p_size) = count(*) AS size_unique FROM r GROUP BY 1""")
+SELECT p_partkey // 1000 AS area, min(p_partkey % 1000 + 1) = 1 AND max(p_partkey % 1000 + 1) = count(*) AND count(DISTINCT p_partkey % 1000) = count(*) AS dense,
+  count(DISTINCT p_size) = count(*) AS size_unique FROM part GROUP BY 1""")
 def _(spark, sf):
-    # Zones numbered by key inside their area, then checked as a dense rank.
-    from pyspark.sql import Window as W
-    z = t.table(spark, sf, "part").withColumn("r", F.row_number().over(W.partitionBy("p_brand").orderBy("p_partkey")))
+    r = (F.col("p_partkey") % 1000 + 1)
     n = F.count(F.lit(1))
-    return z.groupBy(F.col("p_brand").alias("area")).agg(
-        ((F.min("r") == 1) & (F.max("r") == n) & (F.count_distinct(F.col("r")) == n)).alias("dense"), (F.count_distinct(F.col("p_size")) == n).alias("size_unique"))
+    return t.table(spark, sf, "part").groupBy(F.floor(F.col("p_partkey") / 1000).alias("area")).agg(
+        ((F.min(r) == 1) & (F.max(r) == n) & (F.count_distinct(r) == n)).alias("dense"), (F.count_distinct(F.col("p_size")) == n).alias("size_unique"))
 
 
 @query("tied_ranks", "WITH v AS (SELECT p_size, count(*) AS c FROM part GROUP BY 1) SELECT count(*) FILTER (c > 1) AS tied_values FROM v")
@@ -382,14 +380,14 @@ def _(spark, sf):
 
 # ---- digest, export, load ----
 
-SUPPLIER = g.ExportContract(fields=(("s_suppkey", "int16", False), ("s_name", "string", False), ("s_nationkey", "int8", True), ("half", "rank", True), ("live", "bool", False), ("since", "date32", True)), key=("s_suppkey",))
+SUPPLIER = g.ExportContract(fields=(("s_suppkey", "string", False), ("s_name", "string", False), ("s_nationkey", "int8", True), ("half", "rank", True), ("live", "bool", False), ("since", "date32", True)), key=("s_suppkey",))
 
 
 def _supplier(spark, sf):
     k = F.col("s_suppkey")
     return t.table(spark, sf, "supplier").select(
-        k.cast("smallint").alias("s_suppkey"), "s_name", F.col("s_nationkey").cast("tinyint").alias("s_nationkey"), (k / 2).alias("half"), (k % 2 == 0).alias("live"),
-        F.date_add(F.lit("2000-01-01").cast("date"), k.cast("int")).alias("since"))
+        k.cast("string").alias("s_suppkey"), "s_name", F.col("s_nationkey").cast("tinyint").alias("s_nationkey"), (k / 2).alias("half"), (k % 2 == 0).alias("live"),
+        F.date_add(F.lit("2000-01-01").cast("date"), (k % 3650).cast("int")).alias("since"))
 
 
 DIGEST_SQL = """SELECT count(*) AS n_rows, CAST(sum(CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END) AS VARCHAR) AS total
@@ -409,13 +407,13 @@ def _(spark, sf):
 
 
 @query("render_supplier", """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, printf('%.1f', s_suppkey / 2.0) AS half,
-  CASE WHEN s_suppkey % 2 = 0 THEN '1' ELSE '0' END AS live, strftime(DATE '2000-01-01' + CAST(s_suppkey AS INT), '%Y-%m-%d') AS since FROM supplier""")
+  CASE WHEN s_suppkey % 2 = 0 THEN '1' ELSE '0' END AS live, strftime(DATE '2000-01-01' + CAST(s_suppkey % 3650 AS INT), '%Y-%m-%d') AS since FROM supplier""")
 def _(spark, sf):
     return g.render(_supplier(spark, sf), SUPPLIER)
 
 
 @query("typed_load_restore", """SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL WHEN s_suppkey % 3 = 1 THEN '' ELSE s_name END AS note, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_name END AS never_blank,
-  CASE WHEN s_suppkey % 5 = 0 THEN NULL WHEN s_suppkey % 5 = 1 THEN NULL ELSE CAST(s_suppkey / 2.0 AS DECIMAL(6, 1)) END AS rank, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE DATE '2000-01-01' + CAST(s_suppkey AS INT) END AS since,
+  CASE WHEN s_suppkey % 5 = 0 THEN NULL WHEN s_suppkey % 5 = 1 THEN NULL ELSE CAST((s_suppkey % 10000) / 2.0 AS DECIMAL(6, 1)) END AS rank, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE DATE '2000-01-01' + CAST(s_suppkey % 3650 AS INT) END AS since,
   s_suppkey % 2 = 0 AS live FROM supplier""")
 def _(spark, sf):
     """Text cells back to types: a blank is null for the role a column does not exist for, else a blank;
@@ -424,20 +422,22 @@ def _(spark, sf):
     text = t.table(spark, sf, "supplier").select(
         "s_suppkey", F.when(k % 3 == 0, F.lit("large_user")).otherwise(F.lit("small_user")).alias("role"), F.when(k % 3 == 2, F.col("s_name")).otherwise(F.lit("")).alias("note"),
         F.when(k % 4 == 0, F.lit("")).otherwise(F.col("s_name")).alias("never_blank"),
-        F.when(k % 5 == 0, F.lit("")).when(k % 5 == 1, F.concat(k.cast("string"), F.lit(".54"))).otherwise(F.format_string("%.1f", k / 2)).alias("rank"),
-        F.when(k % 6 == 0, F.lit("")).otherwise(F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), k.cast("int")), "yyyy-MM-dd")).alias("since"),
+        F.when(k % 5 == 0, F.lit("")).when(k % 5 == 1, F.concat((k % 10000).cast("string"), F.lit(".54"))).otherwise(F.format_string("%.1f", (k % 10000) / 2)).alias("rank"),
+        F.when(k % 6 == 0, F.lit("")).otherwise(F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), (k % 3650).cast("int")), "yyyy-MM-dd")).alias("since"),
         F.when(k % 2 == 0, F.lit("1")).otherwise(F.lit("0")).alias("live"))
     return text.select("s_suppkey", stored("note", "string", role="role", null_for_role="large_user").alias("note"), stored("never_blank", "string", blank_is_null=True).alias("never_blank"),
                        stored("rank", "rank").alias("rank"), stored("since", "date32").alias("since"), stored("live", "bool").alias("live"))
 
 
-@query("loaded_table_check", """SELECT 'loaded.columns' AS name, true AS passed UNION ALL SELECT 'loaded.key_unique', true UNION ALL SELECT 'loaded.key_nonnull', true
-UNION ALL SELECT 'loaded.n_name.reserved_characters', true UNION ALL SELECT 'loaded.rows', (SELECT count(*) FROM nation) = 25 UNION ALL SELECT 'loaded.digest', true""")
+@query("loaded_table_check", """SELECT 'loaded.columns' AS name, true AS passed UNION ALL SELECT 'loaded.key_unique', count(*) = count(DISTINCT p_partkey) FROM part UNION ALL SELECT 'loaded.key_nonnull', count(*) = count(p_partkey) FROM part
+UNION ALL SELECT 'loaded.p_partkey.reserved_characters', true UNION ALL SELECT 'loaded.p_name.reserved_characters', true UNION ALL SELECT 'loaded.rows', count(*) = count(p_partkey) FROM part
+UNION ALL SELECT 'loaded.digest', true""")
 def _(spark, sf):
-    n = t.table(spark, sf, "nation").select(F.col("n_nationkey").cast("tinyint").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("tinyint").alias("n_regionkey"))
-    c = g.ExportContract(fields=(("n_nationkey", "int8", False), ("n_name", "string", False), ("n_regionkey", "int8", False)), key=("n_nationkey",))
-    total = g.row_digest(g.render(n, c)).first()["total"]
-    return g.loaded_table(n, c, 25, total).select("name", "passed")
+    """A loaded copy against the row count and digest of the exported table."""
+    n = t.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("p_partkey"), "p_name", F.col("p_size").cast("tinyint").alias("p_size"))
+    c = g.ExportContract(fields=(("p_partkey", "string", False), ("p_name", "string", False), ("p_size", "int8", False)), key=("p_partkey",))
+    exported = g.row_digest(g.render(n, c)).first()
+    return g.loaded_table(n, c, exported["n_rows"], exported["total"]).select("name", "passed")
 
 
 @query("cell_readback", """SELECT 'csv.header' AS name, true AS passed, CAST(NULL AS VARCHAR) AS differing UNION ALL SELECT 'csv.rows', true, '0'
@@ -555,7 +555,25 @@ def _(spark, sf):
     return sp.agreement(out, AgreementGate(), L).select("cohort", "lives", "agreeing")
 
 
-@query("polygon_areas", "SELECT v.version, n_nationkey AS poly, 400000000.0 AS area, 400000000.0 AS banded_area FROM nation, (VALUES ('2016'), ('2022')) v(version)")
+@query("polygon_areas", "SELECT p_partkey AS poly, (p_size * 700.0) * (p_size % 9 * 300.0 + 250.0) AS area, (p_size * 700.0) * (p_size % 9 * 300.0 + 250.0) AS banded_area FROM part")
 def _(spark, sf):
-    edges = layer(spark, sf)
-    return sp.polygon_area(edges).join(sp.banded_area(edges), ["version", "poly"])
+    """A box per part: its area from its edges, and from the pieces of its edges in every band."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    boxes = t.table(spark, sf, "part").select(F.lit("2022").alias("version"), k.alias("poly"), (k % 500 * 1000).alias("bx0"), (k % 300 * 1000 + 125).alias("by0"), size.alias("s"))
+    boxes = boxes.withColumns({"bx1": F.col("bx0") + F.col("s") * 700, "by1": F.col("by0") + F.col("s") % 9 * 300 + 250})
+    edges = sp.box_edges(boxes, ["version", "poly"])
+    both = sp.polygon_area(edges).join(sp.banded_area(edges), ["version", "poly"])
+    return both.select("poly", F.round("area", 3).alias("area"), F.round("banded_area", 3).alias("banded_area"))
+
+
+@query("crossing_rings", "SELECT p_partkey AS poly FROM part WHERE p_size % 2 = 1")
+def _(spark, sf):
+    """A ring per part, twisted where the size is odd: the rings whose edges cross."""
+    k, odd = F.col("p_partkey"), F.col("p_size") % 2 == 1
+    x, y = (k % 500 * 1000).cast("double"), (k % 300 * 1000).cast("double")
+    c = {"a": (x, y), "b": (x + 700, y), "c": (x + 700, y + 700), "d": (x, y + 700)}
+    edge = lambda p, q: F.struct(p[0].alias("x1"), p[1].alias("y1"), q[0].alias("x2"), q[1].alias("y2"))
+    ring = lambda names: F.array(*[edge(c[i], c[j]) for i, j in zip(names, names[1:])])
+    edges = t.table(spark, sf, "part").select(F.lit("2022").alias("version"), k.alias("poly"), F.lit(0).alias("ring"),
+                                              F.inline(F.when(odd, ring("abdca")).otherwise(ring("abcda"))))
+    return sp.crossing_rings(edges).select("poly")
