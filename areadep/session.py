@@ -17,6 +17,7 @@ def build_session(app: str = "areadep", cores: str | int = "*", **conf) -> Spark
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",   # call sites per expression cost more than small plans
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
