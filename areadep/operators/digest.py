@@ -106,7 +106,7 @@ def loaded_table(df: DataFrame, contract: ExportContract, rows: int, total: str,
     declared = [(n, "decimal(6,1)" if k == "rank" else SPARK_TYPES[k].simpleString()) for n, k, _ in contract.columns()]
     found = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
     shape = static_check(spark, f"{label}.columns", found, declared)
-    if [n for n, _ in found] != [n for n, _ in declared]:
+    if found != declared:
         failed = [(f"{label}.{n}", False, "checked", "not run", "columns differ") for n in ("key", "reserved", "rows", "digest")]
         return union_checks(shape, spark.createDataFrame(failed, shape.schema))
     digest = row_digest(render(df, contract))

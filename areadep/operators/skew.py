@@ -60,7 +60,8 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], *, counts: Dat
     tagged = left.join(F.broadcast(heavy_value), all_null_safe(left, heavy_value, [(c, f"_h_{c}") for c in on]), "left")
     tagged = tagged.select(*[left[c] for c in left.columns], "_hv",
                            F.when(F.col("_heavy"), F.monotonically_increasing_id() + 1).otherwise(F.lit(0)).alias("_spread"))
-    cold = packed.withColumn("_rs", F.lit(0).cast("long"))
+    # Zero for every row, but not a constant to the optimiser, which would take the join on it away.
+    cold = packed.withColumn("_rs", F.pmod(F.xxhash64(*[f"_r_{c}" for c in on]), F.lit(1)))
     joined = tagged.join(cold, all_null_safe(tagged, cold, pairs) & (tagged["_spread"] == cold["_rs"]), "left")
     picked = F.coalesce(F.col("_hv"), F.col("_v"))
     return joined.select(*left.columns, picked.alias("_p")).select(*left.columns, *[F.col(f"_p.{c}").alias(c) for c in value])
