@@ -119,6 +119,13 @@ def union_checks(*reports: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def settle(report: DataFrame) -> DataFrame:
+    """The check rows worked out now and kept as plain rows, so that a long run does not carry the plan
+    of every check it has made. Checks are declared, so their rows are few."""
+    rows = [tuple(r) for r in report.collect()]
+    return report.sparkSession.createDataFrame(rows, CHECK_SCHEMA)
+
+
 def require(report: DataFrame) -> None:
     """Stop at the first failure. Only failed check rows reach the driver, and checks are declared."""
     failed = report.where(~F.col("passed")).select("name", "expected", "actual").limit(50).collect()

@@ -17,11 +17,12 @@ from ..operators import bands as b
 from ..operators import digest as g
 from ..operators import enrich as en
 from ..operators import spatial as sp
-from ..operators.checks import Checks, require, summary, typed_columns, union_checks, unique_key
+from ..operators.checks import Checks, require, settle, summary, typed_columns, union_checks, unique_key
 from ..operators.snapshot import compare_with_previous
 from ..operators.weighted import reproduces_published, share_deviation, with_domain_bands
 from ..registry import REGISTRY, WEIGHTED_WIDTH, Registry
 from ..schema import Field, declared_types, export_contract, typed
+from ..session import ensure_checkpoint_dir
 from ..sources.binary import read_dbf, read_layer
 from ..sources.text import band_cube, directory_file, history_index, latest_lookup, pinned_list, service_edition
 
@@ -44,48 +45,74 @@ class Paths:
 
 # ---- edition tables ----
 
-def service_tables(spark: SparkSession, paths: Paths, registry: Registry = REGISTRY) -> tuple[DataFrame, DataFrame]:
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/areadep-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The table written and read again: a finished step, whatever is lost later."""
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def service_tables(spark: SparkSession, paths: Paths, registry: Registry = REGISTRY, scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
     """All canonical edition tables stacked, and their check rows."""
+    scratch = scratch or scratch_folder(spark)
     tables, reports = [], []
     for e in registry.editions:
         source, report = service_edition(spark, paths.service[e.key], e)
-        require(report.where(F.col("name").endswith(".schema")))
-        table = b.canonical(source, e)
+        reports.append(settle(report))
+        require(reports[-1])
+        table = written(b.canonical(source, e), f"{scratch}/service_{e.key}")
         tables.append(table)
-        reports += [report, b.canonical_checks(table, e)]
-    stacked = en.stacked(tables)
-    return stacked, union_checks(*reports, b.shared_geography(stacked))
+        reports.append(settle(b.canonical_checks(table, e)))
+    stacked = written(en.stacked(tables), f"{scratch}/service")
+    return stacked, union_checks(*reports, settle(b.shared_geography(stacked)))
 
 
-def government_tables(spark: SparkSession, paths: Paths, registry: Registry = REGISTRY, years: dict | None = None) -> tuple[DataFrame, DataFrame]:
+def government_tables(spark: SparkSession, paths: Paths, registry: Registry = REGISTRY, years: dict | None = None,
+                      scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
     """All government edition tables stacked, published bands admitted and weighted bands computed."""
+    scratch = scratch or scratch_folder(spark)
     tables, reports = [], []
     for e in registry.editions:
         attributes = read_dbf(spark, paths.attributes[e.key])
-        first = b.government_source_checks(attributes, e)
-        require(first)
-        table = b.government(attributes, e)
-        reports += [first, b.government_checks(table, e)]
+        reports.append(settle(b.government_source_checks(attributes, e)))
+        require(reports[-1])
+        table = written(b.government(attributes, e), f"{scratch}/attributes_{e.key}")
+        reports.append(settle(b.government_checks(table, e)))
         if e.cube_year is not None:
             cube = band_cube(spark, paths.cubes[e.key])
             pins = [pinned_list(spark, path, "dz_code string, shapefile_rank double, published_rank double").withColumn("domain", F.lit(d))
                     for (key, d), path in paths.pinned.items() if key == e.key]
-            reports.append(b.cube_checks(cube, e, (years or {}).get(e.key)))
+            reports.append(settle(b.cube_checks(cube, e, (years or {}).get(e.key))))
             table, admitted = b.admit_bands(table, cube, e, en.stacked(pins) if pins else None)
-            reports.append(admitted)
-        table = with_domain_bands(table, e)
-        for d in e.domains:
-            for band, k in WEIGHTED_WIDTH.items():
-                share = share_deviation(table, [], f"{d}_domain_pw_scotland_{band}", "population", k)
-                reports.append(Checks(f"weighted.{e.key}.{d}.{band}.").observe("max_share_deviation_pp", F.max("max_share_deviation_pp")).run(share))
+            reports.append(settle(admitted))
+        table = written(with_domain_bands(table, e), f"{scratch}/government_{e.key}")
+        reports.append(settle(share_observations(table, e)))
         tables.append(table)
-    return en.stacked(tables), union_checks(*reports)
+    return written(en.stacked(tables), f"{scratch}/government"), union_checks(*reports)
+
+
+def share_observations(table: DataFrame, e) -> DataFrame:
+    """The largest distance from an equal share of every computed band, all in one job a width."""
+    reports = []
+    for band, k in WEIGHTED_WIDTH.items():
+        long = table.select("population", F.inline(F.array(*[
+            F.struct(F.lit(d).alias("domain"), F.col(f"{d}_domain_pw_scotland_{band}").alias("band")) for d in e.domains])))
+        shares = share_deviation(long, ["domain"], "band", "population", k)
+        c = Checks(f"weighted.{e.key}.")
+        for d in e.domains:
+            c.observe(f"{d}.{band}.max_share_deviation_pp", F.max(F.when(F.col("domain") == d, F.col("max_share_deviation_pp"))))
+        reports.append(c.run(shares))
+    return union_checks(*reports)
 
 
 def cross_checks(service: DataFrame, gov: DataFrame, registry: Registry = REGISTRY) -> DataFrame:
     """Both publishers agree, and the weighting rule reproduces the published overall bands."""
-    rule = [reproduces_published(service.where(F.col("edition") == e.key), gov.where(F.col("edition") == e.key), e.key) for e in registry.editions]
-    return union_checks(b.cross_publisher(service, gov), *rule)
+    rule = [settle(reproduces_published(service.where(F.col("edition") == e.key), gov.where(F.col("edition") == e.key), e.key)) for e in registry.editions]
+    return union_checks(settle(b.cross_publisher(service, gov)), *rule)
 
 
 # ---- writing and reading back ----
@@ -107,13 +134,13 @@ def readback(spark: SparkSession, path: str, fields: list[Field], key: list[str]
     require(shape)
     meta = {f.name: f.metadata.get("source") for f in saved.schema.fields}
     kept = Checks(f"{label}.").holds("metadata", F.lit(all(meta[f.name] == f.source for f in fields))).run(saved)
-    reports = [shape, kept, required_gate(saved, fields, label), unique_key(saved, key, f"{label}.primary_key_unique"),
-               en.source_equal_checks(saved, index, key, label), en.relookup_checks(saved, service, gov, key, registry, label)]
+    reports = [settle(r) for r in (shape, kept, required_gate(saved, fields, label), unique_key(saved, key, f"{label}.primary_key_unique"),
+                                   en.source_equal_checks(saved, index, key, label), en.relookup_checks(saved, service, gov, key, registry, label))]
     if edges is not None:
         bare = saved.drop(*[c for c in saved.columns if c.startswith("urbanrural")])
         again = sp.withhold_po_boxes(sp.classify(bare, edges, registry.rurality_versions), registry.rurality_versions)
         rural = [f.name for f in fields if f.source == "rurality"]
-        reports.append(g.cells_equal(saved.select(*key, *rural), again.select(*key, *rural), key, f"{label}.rurality"))
+        reports.append(settle(g.cells_equal(saved.select(*key, *rural), again.select(*key, *rural), key, f"{label}.rurality")))
     return union_checks(*reports)
 
 
@@ -122,7 +149,7 @@ def export(spark: SparkSession, df: DataFrame, fields: list[Field], key: tuple,
     contract = export_contract(fields, key, history)
     require(g.reserved_characters(df, contract, label))
     g.write_csv(df, contract, path)
-    report = g.cells_equal(g.read_csv(spark, contract, path), g.render(df, contract, ""), list(key), label)
+    report = settle(g.cells_equal(g.read_csv(spark, contract, path), g.render(df, contract, ""), list(key), label))
     return g.row_digest(g.render(df, contract)), report
 
 
@@ -211,35 +238,41 @@ def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Fi
           headers: dict | None = None, years: dict | None = None, lives: Lives = Lives()) -> tuple[str, list[Table]]:
     """The whole run: sources, edition tables, one join per vintage, classes, checks, publication."""
     headers = headers or {}
+    scratch = scratch_folder(spark)
     small, r1 = directory_file(spark, paths.small_user, "small_user", registry, headers.get("small_user"))
     large, r2 = directory_file(spark, paths.large_user, "large_user", registry, headers.get("large_user"))
+    r1, r2 = settle(r1), settle(r2)
     require(union_checks(r1, r2))
     index, r3 = history_index(small, large, registry)
-    service, r4 = service_tables(spark, paths, registry)
-    gov, r5 = government_tables(spark, paths, registry, years)
-    # The edition tables are small and read by every table and check of the run.
-    service, gov = service.persist(), gov.persist()
+    r3 = settle(r3)
+    require(r3)
+    index = written(index, f"{scratch}/index")
+    service, r4 = service_tables(spark, paths, registry, scratch)
+    gov, r5 = government_tables(spark, paths, registry, years, scratch)
     reports = [r1, r2, r3, r4, r5, cross_checks(service, gov, registry)]
-    wide, edges = en.enrich(index, service, gov, registry), None
+    require(union_checks(*reports))
+    wide, edges = written(en.enrich(index, service, gov, registry), f"{scratch}/enriched"), None
     if registry.rurality_versions:
         layers = []
         for v in registry.rurality_versions:
             layer, columns, epsg = read_layer(spark, paths.layers[v.key], v)
-            reports.append(sp.layer_checks(sp.polygon_table(layer), v, columns, epsg))
+            reports.append(settle(sp.layer_checks(sp.polygon_table(layer), v, columns, epsg)))
             layers.append(layer)
-        edges = en.stacked(layers)
-        reports += [sp.points_present(index), sp.area_checks(edges)]
-        placed = sp.classify(wide, edges, registry.rurality_versions)
+        edges = written(en.stacked(layers), f"{scratch}/edges")
+        crossing = Checks("rurality.").observe("crossing_rings", F.count(F.lit(1))).run(sp.crossing_rings(edges))
+        reports += [settle(sp.points_present(index)), settle(sp.area_checks(edges)), settle(crossing)]
+        placed = written(sp.classify(wide, edges, registry.rurality_versions), f"{scratch}/placed")
         gated = sp.agreement(placed, registry.gate, lives)
         principal = F.max(F.when(F.col("cohort") == "current_small_user", F.col("lives")))
-        reports.append(Checks("rurality.agreement.").zero("cohorts", ~F.col("passed")).holds("current_small_users_present", principal > 0).run(gated))
+        reports.append(settle(Checks("rurality.agreement.").zero("cohorts", ~F.col("passed")).holds("current_small_users_present", principal > 0).run(gated)))
         wide = sp.withhold_po_boxes(placed, registry.rurality_versions, lives)
-    reports.append(en.enriched_checks(wide, index, ["pc_norm", "introduced_on"], registry, "join.history"))
+    reports.append(settle(en.enriched_checks(wide, index, ["pc_norm", "introduced_on"], registry, "join.history")))
     tables = [Table("postcode_simd_history", wide, history_columns, ("pc_norm", "introduced_on"), index, "spd", registry.history_release, edges)]
     if paths.lookup and main_columns:
         main, r6 = latest_lookup(spark, paths.lookup, registry, headers.get("lookup"))
-        main_wide = en.enrich(main, service, gov, registry)
-        reports += [r6, en.enriched_checks(main_wide, main, ["pc_norm"], registry, "join.main")]
+        main = written(main, f"{scratch}/lookup")
+        main_wide = written(en.enrich(main, service, gov, registry), f"{scratch}/lookup_enriched")
+        reports += [settle(r6), settle(en.enriched_checks(main_wide, main, ["pc_norm"], registry, "join.main"))]
         tables.append(Table("postcode_simd", main_wide, main_columns, ("pc_norm",), main, "sspl", registry.lookup_release))
     run = publish(spark, root, tables, service, gov, union_checks(*reports), registry)
     return run, tables
