@@ -123,7 +123,7 @@ def settle(report: DataFrame) -> DataFrame:
     """The check rows worked out now and kept as plain rows, so that a long run does not carry the plan
     of every check it has made. Checks are declared, so their rows are few."""
     rows = [tuple(r) for r in report.collect()]
-    return report.sparkSession.createDataFrame(rows, CHECK_SCHEMA)
+    return report.sparkSession.createDataFrame(rows, CHECK_SCHEMA).coalesce(1)
 
 
 def require(report: DataFrame) -> None:

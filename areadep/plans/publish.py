@@ -270,9 +270,11 @@ def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Fi
     tables = [Table("postcode_simd_history", wide, history_columns, ("pc_norm", "introduced_on"), index, "spd", registry.history_release, edges)]
     if paths.lookup and main_columns:
         main, r6 = latest_lookup(spark, paths.lookup, registry, headers.get("lookup"))
+        r6 = settle(r6)
+        require(r6)
         main = written(main, f"{scratch}/lookup")
         main_wide = written(en.enrich(main, service, gov, registry), f"{scratch}/lookup_enriched")
-        reports += [settle(r6), settle(en.enriched_checks(main_wide, main, ["pc_norm"], registry, "join.main"))]
+        reports += [r6, settle(en.enriched_checks(main_wide, main, ["pc_norm"], registry, "join.main"))]
         tables.append(Table("postcode_simd", main_wide, main_columns, ("pc_norm",), main, "sspl", registry.lookup_release))
     run = publish(spark, root, tables, service, gov, union_checks(*reports), registry)
     return run, tables
