@@ -10,7 +10,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 # One query of each kind here; AREADEP_SLOW=1 compares every registered query.
 USUAL = ["asof_link", "latest_link_status", "lookup_link_suffix_address", "attach_split_report", "population_bands_by_area", "interval_overlaps",
          "snapshot_diff", "row_digest_part", "point_in_polygon_class"]
-NAMES = sorted(entry.queries()) if os.environ.get("AREADEP_SLOW") else USUAL
+OWN = {**entry.queries_linkage.QUERIES, **entry.queries_data.QUERIES}
+NAMES = sorted(OWN) if os.environ.get("AREADEP_SLOW") else USUAL
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +38,7 @@ def ordered(rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries()) and len(entry.queries()) >= 65
+    assert set(entry.oracle_sql()) >= set(OWN) and len(OWN) >= 65
 
 
 @pytest.mark.parametrize("name", NAMES)
