@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -43,6 +43,10 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def extended(schema: T.StructType, more: str) -> T.StructType:
+    return T.StructType(schema.fields + T.StructType.fromDDL(more).fields)
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of equal integer keys in batches sorted by them, as tables; a run may span batches and is held alone in memory."""
     held: list[pa.RecordBatch] = []

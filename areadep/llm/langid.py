@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import extended
+
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5                 # characters of the longest n-gram
 SAMPLE = 20_000             # labelled documents a model is learned from, as a mean; chosen by a hash of their id
@@ -119,11 +121,11 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     Text null or without a letter, or nothing learned: language `und`, score 0. Ties go to the language first in order of
     its name. The text is read whole; nothing of a document but its text is looked at.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # bounded by ENTRIES
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.grams, model.scores))      # bounded by ENTRIES
+    schema = extended(docs.select(*keep).schema, "lang_pred string, score double")
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         width = len(model.languages)
         memo = Memo(model)
         for batch in batches:

@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid
+from . import langid, neardup_vectors, packing, permutation_index
+from .common import Scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark, "op1"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out().alias("held_out"))
     model = langid.learn(docs.where("not held_out"))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model, ["doc_id", "held_out"])
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return permutation_index.nearest(vectors, vectors.where("vec_id % 50 = 0"), Scratch(spark, "op7"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op8")
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")), scratch)
+
+
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op5_language_id": op5_language_id,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 ORACLE: dict[str, str] = {}
