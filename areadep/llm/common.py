@@ -7,6 +7,7 @@ executor costs the tasks that were running and never a recomputation of the whol
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -28,6 +29,8 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        gc.collect()
+        self.spark._jvm.System.gc()         # lets Spark delete the shuffle files of what has been written
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
@@ -74,6 +77,23 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables that hold whole groups of an integer key, of batches sorted by it, with the bounds of their groups: for many small groups."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        held = part if held is None else pa.concat_tables([held, part])
+        keys = held.column(key).to_numpy()
+        starts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if len(starts):
+            yield held.slice(0, starts[-1]), np.concatenate([[0], starts])
+            held = held.slice(starts[-1])
+    if held is not None:
+        yield held, np.array([0, held.num_rows])
+
+
 def numpy_of(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     return table.column(name).to_numpy() if isinstance(table, pa.Table) else table.column(name).to_numpy(zero_copy_only=False)
 
