@@ -41,8 +41,8 @@ class Anchors:
         size = CHUNK + length
         base = int(rng.integers(1 << 62)) * 2 + 1
         with np.errstate(over="ignore"):
-            self.powers = np.concatenate([[1], np.cumprod(np.full(size, base, np.uint64))]).astype(np.uint64)
-            self.inverse = np.concatenate([[1], np.cumprod(np.full(size, pow(base, -1, 1 << 64), np.uint64))]).astype(np.uint64)
+            self.powers = np.cumprod(np.full(size, base, np.uint64))          # from the first power on, which serves as well
+            self.inverse = np.cumprod(np.full(size, pow(base, -1, 1 << 64), np.uint64))
 
     def of(self, flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """flat: at most CHUNK + length bytes; ends: of the documents in them."""
