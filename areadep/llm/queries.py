@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, minhash, neardup_vectors, packing, permutation_index, repeats
+from . import langid, minhash, neardup_vectors, packing, pagetext, permutation_index, repeats
 from .common import Scratch
 
 
@@ -41,6 +41,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")), scratch)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -48,5 +52,6 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_html_extraction": op9_html_extraction,
 }
 ORACLE: dict[str, str] = {}
