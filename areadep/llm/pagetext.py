@@ -42,10 +42,16 @@ COLUMNS = ["zone", "has_main", "words", "links", "words_before", "links_before",
 LABELLED = [
     (-1, 1, 1, 1.0, 1, 1.0, 1, 1.0, 0), (-1, 1, 12, 0.0, 1, 1.0, 60, 0.0, 0), (-1, 1, 25, 0.1, 80, 0.0, 0, 0.0, 0), (-1, 1, 140, 0.0, 60, 0.0, 90, 0.0, 0),
     (-1, 0, 3, 1.0, 0, 0.0, 2, 1.0, 0), (-1, 0, 45, 0.0, 30, 0.0, 20, 0.0, 0), (-1, 0, 8, 0.0, 70, 0.0, 0, 0.0, 0), (-1, 0, 220, 0.0, 4, 1.0, 5, 0.2, 0),
+    (-1, 1, 1, 0.0, 1, 0.0, 1, 0.0, 0), (-1, 1, 30, 0.0, 2, 0.0, 40, 0.0, 0), (-1, 1, 60, 0.0, 90, 0.0, 80, 0.0, 0), (-1, 0, 15, 0.0, 3, 0.0, 10, 0.0, 0),
+    (-1, 0, 40, 0.0, 30, 0.0, 60, 0.0, 0), (-1, 0, 3, 0.0, 2, 1.0, 45, 0.0, 0), (-1, 0, 18, 0.1, 20, 0.0, 30, 0.0, 0), (-1, 0, 9, 0.0, 0, 0.0, 80, 0.0, 0),
     (-1, 1, 2, 0.0, 30, 0.0, 30, 0.0, 0), (-1, 1, 6, 0.5, 15, 0.0, 2, 1.0, 0),
     (1, 1, 8, 0.0, 10, 0.0, 70, 0.0, 1), (1, 1, 90, 0.0, 8, 0.0, 60, 0.0, 1), (1, 1, 1, 0.0, 90, 0.0, 60, 0.0, 1), (1, 1, 3, 0.0, 2, 0.0, 1, 0.0, 1),
     (1, 1, 40, 0.3, 50, 0.0, 45, 0.1, 1), (1, 1, 9, 1.0, 60, 0.0, 55, 0.0, 1), (1, 1, 30, 0.6, 40, 0.0, 0, 0.0, 1), (1, 1, 5, 0.0, 1, 1.0, 1, 1.0, 1),
     (1, 1, 2, 0.0, 0, 0.0, 0, 0.0, 1), (1, 1, 400, 0.02, 12, 0.0, 25, 0.2, 1), (1, 1, 15, 0.0, 4, 1.0, 50, 0.0, 1), (1, 1, 6, 0.0, 30, 0.0, 4, 1.0, 1),
+    (1, 1, 1, 0.0, 1, 0.0, 1, 0.0, 1), (1, 1, 6, 0.0, 1, 0.0, 45, 0.0, 1), (1, 1, 60, 0.0, 1, 0.0, 1, 0.0, 1), (1, 1, 4, 0.0, 2, 0.0, 3, 0.0, 1),
+    (1, 1, 25, 0.0, 1, 0.0, 2, 0.0, 1), (1, 1, 3, 0.0, 3, 0.0, 5, 0.0, 1), (1, 1, 8, 0.0, 5, 0.0, 1, 0.0, 1), (1, 1, 20, 0.0, 6, 0.2, 7, 0.0, 1),
+    (1, 1, 150, 0.0, 3, 0.0, 8, 0.0, 1), (1, 1, 2, 0.0, 5, 0.0, 90, 0.0, 1), (1, 1, 2, 0.0, 2, 1.0, 3, 1.0, 1), (1, 1, 70, 0.0, 2, 1.0, 3, 1.0, 1),
+    (1, 1, 2, 1.0, 3, 0.0, 2, 0.0, 1), (1, 1, 5, 1.0, 8, 0.0, 12, 0.0, 1), (1, 1, 3, 1.0, 14, 0.0, 0, 0.0, 1), (1, 1, 4, 1.0, 9, 0.0, 40, 0.2, 1),
     (1, 1, 2, 1.0, 2, 1.0, 3, 1.0, 0), (1, 1, 4, 1.0, 1, 1.0, 2, 1.0, 0), (1, 1, 3, 1.0, 5, 1.0, 2, 1.0, 0), (1, 1, 7, 1.0, 6, 1.0, 8, 1.0, 0),
     (1, 1, 2, 1.0, 40, 0.0, 30, 0.0, 1), (1, 1, 12, 1.0, 25, 0.1, 33, 0.0, 1),
     (0, 1, 10, 0.0, 2, 1.0, 60, 0.0, 0), (0, 1, 30, 0.1, 50, 0.0, 3, 1.0, 0), (0, 1, 70, 0.0, 8, 0.0, 9, 0.0, 0), (0, 1, 2, 1.0, 0, 0.0, 1, 1.0, 0),
