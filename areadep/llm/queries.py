@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, minhash, neardup_vectors, packing, pagetext, permutation_index, repeats
+from . import langid, minhash, mixing, neardup_vectors, packing, pagetext, permutation_index, repeats
 from .common import Scratch
 
 
@@ -45,6 +45,10 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op10")).drop("x")
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -53,5 +57,6 @@ QUERIES = {
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_html_extraction": op9_html_extraction,
+    "op10_source_mixing": op10_source_mixing,
 }
 ORACLE: dict[str, str] = {}
