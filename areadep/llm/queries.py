@@ -17,8 +17,7 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = repeats.remove_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "op2"), texts=False)
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 Suffixes are not sorted at every byte but at anchors: in each window of LENGTH bytes the GRAM-byte string with the least hash,
 the first of equals. The choice depends on the window's bytes alone, so a string of LENGTH bytes that occurs twice has the same
-anchor at both places. Suffixes whose anchor's string occurs once repeat nothing. The others meet by that string; a group
-holds, for each place, the bytes that any window with the anchor can reach. In a group the suffix array with common
-prefixes is scanned with a stack into its tree of intervals; the occurrences of each interval are scanned in the same way by
-what precedes them, which tells the left extensions apart. What is diverse on both sides is a maximal repeat within that
-reach, with all its occurrences; longer repeats run on from anchor to anchor.
-
-A group of more than CROWD places is not held by one task: its interval tree is cut at depth LENGTH, where an interval is the
+anchor at both places. Suffixes whose anchor's string occurs once repeat nothing. The others meet by that string. What any
+window with the anchor can reach is the anchor's clip; anchors with equal clips are one kind, repeated as far as they reach.
+The suffix array of the kinds of a group, with common prefixes, is scanned with a stack into its tree of intervals; the
+members of each interval are scanned in the same way by what precedes them, which tells the left extensions apart. What is
+diverse on both sides is a maximal repeat within that reach, with all its occurrences; longer repeats run on from anchor to
+anchor. Bytes are fetched only for one anchor of each kind, of groups in which a kind occurs once.
+
+A group of more than CROWD kinds is not held by one task: its interval tree is cut at depth LENGTH, where an interval is the
 suffixes that agree on their first LENGTH bytes, so they are counted by a digest of those bytes, in partial sums.
 """
 
@@ -38,27 +39,22 @@ class Anchors:
         rng = np.random.default_rng(SEED)
         self.length, self.gram, self.window = length, gram, length - gram + 1
         self.values = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-        size = CHUNK + length
+        size = CHUNK + 4 * length
         base = int(rng.integers(1 << 62)) * 2 + 1
         with np.errstate(over="ignore"):
             self.powers = np.cumprod(np.full(size, base, np.uint64))          # from the first power on, which serves as well
             self.inverse = np.cumprod(np.full(size, pow(base, -1, 1 << 64), np.uint64))
 
-    def of(self, flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """flat: at most CHUNK + length bytes; ends: of the documents in them."""
+    def of(self, flat: np.ndarray, ends: np.ndarray, first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions, hashes and clip hashes of the anchors that windows starting in first..last choose; ends: of the documents in flat."""
         n, k, w = len(flat), self.gram, self.window
-        none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         if n < self.length:
-            return none
-        with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(self.values[flat] * self.powers[:n], out=sums[1:])
-            h = (sums[k:] - sums[:-k]) * self.inverse[:n - k + 1]
-            h ^= h >> np.uint64(32)
-            h *= np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.values[flat] * self.powers[:n], out=sums[1:])
+        h = mixed((sums[k:] - sums[:-k]) * self.inverse[:n - k + 1])
         m = len(h)
-        key = np.full(-(-m // w) * w, np.iinfo(np.uint64).max)
+        key = np.full(-(-m // w) * w, np.iinfo(np.uint64).max, np.uint64)
         key[:m] = (h & ~np.uint64(POSITION)) | np.arange(m, dtype=np.uint64)
         rows = key.reshape(-1, w)
         ahead = np.minimum.accumulate(rows, axis=1).ravel()
@@ -70,9 +66,21 @@ class Anchors:
         fits = ends - starts >= self.length
         np.add.at(inside, starts[fits], 1)
         np.add.at(inside, ends[fits] - self.length + 1, -1)
-        at = (best[np.cumsum(inside[:-1]) > 0] & np.uint64(POSITION)).astype(np.int64)
+        whole = np.cumsum(inside[:-1]) > 0
+        whole[:first] = False
+        if last is not None:
+            whole[last:] = False
+        at = (best[whole] & np.uint64(POSITION)).astype(np.int64)
         at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
-        return at, h[at]
+        doc = np.searchsorted(ends, at, "right")
+        a, b = np.maximum(starts[doc], at - (w - 1)), np.minimum(ends[doc], at + self.length)
+        clip = mixed((sums[b] - sums[a]) * self.inverse[a] + (at - a).astype(np.uint64) * self.values[1] + (b - a).astype(np.uint64) * self.values[2])
+        return at, h[at], clip
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
 
 
 def _anchors(length: int, gram: int):
@@ -83,21 +91,22 @@ def _anchors(length: int, gram: int):
             i = 0
             while i < batch.num_rows:
                 j = max(i + 1, int(np.searchsorted(at, at[i] + CHUNK, "right")) - 1)
-                found: list[tuple[np.ndarray, np.ndarray]] = []
-                if j > i + 1 or at[j] - at[i] <= CHUNK:
-                    found.append(find.of(flat[at[i]:at[j]], at[i + 1:j + 1] - at[i]))
-                else:                                             # a long text, in parts that share all but one byte of a window
-                    for a in range(0, int(at[j] - at[i]) - length + 1, CHUNK):
-                        b = min(a + CHUNK + length - 1, int(at[j] - at[i]))
-                        p, h = find.of(flat[at[i] + a:at[i] + b], np.array([b - a]))
-                        found.append((p + a, h))
-                p, h = (np.concatenate(x) for x in zip(*found, strict=True))
-                doc = np.searchsorted(at[i:j + 1] - at[i], p, "right") - 1
-                p = p - (at[i:j + 1] - at[i])[doc]
+                begin, size = int(at[i]), int(at[j] - at[i])
+                if size <= CHUNK:
+                    p, h, c = find.of(flat[begin:begin + size], at[i + 1:j + 1] - begin)
+                else:                                             # a long text, by windows in parts, each with what clips can reach
+                    found = []
+                    for a in range(0, size - length + 1, CHUNK):
+                        low, high = max(0, a - length), min(size, a + CHUNK + 2 * length)
+                        q, *rest = find.of(flat[begin + low:begin + high], np.array([high - low]), a - low, a - low + CHUNK)
+                        found.append((q + low, *rest))
+                    p, h, c = (np.concatenate(x) for x in zip(*found, strict=True))
+                doc = np.searchsorted(at[i + 1:j + 1] - begin, p, "right")
+                p = p - (at[i:j] - begin)[doc]
                 new = np.concatenate([[True], (p[1:] != p[:-1]) | (doc[1:] != doc[:-1])]) if len(p) else np.zeros(0, bool)
                 rows = pa.array(doc[new] + i)
                 yield pa.RecordBatch.from_arrays([batch.column("x1").take(rows), batch.column("x2").take(rows), pa.array(p[new].astype(np.int32)),
-                                                  pa.array(h[new].view(np.int64))], names=["x1", "x2", "pos", "h"])
+                                                  pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int64))], names=["x1", "x2", "pos", "h", "c"])
                 i = j
     return run
 
@@ -142,36 +151,30 @@ def maximal(lefts: list[bytes], rights: list[bytes], length: int) -> Iterator[tu
 
 
 def _scan(length: int, listing: bool):
-    """Of the places of each group: how far each is repeated to both sides, or (listing) every maximal repeat with all its places."""
+    """Of the kinds of each group that occur once: how far they are repeated to both sides. Listing: every maximal repeat, by kinds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in groups(batches, "h"):
-            clips, left = table.column("clip").to_pylist(), numpy_of(table, "left").tolist()
+            clips, left, times = table.column("clip").to_pylist(), numpy_of(table, "left").tolist(), numpy_of(table, "n")
             n = len(clips)
-            back, ahead = np.zeros(n, np.int32), np.zeros(n, np.int32)
+            back, ahead = np.zeros(n, np.int64), np.zeros(n, np.int64)
             out: list[tuple[int, int, int, int]] = []
-            for g, (a, b) in enumerate(zip(bounds.tolist(), [*bounds[1:].tolist(), n], strict=True)):
-                if b - a < 2:
-                    continue
-                same: dict[tuple[bytes, int], list[int]] = {}
-                for i in range(a, b):
-                    same.setdefault((clips[i], left[i]), []).append(i)
-                kinds = list(same)
-                found = [([k], kinds[k][1], len(kinds[k][0]) - kinds[k][1]) for k, (c, _) in enumerate(kinds) if len(same[kinds[k]]) > 1 and len(c) >= length]
-                if len(kinds) > 1:
-                    found += maximal([c[:m][::-1] for c, m in kinds], [c[m:] for c, m in kinds], length)
-                for r, (places, e, d) in enumerate(found):
-                    rows = [i for k in places for i in same[kinds[k]]]
+            for a, b in zip(bounds.tolist(), [*bounds[1:].tolist(), n], strict=True):
+                found = [([i], left[i], len(clips[i]) - left[i]) for i in range(a, b) if times[i] > 1 and len(clips[i]) >= length] if listing else []
+                if b - a > 1:
+                    tree = maximal([clips[i][:left[i]][::-1] for i in range(a, b)], [clips[i][left[i]:] for i in range(a, b)], length)
+                    found += (([a + i for i in places], e, d) for places, e, d in tree)
+                for r, (rows, e, d) in enumerate(found):
                     if listing:
-                        out += [(i, g * 1_000_003 + r, e, d) for i in rows]
+                        out += [(i, r, e, d) for i in rows]
                     else:
                         back[rows] = np.maximum(back[rows], e)
                         ahead[rows] = np.maximum(ahead[rows], d)
             if listing:
                 at, name, e, d = (np.array(c, np.int64) for c in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(numpy_of(table, "h")[at]), pa.array(name), *(pa.array(numpy_of(table, c)[at]) for c in ("x1", "x2")),
-                                                  pa.array(numpy_of(table, "pos")[at] - e), pa.array(e + d)], names=["h", "repeat", "x1", "x2", "start", "length"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(numpy_of(table, c)[at]) for c in ("h", "c")), pa.array(name), pa.array(e), pa.array(d)],
+                                                 names=["h", "c", "repeat", "back", "ahead"])
             else:
-                at = np.flatnonzero(ahead)
+                at = np.flatnonzero((ahead > 0) & (times == 1))
                 pos = numpy_of(table, "pos")[at].astype(np.int64)
                 yield pa.RecordBatch.from_arrays([*(pa.array(numpy_of(table, c)[at]) for c in ("x1", "x2")), pa.array(pos - back[at]), pa.array(pos + ahead[at])],
                                                  names=["x1", "x2", "a", "b"])
@@ -184,89 +187,123 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", text).alias("x1"), F.hash(text, "doc_id").alias("x2"), "doc_id", text.alias("text"))
 
 
-def places(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """(h, crowded, x1, x2, pos, left, clip): the anchors whose string occurs more than once, with the bytes in their reach."""
-    rows = keyed(docs)
-    found = scratch.keep(rows.select("x1", "x2", "text").mapInArrow(_anchors(length, gram), "x1 long, x2 int, pos int, h long"), "anchors")
-    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", (F.col("n") > crowd).alias("crowded"))
-    mine = found.join(often, "h").groupBy("x1", "x2").agg(F.collect_list(F.struct("pos", "h", "crowded")).alias("at"))     # bounded by the text
-    mine = scratch.keep(mine, "often")
+def anchors(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """The anchors (x1, x2, pos, h, c) whose string occurs more than once, and their kinds (h, c, n, one anchor of each)."""
+    found = scratch.keep(keyed(docs).select("x1", "x2", "text").mapInArrow(_anchors(length, gram), "x1 long, x2 int, pos int, h long, c long"), "anchors")
+    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    mine = scratch.keep(found.join(often, "h").select("x1", "x2", "pos", "h", "c"), "often")
     scratch.drop("anchors")
-    whole = F.col("text").cast("binary")
-    clip = lambda p: F.struct(p["h"].alias("h"), p["crowded"].alias("crowded"), p["pos"].alias("pos"),
-                              F.least(p["pos"], F.lit(length - gram)).alias("left"),
-                              F.substring(whole, F.greatest(p["pos"] - (length - gram), F.lit(0)) + 1, F.least(p["pos"], F.lit(length - gram)) + length).alias("clip"))
-    cut = rows.join(mine, ["x1", "x2"]).select("x1", "x2", F.transform(F.array_distinct("at"), clip).alias("p"))
-    return scratch.keep(cut.select("x1", "x2", F.explode("p").alias("p")).select("x1", "x2", "p.*"), "places")
-
-
-def crowded_reach(rows: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    """(x1, x2, a, b) of places in crowded groups, from counts of whole windows by their digest."""
-    same = ["h", "left", "digest"]
-    named = rows.withColumn("digest", F.sha2("clip", 256))
-    kinds = scratch.keep(named.where(F.length("clip") >= length).groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.first("clip").alias("clip")), "kinds")
+    return mine, scratch.keep(mine.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("x1", "x2", "pos")).alias("one")).select("h", "c", "n", "one.*"), "kinds")
+
+
+def clipped(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFrame:
+    """The rows of kinds with left, the bytes before the anchor, and clip, the bytes in its reach."""
+    asked = kinds.groupBy("x1", "x2").agg(F.collect_list(F.struct(*[c for c in kinds.columns if c not in ("x1", "x2")])).alias("at"))     # bounded by the text
+    joined = keyed(docs).drop("doc_id").join(asked, ["x1", "x2"]).dropDuplicates(["x1", "x2"]).select("x1", "x2", "text", "at")
+    fields = [c for c in kinds.columns if c not in ("x1", "x2")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, at = bytes_of(batch.column("text"))
+            lists = batch.column("at")
+            counts = np.diff(lists.offsets.to_numpy())
+            rows = lists.flatten()
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            pos = rows.field("pos").to_numpy(zero_copy_only=False).astype(np.int64)
+            left = np.minimum(pos, length - gram)
+            low, high = at[row] + pos - left, np.minimum(at[row + 1], at[row] + pos + length)
+            clips = [flat[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column("x1").take(take), batch.column("x2").take(take), *(rows.field(f) for f in fields),
+                                              pa.array(left.astype(np.int32)), pa.array(clips, pa.binary())], names=schema.names)
+
+    schema = extended(kinds.select("x1", "x2", *fields).schema, "left int, clip binary")
+    return joined.mapInArrow(run, schema)
+
+
+def crowded_reach(rows: DataFrame, length: int) -> DataFrame:
+    """(x1, x2, a, b) of kinds that occur once in crowded groups, from counts of whole windows by their digest."""
     starts = F.sequence(F.lit(0), F.length("clip") - length)
-    windows = kinds.select(*same, "n", F.explode(F.transform(starts, lambda o: F.struct(o.alias("o"), F.xxhash64(F.substring("clip", o + 1, F.lit(length))).alias("w1"),
-                                                                                       F.hash(F.substring("clip", o + 1, F.lit(length))).alias("w2")))).alias("w")).select(*same, "n", "w.*")
+    window = lambda o: F.substring("clip", o + 1, F.lit(length))
+    windows = rows.where(F.length("clip") >= length).select("h", "c", "n", F.explode(F.transform(starts, lambda o: F.struct(
+        o.alias("o"), F.xxhash64(window(o)).alias("w1"), F.hash(window(o)).alias("w2")))).alias("w")).select("h", "c", "n", "w.*")
     often = windows.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1").select("w1", "w2")
-    reach = windows.join(often, ["w1", "w2"]).groupBy(*same).agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
-    start = F.col("pos") - F.col("left")
-    return named.join(reach, same).select("x1", "x2", (start + F.col("o1")).cast("long").alias("a"), (start + F.col("o2") + length).cast("long").alias("b"))
+    reach = windows.where("n = 1").join(often, ["w1", "w2"]).groupBy("h", "c").agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
+    start = (F.col("pos") - F.col("left")).cast("long")
+    return rows.join(reach, ["h", "c"]).select("x1", "x2", (start + F.col("o1")).alias("a"), (start + F.col("o2") + length).alias("b"))
 
 
-def repeat_groups(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
-    """(h, repeat, x1, x2, start, length): every maximal repeat within the reach of an anchor (h, repeat), with all its occurrences in
-    the documents named by keyed(). Crowded groups are listed too: here a task holds a group whole, so use it where groups are bounded."""
-    rows = places(docs, scratch, length, crowd=1 << 62)
-    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(_scan(length, True), "h long, repeat long, x1 long, x2 int, start long, length long")
+def repeat_groups(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(h, repeat, x1, x2, start, length): every maximal repeat within the reach of an anchor, named (h, repeat), with all its occurrences
+    in the documents named by keyed(). A task holds a group's kinds whole."""
+    mine, kinds = anchors(docs, scratch, length, gram)
+    rows = clipped(docs, kinds, length, gram).repartition("h").sortWithinPartitions("h")
+    found = rows.mapInArrow(_scan(length, True), "h long, c long, repeat long, back long, ahead long")
+    return mine.join(found, ["h", "c"]).select("h", "repeat", "x1", "x2", (F.col("pos") - F.col("back")).alias("start"), (F.col("back") + F.col("ahead")).alias("length"))
 
 
-def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
+def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """(x1, x2, spans): for each document with repeats, spans (a, b) in bytes whose union is what the repeats of `length` bytes or more cover."""
-    rows = places(docs, scratch, length, crowd=crowd)
-    few = rows.where("not crowded").drop("crowded")
-    spans = few.repartition("h").sortWithinPartitions("h").mapInArrow(_scan(length, False), "x1 long, x2 int, a long, b long")
-    many = rows.where("crowded").drop("crowded")
+    mine, kinds = anchors(docs, scratch, length, gram)
+    # A clip reaches from length - gram bytes before its anchor, or the text's start, to length bytes after its start, or the text's end.
+    twins = mine.join(kinds.where("n > 1").select("h", "c"), ["h", "c"]).select(
+        "x1", "x2", F.greatest(F.col("pos") - (length - gram), F.lit(0)).cast("long").alias("a"), (F.col("pos") + length).cast("long").alias("b"))
+    mixed_groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
+    asked = kinds.join(mixed_groups.select("h", (F.col("kinds") > crowd).alias("crowded")), "h")
+    rows = scratch.keep(clipped(docs, asked, length, gram), "clips")
+    few = rows.where("not crowded").select("h", "n", "x1", "x2", "pos", "left", "clip").repartition("h").sortWithinPartitions("h")
+    spans = twins.union(few.mapInArrow(_scan(length, False), "x1 long, x2 int, a long, b long"))
+    many = rows.where("crowded")
     if not many.isEmpty():
-        spans = spans.union(crowded_reach(many, scratch, length))
-    return scratch.keep(spans.groupBy("x1", "x2").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")     # bounded by the text
+        spans = spans.union(crowded_reach(many, length))
+    joined = scratch.keep(spans.groupBy("x1", "x2").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")     # bounded by the text
+    scratch.drop("clips")
+    scratch.drop("often")
+    scratch.drop("kinds")
+    return joined
 
 
-def _remove(names: list[str]):
+def _remove(names: list[str], texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, at = bytes_of(batch.column("text"))
-            spans, out = batch.column("spans"), []
+            lists = batch.column("spans")
+            bounds, pairs = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+            low, high = (pairs.field(f).to_numpy(zero_copy_only=False) for f in ("a", "b"))
+            valid = lists.is_valid().to_numpy(zero_copy_only=False)
+            out = []
             for i, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist(), strict=False)):
-                text = flat[a:b].tobytes()
-                runs: list[list[int]] = []
-                for s in sorted((x["a"], x["b"]) for x in spans[i].as_py() or []):
-                    if runs and s[0] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], s[1])
-                    else:
-                        runs.append([*s])
-                edges = [0, *(x for r in runs for x in r), len(text)]
-                kept = b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
-                out.append((len(text), len(text) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"), [x for r in runs for x in r]))
-            cols = [list(c) for c in zip(*out, strict=True)] or [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64())]
+                text, edges = flat[a:b].tobytes(), []
+                if valid[i]:
+                    x, y = low[bounds[i]:bounds[i + 1]], np.minimum(high[bounds[i]:bounds[i + 1]], b - a)
+                    order = np.argsort(x, kind="stable")
+                    x, y = x[order], np.maximum.accumulate(y[order])
+                    new = np.flatnonzero(np.concatenate([[True], x[1:] > y[:-1]]))
+                    edges = np.stack([x[new], y[np.append(new[1:], len(x)) - 1]], axis=1).ravel().tolist()
+                ends = [0, *edges, len(text)]
+                kept = b"".join(text[p:q] for p, q in zip(ends[::2], ends[1::2], strict=True)) if edges else text
+                row = (len(text), len(text) - len(kept), len(edges) // 2, hashlib.sha256(kept).hexdigest())
+                out.append((*row, kept.decode("utf-8", "ignore"), edges) if texts else row)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64())][:6 if texts else 4]
+            cols = [list(c) for c in zip(*out, strict=True)] or [[] for _ in kinds]
             rest = [batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-                                             names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "span_edges"])
+                                             names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "span_edges"][:len(rest) + len(kinds)])
     return run
 
 
-def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, crowd: int = CROWD, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, carry: list[str] | None = None,
+                   texts: bool = True) -> DataFrame:
     """Each row of (doc_id, text) without the bytes that a string of `length` bytes covers which also starts anywhere else.
 
-    Returns doc_id, the columns `carry`, n_bytes, n_removed, n_spans, kept_sha256, kept_text (what is left, less the bytes of
-    characters cut in two) and span_edges (start and end of each removed run, in bytes). Text null: empty. Texts shorter than
-    `length` stay. Equal rows are documents like others: from `length` bytes on, each repeats the other and both go.
+    Returns doc_id, the columns `carry`, n_bytes, n_removed, n_spans, kept_sha256 and, if `texts`, kept_text (what is left, less
+    the bytes of characters cut in two) and span_edges (start and end of each removed run, in bytes). Text null: empty. Texts
+    shorter than `length` stay. Equal rows are documents like others: from `length` bytes on, each repeats the other and both go.
     """
     carry = carry or []
-    spans = repeated_spans(docs.select("doc_id", "text"), scratch, length, crowd)
+    spans = repeated_spans(docs.select("doc_id", "text"), scratch, length, gram, crowd)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.xxhash64("doc_id", text).alias("x1"), F.hash(text, "doc_id").alias("x2"), "doc_id", *carry, text.alias("text"))
     joined = rows.join(spans, ["x1", "x2"], "left").select("doc_id", *carry, "text", "spans")
-    fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, span_edges array<long>"
-    return joined.mapInArrow(_remove(["doc_id", *carry]), extended(joined.select("doc_id", *carry).schema, fields))
+    fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, span_edges array<long>" if texts else "")
+    return joined.mapInArrow(_remove(["doc_id", *carry], texts), extended(joined.select("doc_id", *carry).schema, fields))
