@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, minhash, mixing, neardup_vectors, packing, pagetext, permutation_index, repeats
+from . import chunks, langid, minhash, mixing, neardup_vectors, packing, pagetext, permutation_index, repeats
 from .common import Scratch
 
 
@@ -24,6 +24,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark, "op3")).drop("x")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op4"), texts=False)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out().alias("held_out"))
     model = langid.learn(docs.where("not held_out"))
@@ -52,6 +56,7 @@ QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_language_id": op5_language_id,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_best_fit_packing": op8_best_fit_packing,

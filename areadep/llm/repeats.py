@@ -274,7 +274,7 @@ def _remove(names: list[str], texts: bool):
             out = []
             for i, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist(), strict=False)):
                 text, edges = flat[a:b].tobytes(), []
-                if valid[i]:
+                if valid[i] and bounds[i] < bounds[i + 1]:
                     x, y = low[bounds[i]:bounds[i + 1]], np.minimum(high[bounds[i]:bounds[i + 1]], b - a)
                     order = np.argsort(x, kind="stable")
                     x, y = x[order], np.maximum.accumulate(y[order])
