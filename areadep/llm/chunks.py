@@ -127,6 +127,6 @@ def dedup(docs: DataFrame, scratch: Scratch, run: int = RUN, bits: int = BITS, l
     lists = again.groupBy("x1", "x2").agg(F.collect_set("at").alias("at"))      # bounded by the text
     spans = scratch.keep(lists.mapInArrow(_spans(run), "x1 long, x2 int, n_repeated long, spans array<struct<a: long, b: long>>"), "spans")
     scratch.drop("chunks")
-    joined = rows.join(spans, ["x1", "x2"], "left").select("doc_id", F.coalesce("n_repeated", F.lit(0)).cast("long").alias("n_repeated"), "text", "spans")
+    joined = rows.join(spans.hint("merge"), ["x1", "x2"], "left").select("doc_id", F.coalesce("n_repeated", F.lit(0)).cast("long").alias("n_repeated"), "text", "spans")
     fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, span_edges array<long>" if texts else "")
     return joined.mapInArrow(_remove(["doc_id", "n_repeated"], texts), extended(joined.select("doc_id", "n_repeated").schema, fields))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chunks, langid, minhash, mixing, neardup_vectors, packing, pagetext, permutation_index, repeats
+from . import chunks, langid, lmscore, minhash, mixing, neardup_vectors, packing, pagetext, permutation_index, repeats
 from .common import Scratch
 
 
@@ -34,6 +34,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model, ["doc_id", "held_out"])
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(table(spark, sf_dir, "documents"), Scratch(spark, "op6"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return permutation_index.nearest(vectors, vectors.where("vec_id % 50 = 0"), Scratch(spark, "op7"))
@@ -58,6 +62,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_language_id": op5_language_id,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_html_extraction": op9_html_extraction,

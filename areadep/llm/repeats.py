@@ -199,7 +199,7 @@ def anchors(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> tuple[
 def clipped(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFrame:
     """The rows of kinds with left, the bytes before the anchor, and clip, the bytes in its reach."""
     asked = kinds.groupBy("x1", "x2").agg(F.collect_list(F.struct(*[c for c in kinds.columns if c not in ("x1", "x2")])).alias("at"))     # bounded by the text
-    joined = keyed(docs).drop("doc_id").join(asked, ["x1", "x2"]).dropDuplicates(["x1", "x2"]).select("x1", "x2", "text", "at")
+    joined = keyed(docs).drop("doc_id").join(asked.hint("merge"), ["x1", "x2"]).dropDuplicates(["x1", "x2"]).select("x1", "x2", "text", "at")
     fields = [c for c in kinds.columns if c not in ("x1", "x2")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,6 +304,6 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     spans = repeated_spans(docs.select("doc_id", "text"), scratch, length, gram, crowd)
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.xxhash64("doc_id", text).alias("x1"), F.hash(text, "doc_id").alias("x2"), "doc_id", *carry, text.alias("text"))
-    joined = rows.join(spans, ["x1", "x2"], "left").select("doc_id", *carry, "text", "spans")
+    joined = rows.join(spans.hint("merge"), ["x1", "x2"], "left").select("doc_id", *carry, "text", "spans")
     fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, span_edges array<long>" if texts else "")
     return joined.mapInArrow(_remove(["doc_id", *carry], texts), extended(joined.select("doc_id", *carry).schema, fields))

@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one document stays, and of equal rows one."""
     kept = minhash.near_duplicates(docs, Scratch(spark, "pipeline3")).where("kept").select("x").distinct()
-    return docs.select(*COLUMNS).withColumn("x", row_name()).join(kept, "x").dropDuplicates(["x"]).select(*COLUMNS)
+    return docs.select(*COLUMNS).withColumn("x", row_name()).join(kept.hint("merge"), "x").dropDuplicates(["x"]).select(*COLUMNS)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents are repeated or left out so that the tokens of each domain come to their target share."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     copies = mixing.mix(docs, labels, Scratch(spark, "pipeline10")).where("copies > 0").select("x", "copies")
-    chosen = docs.select(*COLUMNS).withColumn("x", row_name()).join(copies, "x")
+    chosen = docs.select(*COLUMNS).withColumn("x", row_name()).join(copies.hint("merge"), "x")
     return chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
