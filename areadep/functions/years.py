@@ -41,14 +41,6 @@ def vintage_of(edition, registry: Registry = REGISTRY) -> Column:
     return out
 
 
-def recommended_edition(year: int, registry: Registry = REGISTRY) -> str:
-    """The edition recommended for one year of data; a year with none is refused."""
-    for first, last, key, _ in registry.edition_windows():
-        if first <= year <= last:
-            return key
-    raise ValueError(f"no edition is recommended for {year}")
-
-
 def analysis_year(override, address_date) -> Column:
     return F.coalesce(_col(override), F.year(_col(address_date)))
 
