@@ -178,7 +178,7 @@ def admit_bands(table: DataFrame, cube: DataFrame, ed: Edition, pinned: DataFram
     pinned = pinned if pinned is not None else spark.createDataFrame([], "domain string, dz_code string, shapefile_rank double, published_rank double")
     match = pinned_match(found, pinned, ["domain", "dz_code"], ["shapefile_rank", "published_rank"])
 
-    c = Checks(f"{label}.").zero("zones", F.col("ours").isNull() | F.col("_published").isNull())
+    c = Checks(f"{label}.").zero("zones", F.col("ours").isNull() | F.col("_published").isNull()).zero("rank.present", F.col("Rank").isNull())
     for b, k in BAND_WIDTH.items():
         v = F.col(b.capitalize()).cast("double")
         c.zero(f"{b}.whole", ~whole(v)).zero(f"{b}.range", ~F.coalesce(v.between(1, k), F.lit(False)))

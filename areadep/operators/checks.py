@@ -106,13 +106,20 @@ def identical_duplicates(df: DataFrame, name: str = "identical_duplicates") -> D
     return unique_key(df, df.columns, name)
 
 
+LISTED = 20      # undeclared values a report names
+
+
 def values_within(df: DataFrame, column: str, declared: list, name: str) -> DataFrame:
-    """The distinct values of a code column are exactly the declared ones."""
-    found = F.array_sort(F.collect_set(F.col(column).cast("string")))
+    """The distinct values of a code column are exactly the declared ones, and none is null. Beyond LISTED more than declared
+    the report names the first in order of text and how many there are."""
+    value = F.coalesce(F.col(column).cast("string"), F.lit("<null>"))
     declared = sorted({str(v) for v in declared})
-    # At most a few more values than declared are kept: a wrong column cannot fill the driver.
-    distinct = df.select(F.col(column).cast("string").alias(column)).distinct().limit(len(declared) + 20)
-    return Checks().equal(name, F.concat_ws(",", found), ",".join(declared)).run(distinct)
+    distinct = df.select(value.alias("value")).distinct()
+    named = distinct.orderBy("value").limit(len(declared) + LISTED)
+    all_of_them = distinct.agg(F.count(F.lit(1))).scalar()
+    shown = F.concat_ws(",", F.array_sort(F.collect_list("value")))
+    more = F.when(all_of_them > len(declared) + LISTED, F.concat(F.lit(",... of "), all_of_them.cast("string"))).otherwise("")
+    return Checks().equal(name, F.concat(shown, more), ",".join(declared)).run(named)
 
 
 def union_checks(*reports: DataFrame) -> DataFrame:
@@ -127,10 +134,10 @@ def settle(report: DataFrame) -> DataFrame:
 
 
 def require(report: DataFrame) -> None:
-    """Stop at the first failure. Only failed check rows reach the driver, and checks are declared."""
-    failed = report.where(~F.col("passed")).select("name", "expected", "actual").limit(50).collect()
+    """Stop if any check failed, naming how many and the first by name. Checks are declared, so their rows are few."""
+    failed = report.where(~F.col("passed")).select("name", "expected", "actual").collect()
     if failed:
-        first = failed[0]
+        first = min(failed, key=lambda r: r["name"])
         raise ChecksFailed(f"{len(failed)} blocking check(s) failed; first: {first['name']}: expected {first['expected']}, got {first['actual']}")
 
 

@@ -65,7 +65,8 @@ def touching_pairs(df: DataFrame, lives: Lives = Lives()) -> DataFrame:
     a = df.where(F.col(lives.end).isNotNull()).alias("a")
     b = df.alias("b")
     same_day = (F.col(f"a.{lives.key}") == F.col(f"b.{lives.key}")) & (F.col(f"a.{lives.end}") == F.col(f"b.{lives.start}"))
-    itself = (F.col(f"a.{lives.start}") == F.col(f"b.{lives.start}"))      # the natural key is (key, start)
+    # A same-day record meets a life that starts that day, but not itself.
+    itself = (F.col(f"a.{lives.start}") == F.col(f"b.{lives.start}")) & F.col(f"a.{lives.end}").eqNullSafe(F.col(f"b.{lives.end}"))
     return a.join(b, same_day & ~itself).select(
         F.col(f"a.{lives.key}").alias(lives.key), F.col(f"a.{lives.start}").alias("first_start"), F.col(f"a.{lives.end}").alias("meets_on"),
         F.col(f"b.{lives.end}").alias("second_end"), F.col(f"a.{lives.role}").alias("first_role"), F.col(f"b.{lives.role}").alias("second_role"))

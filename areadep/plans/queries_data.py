@@ -126,18 +126,31 @@ def _(spark, sf):
     return p.build_figures(directory(spark, sf), L)
 
 
-@query("interval_touching", LIVES + """
+BESIDES = LIVES + """
+, besides AS (SELECT pc_norm, introduced_on, deleted_on, spd_user_type FROM lives UNION ALL
+  SELECT pc_norm, introduced_on, introduced_on, 'large_user' FROM lives WHERE zone % 13 = 0 AND introduced_on IS DISTINCT FROM deleted_on)
+"""
+
+
+def with_days_beside(lives):
+    """The directory with same-day records beside some lives that start that day."""
+    few = lives.where((F.col("zone") % 13 == 0) & ~F.col("introduced_on").eqNullSafe(F.col("deleted_on")))
+    day = few.withColumns({"deleted_on": F.col("introduced_on"), "spd_user_type": F.lit("large_user")})
+    return lives.unionByName(day)
+
+
+@query("interval_touching", BESIDES + """
 SELECT a.pc_norm, a.introduced_on AS first_start, a.deleted_on AS meets_on, b.deleted_on AS second_end, a.spd_user_type AS first_role, b.spd_user_type AS second_role
-FROM lives a JOIN lives b ON a.pc_norm = b.pc_norm AND a.deleted_on = b.introduced_on AND a.introduced_on <> b.introduced_on""")
+FROM besides a JOIN besides b ON a.pc_norm = b.pc_norm AND a.deleted_on = b.introduced_on AND NOT (a.introduced_on = b.introduced_on AND a.deleted_on IS NOT DISTINCT FROM b.deleted_on)""")
 def _(spark, sf):
-    return p.touching_pairs(directory(spark, sf), L)
+    return p.touching_pairs(with_days_beside(directory(spark, sf)), L)
 
 
-@query("interval_transitions", LIVES + """
+@query("interval_transitions", BESIDES + """
 SELECT a.spd_user_type || ':' || b.spd_user_type AS transition, count(*) AS pairs
-FROM lives a JOIN lives b ON a.pc_norm = b.pc_norm AND a.deleted_on = b.introduced_on AND a.introduced_on <> b.introduced_on GROUP BY 1""")
+FROM besides a JOIN besides b ON a.pc_norm = b.pc_norm AND a.deleted_on = b.introduced_on AND NOT (a.introduced_on = b.introduced_on AND a.deleted_on IS NOT DISTINCT FROM b.deleted_on) GROUP BY 1""")
 def _(spark, sf):
-    return p.touching_transitions(directory(spark, sf), L)
+    return p.touching_transitions(with_days_beside(directory(spark, sf)), L)
 
 
 @query("interval_overlaps", LIVES + """

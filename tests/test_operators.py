@@ -61,12 +61,10 @@ LIFE = "pc_norm string, spd_user_type string, introduced_on date, deleted_on dat
 
 
 def test_same_day_lives_touch_and_do_not_overlap(spark):
-    rows = [("G11AA", "small_user", D(2000, 1, 1), D(2001, 1, 1)), ("G11AA", "large_user", D(2001, 1, 1), D(2001, 1, 1)), ("G11AA", "small_user", D(2001, 1, 1), None)]
-    # The natural key keeps same-day records of one key apart by their start, so the third starts a day on.
-    rows[2] = ("G11AA", "small_user", D(2001, 1, 2), None)
+    rows = [("G11AA", "small_user", D(2020, 1, 1), D(2020, 2, 1)), ("G11AA", "large_user", D(2020, 2, 1), None), ("G11AA", "small_user", D(2020, 2, 1), D(2020, 2, 1))]
     df = spark.createDataFrame(rows, LIFE)
-    assert strict_overlaps(df).count() == 0 and touching_pairs(df).count() == 1
-    assert [(r["transition"], r["pairs"]) for r in touching_transitions(df).collect()] == [("small_user:large_user", 1)]
+    assert strict_overlaps(df).count() == 0 and touching_pairs(df).count() == 3
+    assert {r["transition"]: r["pairs"] for r in touching_transitions(df).collect()} == {"small_user:small_user": 1, "small_user:large_user": 2}
 
 
 def test_nested_lives_overlap(spark):
@@ -228,6 +226,17 @@ def test_band_cube_contract_faults(spark, fault):
     assert failed(b.cube_checks(df, ed))
 
 
+@pytest.mark.parametrize("zone", ["Z1", "Z2", "Z3", "Z4"])
+def test_a_zone_without_a_published_rank_is_not_admitted(spark, zone):
+    ed, zones, df, pinned = cube(spark, lambda x: None if x[0] == zone and x[7] == "Income" and x[4] == "Rank" else x)
+    assert "rank.present" in failed(b.admit_bands(zones, df, ed, pinned)[1])
+
+
+def test_a_null_code_is_not_declared(spark):
+    ed, _, df, _ = cube(spark, lambda x: x[:2] + (None,) + x[3:] if x[0] == "Z1" else x)
+    assert "feature_type" in failed(b.cube_checks(df, ed))
+
+
 # ---- placing points ----
 
 NEST = {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 5, 7: 6, 8: 6}
