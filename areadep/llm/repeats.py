@@ -190,7 +190,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def anchors(docs: DataFrame, scratch: Scratch, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
     """The anchors (x1, x2, pos, h, c) whose string occurs more than once, and their kinds (h, c, n, one anchor of each)."""
     found = scratch.keep(keyed(docs).select("x1", "x2", "text").mapInArrow(_anchors(length, gram), "x1 long, x2 int, pos int, h long, c long"), "anchors")
-    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # Written first, so that the join has shuffles of its own and a string that is everywhere can be split.
+    often = scratch.keep(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "strings")
     mine = scratch.keep(found.join(often, "h").select("x1", "x2", "pos", "h", "c"), "often")
     scratch.drop("anchors")
     return mine, scratch.keep(mine.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("x1", "x2", "pos")).alias("one")).select("h", "c", "n", "one.*"), "kinds")
@@ -249,7 +250,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     twins = mine.join(kinds.where("n > 1").select("h", "c"), ["h", "c"]).select(
         "x1", "x2", F.greatest(F.col("pos") - (length - gram), F.lit(0)).cast("long").alias("a"), (F.col("pos") + length).cast("long").alias("b"))
     mixed_groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
-    asked = kinds.join(mixed_groups.select("h", (F.col("kinds") > crowd).alias("crowded")), "h")
+    asked = kinds.join(scratch.keep(mixed_groups.select("h", (F.col("kinds") > crowd).alias("crowded")), "mixed"), "h")
     rows = scratch.keep(clipped(docs, asked, length, gram), "clips")
     few = rows.where("not crowded").select("h", "n", "x1", "x2", "pos", "left", "clip").repartition("h").sortWithinPartitions("h")
     spans = twins.union(few.mapInArrow(_scan(length, False), "x1 long, x2 int, a long, b long"))
