@@ -21,22 +21,29 @@ from ..operators.lives import best_of_parts, best_part, geography_key, life_reco
 from ..operators.skew import lookup_join, measured
 from ..operators.timeline import as_of_join, broadcastable, stretches
 
-NARROW = 8     # carried columns that travel with the record; more are joined once the record is chosen
+NARROW = 8     # carried columns that travel with the record; more are joined by its identity once it is chosen, with the same result
 MATCHED = ["matched_pc_norm", "matched_pc_base", "matched_introduced_on", "matched_deleted_on", "matched_is_current",
            "matched_user_type", "requested_link_postcode", "matched_candidate_count"]
 SOURCE = ["source_key", "source_introduced_on", "source_is_current"]
 
 
+def _records(history: DataFrame, lives: Lives) -> DataFrame:
+    """The directory with the identity of a record beside it: key, first day and last day. A same-day record differs from a life
+    that starts with it by its end; records equal in all three are one. The join on them moves the rows by the same three."""
+    named = history.withColumns({"_ck": F.col(lives.key), "_cs": F.col(lives.start), "_ce": F.col(lives.end)})
+    return named.dropDuplicates(["_ck", "_cs", "_ce"])
+
+
 def _context(answers: DataFrame, history: DataFrame, lives: Lives, context, source, narrow: bool) -> DataFrame:
     """The chosen record of each answer with its context, its own geography if it is a small user, and
-    the key it links to otherwise. Wide columns come by the natural key after the choice is made."""
+    the key it links to otherwise. Wide columns come by the record's identity after the choice is made."""
     pick = lambda cols: [F.col(f"_w.{c}").alias(c) for c in cols]
     if narrow:
         out = answers.withColumn("_w", F.col("rec"))
     else:
-        wide = history.select(F.col(lives.key).alias("_ck"), F.col(lives.start).alias("_cs"),
-                              F.struct(*dict.fromkeys([*context, *source])).alias("_w"))
-        out = answers.join(wide, (F.col("rec.pc_norm") == F.col("_ck")) & (F.col("rec.introduced_on") == F.col("_cs")), "left").drop("_ck", "_cs")
+        wide = _records(history, lives).select("_ck", "_cs", "_ce", F.struct(*dict.fromkeys([*context, *source])).alias("_w"))
+        same = (F.col("rec.pc_norm") == F.col("_ck")) & (F.col("rec.introduced_on") == F.col("_cs")) & F.col("rec.deleted_on").eqNullSafe(F.col("_ce"))
+        out = answers.join(wide, same, "left").drop("_ck", "_cs", "_ce")
     small = F.coalesce(F.col("rec.role") == "small_user", F.lit(False))
     key = geography_key("rec", "candidates")
     own = F.struct(F.col("rec.pc_norm").alias("pc_norm"), F.col("rec.introduced_on").alias("introduced_on"),
@@ -146,7 +153,12 @@ def latest_table(history: DataFrame, lives: Lives = Lives(), context=(), source=
     best = best_part(newest, [lives.base], lives, carried if narrow else (), live_first=True)
     best = best.select(F.col(lives.base).alias("postcode_key"), F.col("found.candidates").alias("candidates"), F.col("found.rec").alias("rec"))
     best = _context(best, history, lives, context, source, narrow)
-    full = newest if narrow else newest.join(history.select(lives.key, lives.start, *more), [lives.key, lives.start])
+    if narrow:
+        full = newest
+    else:
+        whole = _records(history, lives).select("_ck", "_cs", "_ce", *[F.col(c) for c in more])
+        same = (newest[lives.key] == whole["_ck"]) & (newest[lives.start] == whole["_cs"]) & newest[lives.end].eqNullSafe(whole["_ce"])
+        full = newest.join(whole, same).drop("_ck", "_cs", "_ce")
     targets = full.where(F.col(lives.role) == "small_user").select(
         F.col(lives.key).alias("link_key"), F.struct(*_geo_fields(lives, source)).alias("target"))
     return _named(_with_target(best, targets), ["postcode_key"], context, source, st.latest_life_status)

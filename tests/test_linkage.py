@@ -209,3 +209,19 @@ def test_lookup_product(spark):
         assert (got[i]["postcode_status"], got[i]["data_zone_code"]) == (status, f"dz2011-{seed}" if seed else None)
     assert [got[i]["postcode_status"] for i in (20, 21, 22)] == ["matched", "a_part", "not_found"]
     assert rp.lookup_throughout(cohort(spark, [(1, "AB1 1AC")], "id int, postcode string"), m, "2004").first()["simd_edition"] == "2004"
+
+
+@pytest.mark.parametrize("n", [2, 9])
+def test_a_same_day_record_changes_nothing_whatever_is_carried(spark, n):
+    """One row a request, with the values of the life, for few and for many carried columns."""
+    from areadep.plans.linkage import link_as_of, link_latest
+    columns = [e.column("rank") for e in REGISTRY.editions] + ["Postcode", "SplitIndicator", "spd_release"]
+    h = directory(spark, life(intro="2000-01-01", deleted="2010-01-01", seed=1), life(intro="2010-01-01", deleted="2010-01-01", user="large_user", link="NO LINK", seed=2),
+                  life(intro="2010-01-01", seed=3))
+    c = cohort(spark, [(1, "AB1 1AA", D(2010, 1, 1)), (2, "AB1 1AA", D(2005, 5, 5)), (3, "AB1 1AA", D(2020, 1, 1))], "id int, postcode string, address_date date")
+    rank = columns[0]
+    dated = {r["id"]: r[f"source_{rank}"] for r in link_as_of(c, h, source=columns[:n]).collect()}
+    newest = [(r["id"], r[f"source_{rank}"]) for r in link_latest(c, h, source=columns[:n]).collect()]
+    want = {s: stored(s)[rank] for s in (1, 3)}
+    assert dated == {1: want[3], 2: want[1], 3: want[3]} and sorted(newest) == [(i, want[3]) for i in (1, 2, 3)]
+    assert link_as_of(c, h, source=columns[:n]).count() == 3
