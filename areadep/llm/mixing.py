@@ -19,6 +19,7 @@ SAMPLE = 20_000         # labelled rows the classifier learns from, as a mean; c
 FEATURES = 5_000        # features kept, those that tell most by chi-square
 TELLING = 10.83         # least chi-square: one in a thousand by chance
 STEPS, CLOSE = 40, 1e-3  # steps at most; largest miss of a target, relative to it, that ends them
+GAIN = 1e-3             # least share of the squared miss that a step must take off, or the fit has settled
 SEED = 23
 
 
@@ -95,6 +96,7 @@ def fit(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = ST
     """
     taken: list[dict[str, float]] = []
     base: dict[str, float] = {}
+    last = float("inf")
     for k in range(steps + 1):
         row = members.select("tokens", *DOMAINS, rate(taken).alias("r")).agg(
             *[F.sum(F.col("r") * F.col("tokens") * F.col(d)).alias(d) for d in DOMAINS], F.sum("tokens").alias("all")).first()
@@ -102,8 +104,11 @@ def fit(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = ST
         want = {d: targets[d] * (row["all"] or 0) for d in DOMAINS}
         base = base or have
         off = {d: (have[d] - want[d]) / base[d] if base[d] > 0 else 0.0 for d in DOMAINS}
-        if k == steps or max(abs(off[d]) * base[d] / want[d] if want[d] > 0 else abs(off[d]) for d in DOMAINS) < close:
+        miss = sum(base[d] * off[d] ** 2 for d in DOMAINS)
+        near = max(abs(off[d]) * base[d] / want[d] if want[d] > 0 else abs(off[d]) for d in DOMAINS) < close
+        if k == steps or near or miss > last * (1 - GAIN):
             break
+        last = miss
         taken.append(off)
     return taken
 
