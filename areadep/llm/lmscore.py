@@ -70,7 +70,7 @@ def _ask(order: int, bits: int):
                 names, n = np.unique(g[g > 0] >> np.uint64(16 - bits), return_counts=True)
                 part = (names >> np.uint64(48)).astype(np.int64)
                 starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-                ends = np.append(starts[1:], len(part))
+                ends = np.append(starts[1:], len(part)) if len(part) else starts
                 yield pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), pa.array([k] * len(starts), pa.int32()), pa.array([chunk] * len(starts), pa.int32()),
                                                   pa.array([_packed(names[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()),
                                                   pa.array([n[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())],

@@ -1,7 +1,7 @@
 """Mixing by soft membership: posteriors of a classifier, and rates that give each domain its share of the tokens.
 
 A labelled table teaches a naive Bayes classifier over the distinct features of a text. Its posteriors say how much of each
-document's tokens belongs to each domain. Projected gradient steps then fit a rate r >= 0 for each document so that the expected
+document's tokens belongs to each domain. Accelerated projected gradient steps then fit a rate r >= 0 for each document so that the expected
 tokens of each domain, sum of r·tokens·posterior, are nearest to its target in least squares. A step needs one sum for each
 domain over all documents; the state of a document is a function of its posteriors and of the residuals so far, so no state
 is kept but one short row a step. All of it is DataFrame functions.
@@ -19,7 +19,7 @@ SAMPLE = 20_000         # labelled rows the classifier learns from, as a mean; c
 FEATURES = 5_000        # features kept, those that tell most by chi-square
 TELLING = 10.83         # least chi-square: one in a thousand by chance
 STEPS, CLOSE = 40, 1e-3  # steps at most; largest miss of a target, relative to it, that ends them
-GAIN = 1e-3             # least share of the squared miss that a step must take off, or the fit has settled
+PATIENCE, GAIN = 5, 0.05    # the fit has settled when so many steps took less than this share off the squared miss
 SEED = 23
 
 
@@ -80,12 +80,22 @@ def posteriors(docs: DataFrame, model: DataFrame, priors: dict[str, float], scra
     return scratch.keep(log.select("doc_id", "x", "tokens", *[(F.exp(F.col(d) - top) / whole).alias(d) for d in DOMAINS]), "posteriors")
 
 
-def rate(steps: list[dict[str, float]]) -> Column:
-    """The rate of a document after steps of these sizes: from 1, less the step's residuals in proportion to its posteriors, never below 0."""
+def rates(steps: list[dict[str, float]]) -> tuple[Column, Column]:
+    """A document's rate after the steps, and the point at which the next step is taken: accelerated projected gradient.
+
+    A step lessens the point by the residuals in proportion to the posteriors, not below 0, which is the new rate; the next point goes on
+    from it by a share of what the rate has moved.
+    """
     if not steps:
-        return F.lit(1.0)
-    taken = F.array(*[F.struct(*[F.lit(float(s[d])).alias(d) for d in DOMAINS]) for s in steps])
-    return F.aggregate(taken, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - sum((s[d] * F.col(d) for d in DOMAINS), F.lit(0.0))))
+        return F.lit(1.0), F.lit(1.0)
+    taken = F.array(*[F.struct(*[F.lit(float(s[d])).alias(d) for d in DOMAINS], F.lit(k / (k + 3)).alias("on")) for k, s in enumerate(steps)])
+
+    def step(at: Column, s: Column) -> Column:
+        r = F.greatest(F.lit(0.0), at["y"] - sum((s[d] * F.col(d) for d in DOMAINS), F.lit(0.0)))
+        return F.struct(r.alias("r"), (r + s["on"] * (r - at["r"])).alias("y"))
+
+    end = F.aggregate(taken, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), step)
+    return end["r"], end["y"]
 
 
 def fit(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE) -> list[dict[str, float]]:
@@ -96,20 +106,21 @@ def fit(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = ST
     """
     taken: list[dict[str, float]] = []
     base: dict[str, float] = {}
-    last = float("inf")
+    misses: list[float] = []
     for k in range(steps + 1):
-        row = members.select("tokens", *DOMAINS, rate(taken).alias("r")).agg(
-            *[F.sum(F.col("r") * F.col("tokens") * F.col(d)).alias(d) for d in DOMAINS], F.sum("tokens").alias("all")).first()
-        have = {d: row[d] or 0.0 for d in DOMAINS}
+        r, y = rates(taken)
+        at = members.select("tokens", *DOMAINS, r.alias("r"), y.alias("y"))
+        sums = {f"{x}_{d}": F.sum(F.col(x) * F.col("tokens") * F.col(d)) for x in "ry" for d in DOMAINS}
+        row = at.agg(*[v.alias(n) for n, v in sums.items()], F.sum("tokens").alias("all")).first()
+        have, ahead = ({d: row[f"{x}_{d}"] or 0.0 for d in DOMAINS} for x in "ry")
         want = {d: targets[d] * (row["all"] or 0) for d in DOMAINS}
         base = base or have
-        off = {d: (have[d] - want[d]) / base[d] if base[d] > 0 else 0.0 for d in DOMAINS}
-        miss = sum(base[d] * off[d] ** 2 for d in DOMAINS)
-        near = max(abs(off[d]) * base[d] / want[d] if want[d] > 0 else abs(off[d]) for d in DOMAINS) < close
-        if k == steps or near or miss > last * (1 - GAIN):
+        misses.append(sum((have[d] - want[d]) ** 2 / base[d] for d in DOMAINS if base[d] > 0))
+        near = all(abs(have[d] - want[d]) <= close * want[d] for d in DOMAINS if base[d] > 0)
+        settled = k > PATIENCE and misses[-1] > (1 - GAIN) * misses[-1 - PATIENCE]
+        if k == steps or near or settled:
             break
-        last = miss
-        taken.append(off)
+        taken.append({d: (ahead[d] - want[d]) / base[d] if base[d] > 0 else 0.0 for d in DOMAINS})
     return taken
 
 
@@ -123,4 +134,4 @@ def mix(docs: DataFrame, labels: DataFrame, scratch: Scratch, targets: dict[str,
     members = posteriors(docs, model, priors, scratch)
     taken = fit(members, targets)
     u = F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
-    return members.withColumn("rate", rate(taken)).withColumn("copies", F.floor(F.col("rate") + u).cast("int"))
+    return members.withColumn("rate", rates(taken)[0]).withColumn("copies", F.floor(F.col("rate") + u).cast("int"))

@@ -224,12 +224,15 @@ def clipped(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFr
 
 def crowded_reach(rows: DataFrame, length: int) -> DataFrame:
     """(x1, x2, a, b) of kinds that occur once in crowded groups, from counts of whole windows by their digest."""
+    # A window is compared at one place relative to the anchor only, as clips of neighbouring anchors share windows.
     starts = F.sequence(F.lit(0), F.length("clip") - length)
     window = lambda o: F.substring("clip", o + 1, F.lit(length))
-    windows = rows.where(F.length("clip") >= length).select("h", "c", "n", F.explode(F.transform(starts, lambda o: F.struct(
-        o.alias("o"), F.xxhash64(window(o)).alias("w1"), F.hash(window(o)).alias("w2")))).alias("w")).select("h", "c", "n", "w.*")
-    often = windows.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1").select("w1", "w2")
-    reach = windows.where("n = 1").join(often, ["w1", "w2"]).groupBy("h", "c").agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
+    windows = rows.where(F.length("clip") >= length).select("h", "c", "n", "left", F.explode(F.transform(starts, lambda o: F.struct(
+        o.alias("o"), F.xxhash64(window(o)).alias("w1"), F.hash(window(o)).alias("w2")))).alias("w"))
+    windows = windows.select("h", "c", "n", (F.col("w.o") - F.col("left")).alias("place"), "w.*")
+    same = ["h", "place", "w1", "w2"]
+    often = windows.groupBy(*same).agg(F.sum("n").alias("all")).where("all > 1").select(*same)
+    reach = windows.where("n = 1").join(often, same).groupBy("h", "c").agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
     start = (F.col("pos") - F.col("left")).cast("long")
     return rows.join(reach, ["h", "c"]).select("x1", "x2", (start + F.col("o1")).alias("a"), (start + F.col("o2") + length).alias("b"))
 
