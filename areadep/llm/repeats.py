@@ -150,9 +150,14 @@ def maximal(lefts: list[bytes], rights: list[bytes], length: int) -> Iterator[tu
                 yield places, left, right
 
 
-def _scan(length: int, listing: bool):
-    """Of the kinds of each group that occur once: how far they are repeated to both sides. Listing: every maximal repeat, by kinds."""
+def _scan(length: int, listing: int = 0):
+    """Of the kinds of each group that occur once: how far they are repeated to both sides.
+
+    Listing (then the bytes of an anchor's string): every maximal repeat, by kinds. The same bytes may stand where another string is the
+    anchor; where a window inside the repeat chooses the anchor they cannot, so those repeats are listed, and with all places.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chooser = Anchors(length, listing) if listing else None
         for table, bounds in groups(batches, "h"):
             clips, left, times = table.column("clip").to_pylist(), numpy_of(table, "left").tolist(), numpy_of(table, "n")
             n = len(clips)
@@ -164,7 +169,11 @@ def _scan(length: int, listing: bool):
                     tree = maximal([clips[i][:left[i]][::-1] for i in range(a, b)], [clips[i][left[i]:] for i in range(a, b)], length)
                     found += (([a + i for i in places], e, d) for places, e, d in tree)
                 for r, (rows, e, d) in enumerate(found):
-                    if listing:
+                    if chooser:
+                        i = rows[0]
+                        raw = np.frombuffer(clips[i][left[i] - e:left[i] + d], np.uint8)
+                        if e not in chooser.of(raw, np.array([len(raw)]))[0]:
+                            continue
                         out += [(i, r, e, d) for i in rows]
                     else:
                         back[rows] = np.maximum(back[rows], e)
@@ -242,7 +251,7 @@ def repeat_groups(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram:
     in the documents named by keyed(). A task holds a group's kinds whole."""
     mine, kinds = anchors(docs, scratch, length, gram)
     rows = clipped(docs, kinds, length, gram).repartition("h").sortWithinPartitions("h")
-    found = rows.mapInArrow(_scan(length, True), "h long, c long, repeat long, back long, ahead long")
+    found = rows.mapInArrow(_scan(length, gram), "h long, c long, repeat long, back long, ahead long")
     return mine.join(found, ["h", "c"]).select("h", "repeat", "x1", "x2", (F.col("pos") - F.col("back")).alias("start"), (F.col("back") + F.col("ahead")).alias("length"))
 
 
@@ -256,7 +265,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     asked = kinds.join(scratch.keep(mixed_groups.select("h", (F.col("kinds") > crowd).alias("crowded")), "mixed"), "h")
     rows = scratch.keep(clipped(docs, asked, length, gram), "clips")
     few = rows.where("not crowded").select("h", "n", "x1", "x2", "pos", "left", "clip").repartition("h").sortWithinPartitions("h")
-    spans = twins.union(few.mapInArrow(_scan(length, False), "x1 long, x2 int, a long, b long"))
+    spans = twins.union(few.mapInArrow(_scan(length), "x1 long, x2 int, a long, b long"))
     many = rows.where("crowded")
     if not many.isEmpty():
         spans = spans.union(crowded_reach(many, length))
