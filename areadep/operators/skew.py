@@ -53,8 +53,10 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], *, counts: Dat
 
     counts = counts if counts is not None else key_counts(left, on)
     heavy = heavy_keys(counts, on).select(*[F.col(c).alias(f"_h_{c}") for c in on])
-    heavy = F.broadcast(heavy)
-    heavy_value = heavy.join(packed, all_null_safe(heavy, packed, [(f"_h_{c}", f"_r_{c}") for c in on]), "left")
+    # An outer join builds its inner side only, so the heavy keys' rows are found by an inner join, which moves no row of `right`.
+    named = heavy.select(*[F.col(f"_h_{c}").alias(f"_k_{c}") for c in on])
+    matched = packed.join(F.broadcast(named), all_null_safe(named, packed, [(f"_k_{c}", f"_r_{c}") for c in on])).select(*[f"_k_{c}" for c in on], "_v")
+    heavy_value = heavy.join(F.broadcast(matched), all_null_safe(heavy, matched, [(f"_h_{c}", f"_k_{c}") for c in on]), "left")
     heavy_value = heavy_value.select(*[f"_h_{c}" for c in on], F.col("_v").alias("_hv"), F.lit(True).alias("_heavy"))
 
     tagged = left.join(F.broadcast(heavy_value), all_null_safe(left, heavy_value, [(c, f"_h_{c}") for c in on]), "left")

@@ -207,8 +207,10 @@ def latest_run(spark: SparkSession, root: str) -> str | None:
     try:
         rows = spark.read.schema(PUBLICATION).json(f"{root}/publications")
         return rows.agg(F.max_by("run_id", "published_at")).first()[0]
-    except AnalysisException:      # nothing has been published yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None                # nothing has been published yet
 
 
 def current(spark: SparkSession, root: str, table: str) -> DataFrame | None:

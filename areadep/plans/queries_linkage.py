@@ -101,7 +101,7 @@ answer AS (SELECT a.id, a.postcode_key, a.address_date,
     b.m.pc_norm AS matched_pc_norm, b.m.introduced_on AS matched_introduced_on, b.source_key, b.source_introduced_on,
     CAST(b.source_zone AS BIGINT) AS source_zone, o.first_introduced_on, o.previous_life_deleted_on, o.next_life_introduced_on
   FROM asked a LEFT JOIN linked b ON b.pk = a.postcode_key AND b.ad = a.address_date
-    LEFT JOIN around o ON o.pk = a.postcode_key AND o.ad = a.address_date)
+    LEFT JOIN around o ON o.pk = a.postcode_key AND o.ad IS NOT DISTINCT FROM a.address_date)
 """
 ASOF_COLUMNS = ["id", "postcode_key", "address_date", "postcode_status", "matched_pc_norm", "matched_introduced_on", "source_key",
                 "source_introduced_on", "source_zone", "first_introduced_on", "previous_life_deleted_on", "next_life_introduced_on"]
@@ -131,7 +131,7 @@ def _(spark, sf):
 , dated AS (SELECT *, year(address_date) AS y FROM answer),
 chosen AS (SELECT *, CASE WHEN y BETWEEN 1996 AND 1997 THEN 'e1' WHEN y BETWEEN 1998 AND 1999 THEN 'e2' WHEN y BETWEEN 2000 AND 9999 THEN 'e3' END AS edition FROM dated)
 SELECT id, postcode_status, edition AS simd_edition,
-  CASE WHEN edition IS NULL THEN 'no_edition' ELSE 'ok' END AS edition_status,
+  CASE WHEN address_date IS NULL THEN 'missing_year' WHEN edition IS NULL THEN 'no_edition' ELSE 'ok' END AS edition_status,
   CASE edition WHEN 'e1' THEN p_size WHEN 'e2' THEN p_size % 7 WHEN 'e3' THEN CAST(source_zone % 5 AS INT) END AS simd_rank
 FROM chosen LEFT JOIN part ON p_partkey = source_zone""")
 def _(spark, sf):
@@ -306,6 +306,7 @@ def _attach_sql(dated: bool, value: str, choices: str = "", a_part: bool = True,
     valid = ("introduced_on <= e.address_date AND (deleted_on IS NULL OR deleted_on > e.address_date)" if dated else "is_current")
     req = "SELECT DISTINCT ek, address_date FROM event" if dated else "SELECT DISTINCT ek, CAST(NULL AS DATE) AS address_date FROM event"
     gone = "CASE WHEN deleted_on <= e.address_date AND introduced_on < deleted_on THEN deleted_on END" if dated else "CAST(NULL AS DATE)"
+    no_date = "WHEN st.ek IS NOT NULL AND e.address_date IS NULL THEN 'missing_date'" if dated else ""
     a_rule = "WHEN kept > 1 AND n_a = 1 THEN 'a_part'" if a_part else ""
     return ATTACH_SQL + f"""
 p AS (SELECT e.ek, e.address_date AS ad, r.*, {valid} AS open_then, {gone} AS gone_on, {value} AS val, {sig} AS sig,
@@ -318,11 +319,11 @@ g AS (SELECT ek, ad, bool_or(valid AND NOT any_open) AS from_previous, count(*)
    arg_min(s, pc_norm) FILTER (valid AND in_scope) AS f, arg_min(s, pc_norm) FILTER (valid AND in_scope AND part = 'A') AS fa FROM s GROUP BY ek, ad),
 st AS (SELECT *, CASE {a_rule} WHEN kept > 1 AND n_sig = 1 THEN 'split_consensus' WHEN kept > 1 THEN 'split_conflict' WHEN kept = 1 THEN 'unique'
    WHEN n_valid = 0 THEN 'deleted' ELSE 'not_found' END AS base_status FROM g),
-out AS (SELECT e.id, e.address_date, coalesce(CASE WHEN from_previous AND base_status IN ('unique', 'a_part', 'split_consensus') THEN 'previous_life' ELSE base_status END, 'not_found') AS status,
+out AS (SELECT e.id, e.address_date, coalesce(CASE {no_date} WHEN from_previous AND base_status IN ('unique', 'a_part', 'split_consensus') THEN 'previous_life' ELSE base_status END, 'not_found') AS status,
    CASE base_status WHEN 'a_part' THEN fa.val WHEN 'unique' THEN f.val WHEN 'split_consensus' THEN f.val END AS val,
    CASE base_status WHEN 'a_part' THEN fa ELSE CASE WHEN base_status IN ('unique', 'split_consensus') THEN f END END AS rec,
    CASE base_status WHEN 'a_part' THEN fa.pc_norm WHEN 'unique' THEN f.pc_norm END AS pc
-   FROM event e LEFT JOIN st ON st.ek = e.ek""" + (" AND st.ad = e.address_date)" if dated else ")")
+   FROM event e LEFT JOIN st ON st.ek = e.ek""" + (" AND st.ad IS NOT DISTINCT FROM e.address_date)" if dated else ")")
 
 
 ATTACH_SELECT = " SELECT id, status AS simd_status, CAST(val AS BIGINT) AS simd_value, pc AS simd_pc_norm FROM out"

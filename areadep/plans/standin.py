@@ -26,11 +26,13 @@ def lives(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = days.withColumn("n", F.lead("d").over(W.partitionBy("k").orderBy("d"))).select(
         "k", F.floor(k / 3).cast("int").alias("g"), d.alias("introduced_on"), ended.alias("deleted_on"))
     g = F.col("g")
-    base = F.concat(F.lit("P"), g.cast("string"))
+    # Of an odd group each customer is a key of its own; of an even one they are parts of one key.
+    own = F.when((g % 2 == 0) | (k % 3 == 0), F.lit("")).when(k % 3 == 1, F.lit("X")).otherwise(F.lit("Y"))
+    base = F.concat(F.lit("P"), g.cast("string"), own)
     suffix = F.when(g % 2 == 1, F.lit("")).otherwise(F.substring(F.lit("ABC"), (k % 3).cast("int") + 1, F.lit(1)))
     link = (F.when(k % 7 != 0, F.lit(None).cast("string")).when(k % 5 == 0, F.lit("NO LINKP")).when(k % 5 == 1, F.lit("NO LINK"))
             .otherwise(F.concat(F.lit("P "), (g + 1).cast("string"), F.when(g % 2 == 1, F.lit("A")).otherwise(F.lit("")))))
-    return spans.where((g % 2 == 0) | (k % 3 == 0)).select(
+    return spans.select(
         base.alias("pc_base"), F.concat(base, suffix).alias("pc_norm"), "introduced_on", "deleted_on",
         F.col("deleted_on").isNull().alias("is_current"),
         F.when(k % 7 == 0, F.lit("large_user")).otherwise(F.lit("small_user")).alias("spd_user_type"),
@@ -46,26 +48,32 @@ iv AS (SELECT k, d AS introduced_on,
               WHEN k % 3 = 1 THEN d + CAST(floor((n - d) / 2) AS INT)
               ELSE n END AS deleted_on FROM nx),
 gv AS (SELECT *, CAST(floor(k / 3) AS INT) g FROM iv),
-lives AS (SELECT 'P' || g AS pc_base,
-       'P' || g || CASE WHEN g % 2 = 1 THEN '' ELSE substr('ABC', CAST(k % 3 AS INT) + 1, 1) END AS pc_norm,
+lives AS (SELECT 'P' || g || own AS pc_base,
+       'P' || g || own || CASE WHEN g % 2 = 1 THEN '' ELSE substr('ABC', CAST(k % 3 AS INT) + 1, 1) END AS pc_norm,
        introduced_on, deleted_on, deleted_on IS NULL AS is_current,
        CASE WHEN k % 7 = 0 THEN 'large_user' ELSE 'small_user' END AS spd_user_type,
        CASE WHEN k % 7 <> 0 THEN NULL WHEN k % 5 = 0 THEN 'NO LINKP' WHEN k % 5 = 1 THEN 'NO LINK'
             ELSE 'P ' || (g + 1) || CASE WHEN g % 2 = 1 THEN 'A' ELSE '' END END AS link, k AS zone
-  FROM gv WHERE g % 2 = 0 OR k % 3 = 0)
+  FROM (SELECT *, CASE WHEN g % 2 = 0 OR k % 3 = 0 THEN '' WHEN k % 3 = 1 THEN 'X' ELSE 'Y' END AS own FROM gv))
 """
 
 
 def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as dated requests; the id repeats on purpose."""
+    """Line items as dated requests; the id repeats on purpose. Keys grow with the table: one is asked by a tenth of the rows, most by
+    a few, some are unknown or null, and some rows have no date."""
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
+    key = F.concat(F.floor(part / 4).cast("string"), F.when(part % 4 == 1, F.lit("x")).otherwise(F.lit("")))
+    postcode = (F.when(order % 97 == 0, F.lit(None).cast("string")).when(order % 31 == 0, F.concat(F.lit("q "), key))
+                .when(order % 10 == 0, F.lit("p 7")).otherwise(F.concat(F.lit("p "), key)))
     return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        F.concat(F.lit("p "), (F.col("l_partkey") % 560).cast("string")).alias("postcode"),
-        F.to_date("l_shipdate").alias("address_date"))
+        (order * 10 + F.col("l_linenumber")).alias("id"), postcode.alias("postcode"),
+        F.when(~((F.col("l_linenumber") == 3) & (order % 5 == 0)), F.to_date("l_shipdate")).alias("address_date"))
 
 
 COHORT_SQL = """
-cohort AS (SELECT l_orderkey * 10 + l_linenumber AS id, 'p ' || (l_partkey % 560) AS postcode,
-       CAST(l_shipdate AS DATE) AS address_date FROM lineitem),
+cohort AS (SELECT l_orderkey * 10 + l_linenumber AS id,
+       CASE WHEN l_orderkey % 97 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN 'q ' || k WHEN l_orderkey % 10 = 0 THEN 'p 7' ELSE 'p ' || k END AS postcode,
+       CASE WHEN NOT (l_linenumber = 3 AND l_orderkey % 5 = 0) THEN CAST(l_shipdate AS DATE) END AS address_date
+  FROM (SELECT *, CAST(floor(l_partkey / 4) AS INT) || CASE WHEN l_partkey % 4 = 1 THEN 'x' ELSE '' END AS k FROM lineitem)),
 asked AS (SELECT *, nullif(upper(replace(postcode, ' ', '')), '') AS postcode_key FROM cohort)
 """

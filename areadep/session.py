@@ -27,11 +27,13 @@ def build_session(app: str = "areadep", cores: str | int = "*", **conf) -> Spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own setting, or a local one where unset."""
+    """The shared folder for checkpoints: the cluster's own setting. Only a session of one machine gets a folder of its own."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not shared and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-ckpt-"))
     return sc.getCheckpointDir()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import struct
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -54,7 +55,12 @@ def dbf_value(raw: bytes, kind: str, decimals: int):
     if kind in "NF":
         if not text or set(text) == {"*"}:
             return None
-        return float(text) if decimals or kind == "F" else int(float(text))
+        if decimals or kind == "F":
+            return float(text)
+        number = Decimal(text)
+        if number % 1:
+            raise ValueError(f"{text} in a field of whole numbers")
+        return int(number)
     if kind == "L":
         return {"T": True, "Y": True, "F": False, "N": False}.get(text.upper())
     if kind == "D":
@@ -75,6 +81,8 @@ class DbfReader(DataSourceReader):
             f.seek(self.header_len + partition.first * self.record_len)
             for number in range(partition.first, partition.last):
                 record = f.read(self.record_len)
+                if len(record) < self.record_len:
+                    raise ValueError(f"{self.path} ends before record {number + 1} of {self.n}")
                 if record[:1] == b"*":       # deleted
                     continue
                 at, values = 1, [number]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.keys import link_base, link_shape_ok, user_type, with_dates, with_keys
@@ -124,8 +126,10 @@ def pinned_files(spark: SparkSession, root: str, pins: DataFrame) -> DataFrame:
     """Every declared file (path, sha256) with whether it is present with its hash. Files are hashed
     where they are read, one task a file."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    base = root.rstrip("/")
-    hashed = found.select(F.element_at(F.split("path", F.lit(base + "/").cast("string"), 2), -1).alias("path"), F.sha2("content", 256).alias("found_sha256"))
+    # What stands behind the folder's name; the scan may put a scheme before it.
+    base = re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", root).rstrip("/") + "/"
+    relative = F.expr("substring(path, locate(_base, path) + length(_base))")
+    hashed = found.withColumn("_base", F.lit(base)).select(relative.alias("path"), F.sha2("content", 256).alias("found_sha256"))
     out = pins.join(hashed, "path", "left")
     return out.select("path", "sha256", "found_sha256", F.col("found_sha256").isNotNull().alias("present"),
                       F.coalesce(F.col("sha256") == F.col("found_sha256"), F.lit(False)).alias("verified"))
