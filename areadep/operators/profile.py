@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.keys import Lives, link_class, normalised
+from ..registry import LINK_SENTINELS
 from .checks import count_if
 
 
@@ -118,7 +119,10 @@ def classified_links(df: DataFrame, small_keys: DataFrame, link: str, key_of_lin
     name = small_keys.columns[0]
     known = small_keys.select(F.col(name).alias("_known")).distinct()
     target = key_of_link if key_of_link is not None else normalised(link)
-    joined = df.withColumn("_t", target).join(known, F.col("_t") == F.col("_known"), "left")
+    # Sentinels and blanks link to nothing and may be most of the rows: each is spread over the shuffle under a key that no record has.
+    nowhere = F.col(link).isin(*LINK_SENTINELS) | F.coalesce(target == "", F.lit(True))
+    spread = F.when(nowhere, F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))).otherwise(target)
+    joined = df.withColumn("_t", spread).join(known, F.col("_t") == F.col("_known"), "left")
     return joined.withColumn("link_class", link_class(link, F.col("_known").isNotNull(), unresolved)).drop("_t", "_known")
 
 

@@ -1,17 +1,12 @@
 """Registered queries run, and agree with their SQL on another engine over the same files."""
 
-import os
-
 import pytest
 
 import __spark_entry__ as entry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-# One query of each kind here; AREADEP_SLOW=1 compares every registered query.
-USUAL = ["asof_link", "latest_link_status", "lookup_link_suffix_address", "attach_split_report", "population_bands_by_area", "interval_overlaps",
-         "snapshot_diff", "row_digest_part", "point_in_polygon_class"]
 OWN = {**entry.queries_linkage.QUERIES, **entry.queries_data.QUERIES}
-NAMES = sorted(OWN) if os.environ.get("AREADEP_SLOW") else USUAL
+NAMES = sorted(OWN)
 
 
 @pytest.fixture(scope="module")
