@@ -33,7 +33,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not shared and not sc.master.startswith("local["):
+    if not shared and sc.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-ckpt-"))
     return sc.getCheckpointDir()
