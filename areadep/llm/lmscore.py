@@ -55,40 +55,48 @@ def _packed(grams: np.ndarray) -> bytes:
     return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, and how many that is."""
+    width = next(w for w in (1, 2, 4, 8) if counts.max() < 1 << (8 * w) or w == 8)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 def _unpacked(raw: bytes) -> np.ndarray:
     out = np.zeros((len(raw) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
     return out.view("<u8").ravel()
 
 
-def _ask(order: int, bits: int):
-    """A chunk's distinct n-grams and how often it has each, by partition: the upper `bits` of the hash; the next 48 name it there."""
+def _ask(k: int, bits: int):
+    """A chunk's distinct k-grams and how often it has each, by partition: the upper `bits` of the hash; the next 48 name it there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["chunk"]):
             chunk = int(table.column("chunk")[0].as_py())
-            for k, g in enumerate(_grams(*_words(table.column("text").combine_chunks()), order), 1):
-                names, n = np.unique(g[g > 0] >> np.uint64(16 - bits), return_counts=True)
-                part = (names >> np.uint64(48)).astype(np.int64)
-                starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
-                ends = np.append(starts[1:], len(part)) if len(part) else starts
-                yield pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), pa.array([k] * len(starts), pa.int32()), pa.array([chunk] * len(starts), pa.int32()),
-                                                  pa.array([_packed(names[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()),
-                                                  pa.array([n[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())],
-                                                 names=["p", "k", "chunk", "names", "n"])
+            g = _grams(*_words(table.column("text").combine_chunks()), k)[-1]
+            names, n = np.unique(g[g > 0] >> np.uint64(16 - bits), return_counts=True)
+            part = (names >> np.uint64(48)).astype(np.int64)
+            starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+            cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=False))
+            yield pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), pa.array([chunk] * len(starts), pa.int32()),
+                                              pa.array([_packed(names[a:b]) for a, b in cuts], pa.binary()), pa.array([_narrow(n[a:b]) for a, b in cuts], pa.binary())],
+                                             names=["p", "chunk", "names", "n"])
     return run
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in runs(batches, ["p", "k"]):
+    for table in runs(batches, ["p"]):
         names = [_unpacked(x.as_py()) for x in table.column("names")]
-        counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("n")]).astype(np.int64)
-        all_names = np.concatenate(names)
-        known, at = np.unique(all_names, return_inverse=True)
+        counts = np.concatenate([_wide(x.as_py()) for x in table.column("n")])
+        known, at = np.unique(np.concatenate(names), return_inverse=True)
         total = np.bincount(at, weights=counts, minlength=len(known)).astype(np.int64)
         bounds = np.cumsum([0, *map(len, names)])
-        told = [total[at[a:b]].astype("<i8").tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([table.column("chunk").combine_chunks(), table.column("k").combine_chunks(), table.column("p").combine_chunks(),
-                                          pa.array(told, pa.binary()), pa.array([int(total.sum())] * len(told), pa.int64())], names=["chunk", "k", "p", "counts", "all"])
+        told = [_narrow(total[at[a:b]]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([table.column("chunk").combine_chunks(), table.column("p").combine_chunks(), pa.array(told, pa.binary()),
+                                          pa.array([int(total.sum())] * len(told), pa.int64())], names=["chunk", "p", "counts", "all"])
 
 
 def _score(order: int, bits: int, least: int, backoff: float, everything: int):
@@ -104,7 +112,7 @@ def _score(order: int, bits: int, least: int, backoff: float, everything: int):
                 answers = table.filter(pa.array(told == k))
                 by = np.argsort(numpy_of(answers, "p"), kind="stable")
                 column = answers.column("counts")
-                values = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(column[int(i)].as_py(), "<i8") for i in by)])
+                values = np.concatenate([np.zeros(0, np.int64), *(_wide(column[int(i)].as_py()) for i in by)])
                 _, at = np.unique(g[g > 0] >> np.uint64(16 - bits), return_inverse=True)
                 c = np.zeros(len(g), np.int64)
                 c[g > 0] = values[at]
@@ -131,9 +139,12 @@ def score(docs: DataFrame, scratch: Scratch, order: int = ORDER, least: int = LE
     if bits > 16:
         raise ValueError("raise `share`: the count table has at most 65,536 partitions")
     rows = docs.select(F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", text.alias("text"))
-    asked = rows.select("chunk", "text").repartition("chunk").sortWithinPartitions("chunk", F.xxhash64("text")).mapInArrow(
-        _ask(order, bits), "p int, k int, chunk int, names binary, n binary")
-    answers = scratch.keep(asked.repartition("p", "k").sortWithinPartitions("p", "k").mapInArrow(_answer, "chunk int, k int, p int, counts binary, all long"), "answers")
+    answers = None
+    for k in range(1, order + 1):       # one order at a time: what it shuffled is gone before the next
+        asked = rows.select("chunk", "text").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_ask(k, bits), "p int, chunk int, names binary, n binary")
+        told = asked.repartition("p").sortWithinPartitions("p").mapInArrow(_answer, "chunk int, p int, counts binary, all long")
+        told = scratch.keep(told, f"answers{k}").withColumn("k", F.lit(k))
+        answers = told if answers is None else answers.union(told)
     everything = answers.where("k = 1").groupBy("p").agg(F.max("all").alias("all")).agg(F.sum("all")).first()[0] or 0
     none = lambda kind: F.lit(None).cast(kind)
     kind = dict(docs.select("doc_id").dtypes)["doc_id"]
