@@ -121,12 +121,18 @@ def dedup(docs: DataFrame, scratch: Scratch, run: int = RUN, bits: int = BITS, l
     """
     rows = keyed(docs)
     found = scratch.keep(rows.mapInArrow(_chunks(bits, least, most), extended(rows.select("doc_id").schema, "x1 long, x2 int, start int, size int, d1 long, d2 long")), "chunks")
-    often = found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "x1", "x2", "start")).alias("one")).where("n > 1").drop("n")
-    first = (F.col("x1") == F.col("one.x1")) & (F.col("x2") == F.col("one.x2")) & (F.col("start") == F.col("one.start"))
-    again = found.join(often, ["d1", "d2"]).select("x1", "x2", F.struct("start", "size", first.alias("first")).alias("at"))
+    # Each step is written, so its shuffle is gone before the next, and the joins have shuffles of their own, which can be split.
+    often = scratch.keep(found.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2"), "digests")
+    many = scratch.keep(found.join(often, ["d1", "d2"]), "repeated")
+    scratch.drop("chunks")
+    ones = scratch.keep(many.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "x1", "x2", "start")).alias("one")).select(
+        "d1", "d2", F.col("one.x1").alias("f1"), F.col("one.x2").alias("f2"), F.col("one.start").alias("f3")), "first")
+    first = (F.col("x1") == F.col("f1")) & (F.col("x2") == F.col("f2")) & (F.col("start") == F.col("f3"))
+    again = many.join(ones, ["d1", "d2"]).select("x1", "x2", F.struct("start", "size", first.alias("first")).alias("at"))
     lists = again.groupBy("x1", "x2").agg(F.collect_set("at").alias("at"))      # bounded by the text
     spans = scratch.keep(lists.mapInArrow(_spans(run), "x1 long, x2 int, n_repeated long, spans array<struct<a: long, b: long>>"), "spans")
-    scratch.drop("chunks")
+    for done in ("digests", "repeated", "first"):
+        scratch.drop(done)
     joined = rows.join(spans.hint("merge"), ["x1", "x2"], "left").select("doc_id", F.coalesce("n_repeated", F.lit(0)).cast("long").alias("n_repeated"), "text", "spans")
     fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, span_edges array<long>" if texts else "")
     return joined.mapInArrow(_remove(["doc_id", "n_repeated"], texts), extended(joined.select("doc_id", "n_repeated").schema, fields))
