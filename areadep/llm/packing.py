@@ -165,7 +165,8 @@ def pack(cut: DataFrame, scratch: Scratch, capacity: int = CAPACITY, target: int
     for r in range(rounds + 1):
         tokens = pool.agg(F.sum("length")).first()[0] or 0
         groups = -(-tokens // target)
-        dealt = pool.withColumn("_group", F.pmod(F.xxhash64("_uid", F.lit(r)), F.lit(max(groups, 1)))).select("_group", *pool.columns)
+        together = "sequence_id" if r else "_uid"        # a sequence that was given up is dealt whole: it may have to stay
+        dealt = pool.withColumn("_group", F.pmod(F.xxhash64(together, F.lit(r)), F.lit(max(groups, 1)))).select("_group", *pool.columns)
         schema = extended(dealt.drop("_group").schema, "_open boolean")
         packed = dealt.repartition("_group").sortWithinPartitions("_group", "_uid").mapInArrow(_packer(r, capacity, release, schema.names), schema)
         packed = scratch.keep(packed, f"round{r}")
