@@ -144,6 +144,7 @@ def on_date(cohort: DataFrame, history: DataFrame, registry: Registry = REGISTRY
     return _shaped(df, registry, own, True, ["first_introduced_on", "previous_life_deleted_on", "next_life_introduced_on", "matched_pc_base"])
 
 
+# Output names are a contract.
 SHORT = ["id", "postcode", "address_date", "postcode_status", "simd_status", "simd_edition", "simd_rank", "phs_pw_scotland_quintile", "phs_pw_scotland_decile",
          "gov_uw_scotland_quintile", "gov_uw_scotland_decile", "rurality_version", "rurality_6fold", "rurality_8fold", "rurality_status"]
 

@@ -153,6 +153,7 @@ class Edition:
         return measure in self.measures()
 
 
+# Names of the published attribute tables' columns, and the editions as published.
 _ATTRIBUTES = {"datazone": "datazone", "rank": "rank", "quintile": "quintile", "decile": "decile", "vigintile": "vigintile"}
 _DOMAIN_ATTRIBUTES = {"income": "incrank", "employment": "emprank", "health": "hlthrank", "education": "edurank",
                       "access": "gaccrank", "crime": "crimerank", "housing": "houserank"}
