@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -33,6 +34,13 @@ class Scratch:
         self.spark._jvm.System.gc()         # lets Spark delete the shuffle files of what has been written
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Waits until Spark has let go of what written steps had shuffled: references first, then the files behind them."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(1)
+
     def drop(self, name: str = "") -> None:
         try:
             jvm = self.spark._jvm

@@ -144,6 +144,8 @@ def score(docs: DataFrame, scratch: Scratch, order: int = ORDER, least: int = LE
         asked = rows.select("chunk", "text").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_ask(k, bits), "p int, chunk int, names binary, n binary")
         told = asked.repartition("p").sortWithinPartitions("p").mapInArrow(_answer, "chunk int, p int, counts binary, all long")
         told = scratch.keep(told, f"answers{k}").withColumn("k", F.lit(k))
+        del asked
+        scratch.release()
         answers = told if answers is None else answers.union(told)
     everything = answers.where("k = 1").groupBy("p").agg(F.max("all").alias("all")).agg(F.sum("all")).first()[0] or 0
     none = lambda kind: F.lit(None).cast(kind)
