@@ -1,14 +1,14 @@
 """Mixing by soft membership: posteriors of a classifier, and rates that give each domain its share of the tokens.
 
 A labelled table teaches a naive Bayes classifier over the distinct features of a text. Its posteriors say how much of each
-document's tokens belongs to each domain. Accelerated projected gradient steps then fit a rate r >= 0 for each document so that the expected
-tokens of each domain, sum of r·tokens·posterior, are nearest to its target in least squares. A step needs one sum for each
-domain over all documents; the state of a document is a function of its posteriors and of the residuals so far, so no state
-is kept but one short row a step. All of it is DataFrame functions.
+document's tokens belongs to each domain. Newton steps then fit a rate r >= 0 for each document so that the expected tokens of
+each domain, sum of r·tokens·posterior, are nearest to its target in least squares. Rates are a function of the posteriors and of one
+weight a domain, so a step needs a few sums over all documents and no state of a document is kept. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import Scratch
@@ -18,8 +18,9 @@ TARGETS = {"good": 0.97, "poor": 0.025, "toxic": 0.005}     # shares of the toke
 SAMPLE = 20_000         # labelled rows the classifier learns from, as a mean; chosen by a hash of their id
 FEATURES = 5_000        # features kept, those that tell most by chi-square
 TELLING = 10.83         # least chi-square: one in a thousand by chance
-STEPS, CLOSE = 40, 1e-3  # steps at most; largest miss of a target, relative to it, that ends them
-PATIENCE, GAIN = 5, 0.05    # the fit has settled when so many steps took less than this share off the squared miss
+CLOSE = 1e-3            # largest miss of a target, relative to it, that ends the fit
+LOOSE = [10.0 ** -k for k in range(2, 13, 2)]       # how much staying near 1 weighs against the targets, in turn
+STEPS, EXACT = 60, 1e-9     # Newton steps for each, at most; what is left of the equations that ends them
 SEED = 23
 
 
@@ -80,58 +81,71 @@ def posteriors(docs: DataFrame, model: DataFrame, priors: dict[str, float], scra
     return scratch.keep(log.select("doc_id", "x", "tokens", *[(F.exp(F.col(d) - top) / whole).alias(d) for d in DOMAINS]), "posteriors")
 
 
-def rates(steps: list[dict[str, float]]) -> tuple[Column, Column]:
-    """A document's rate after the steps, and the point at which the next step is taken: accelerated projected gradient.
-
-    A step lessens the point by the residuals in proportion to the posteriors, not below 0, which is the new rate; the next point goes on
-    from it by a share of what the rate has moved.
-    """
-    if not steps:
-        return F.lit(1.0), F.lit(1.0)
-    taken = F.array(*[F.struct(*[F.lit(float(s[d])).alias(d) for d in DOMAINS], F.lit(k / (k + 3)).alias("on")) for k, s in enumerate(steps)])
-
-    def step(at: Column, s: Column) -> Column:
-        r = F.greatest(F.lit(0.0), at["y"] - sum((s[d] * F.col(d) for d in DOMAINS), F.lit(0.0)))
-        return F.struct(r.alias("r"), (r + s["on"] * (r - at["r"])).alias("y"))
-
-    end = F.aggregate(taken, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), step)
-    return end["r"], end["y"]
+def rates(on: dict[str, float]) -> Column:
+    """A document's rate: 1 and its posteriors weighted by `on`, not below 0."""
+    return F.greatest(F.lit(0.0), sum((F.lit(float(on[d])) * F.col(d) for d in DOMAINS), F.lit(1.0)))
 
 
-def fit(members: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE) -> list[dict[str, float]]:
-    """The steps that bring the expected tokens of each domain nearest to its target share of all tokens.
+def fit(members: DataFrame, targets: dict[str, float] = TARGETS, close: float = CLOSE) -> tuple[dict[str, float], dict[str, float]]:
+    """The weights of the rates that bring the expected tokens of each domain nearest to its target share of all tokens, and the reached shares.
 
-    Least squares weighs each domain by 1 / its tokens, and a document's step is scaled by 1/tokens. Posteriors of a document sum to
-    1, so with these scales the curvature is at most 1 and whole steps converge. A domain without tokens is left out.
+    Of all rates r >= 0 that do so those nearest to 1 are sought: half the sum of tokens·(r - 1)² times `loose`, and half the squared misses
+    over the domain's own share, are least at r = max(0, 1 + on·posteriors), and `on` solves three equations. Newton steps, halved until the
+    dual falls, solve them; then `loose` is lowered. It ends when every target is met within `close` of itself, or when the optimality
+    conditions of nonnegative least squares hold within `close` of the largest relative miss: no rate would gain by rising, none above 0
+    by falling. A domain without tokens is left out.
     """
-    taken: list[dict[str, float]] = []
-    base: dict[str, float] = {}
-    misses: list[float] = []
-    for k in range(steps + 1):
-        r, y = rates(taken)
-        at = members.select("tokens", *DOMAINS, r.alias("r"), y.alias("y"))
-        sums = {f"{x}_{d}": F.sum(F.col(x) * F.col("tokens") * F.col(d)) for x in "ry" for d in DOMAINS}
-        row = at.agg(*[v.alias(n) for n, v in sums.items()], F.sum("tokens").alias("all")).first()
-        have, ahead = ({d: row[f"{x}_{d}"] or 0.0 for d in DOMAINS} for x in "ry")
-        want = {d: targets[d] * (row["all"] or 0) for d in DOMAINS}
-        base = base or have
-        misses.append(sum((have[d] - want[d]) ** 2 / base[d] for d in DOMAINS if base[d] > 0))
-        near = all(abs(have[d] - want[d]) <= close * want[d] for d in DOMAINS if base[d] > 0)
-        settled = k > PATIENCE and misses[-1] > (1 - GAIN) * misses[-1 - PATIENCE]
-        if k == steps or near or settled:
+    def at(on: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float]:
+        """Shares, their derivatives, the mean of r²/2 and the largest r."""
+        r = members.select((F.col("tokens") / F.lit(whole)).alias("n"), *DOMAINS, rates(dict(zip(DOMAINS, on, strict=True))).alias("r")).where("n > 0")
+        up = F.when(F.col("r") > 0, F.col("n")).otherwise(0.0)
+        twos = [F.sum(up * F.col(d) * F.col(e)) for d in DOMAINS for e in DOMAINS]
+        row = r.agg(*[F.sum(F.col("n") * F.col("r") * F.col(d)) for d in DOMAINS], *twos, F.sum(F.col("n") * F.col("r") ** 2) / 2, F.max("r")).first()
+        return np.array(row[:3], float), np.array(row[3:12], float).reshape(3, 3), row[12], row[13]
+
+    whole = float(members.agg(F.sum("tokens")).first()[0] or 0)
+    on = np.zeros(len(DOMAINS))
+    if not whole:
+        return dict.fromkeys(DOMAINS, 0.0), dict.fromkeys(DOMAINS, 0.0)
+    want = np.array([targets[d] for d in DOMAINS])
+    here = at(on)
+    base = here[0]
+    used = base > 0
+    scale = np.where(used, np.sqrt(np.where(used, base, 1.0)), 1.0)
+    met = lambda shares: bool((abs(shares - want) <= close * want)[used].all())
+    for loose in LOOSE:
+        dual = lambda on, half: half - want[used] @ on[used] + loose / 2 * (base @ on ** 2)  # noqa: B023, E731
+        for _ in range(STEPS):
+            slope = np.where(used, here[0] - want + loose * base * on, 0.0) / scale
+            if met(here[0]) or np.abs(slope).max() <= EXACT:
+                break
+            bend = here[1] / np.outer(scale, scale) * np.outer(used, used) + np.diag(np.where(used, loose, 1.0))
+            step, length = -np.linalg.solve(bend, slope) / scale, 1.0
+            while True:
+                there = at(on + length * step)
+                if dual(on + length * step, there[2]) <= dual(on, here[2]) + 1e-4 * length * (slope * scale) @ step + 1e-12 * (1 + abs(dual(on, here[2]))) or length < 1e-6:
+                    break
+                length /= 2
+            on, here = on + length * step, there
+        miss = np.where(used, (here[0] - want) / np.where(used, base, 1.0), 0.0)
+        largest = np.abs(miss).max()
+        if met(here[0]) or (loose * (here[3] - 1) <= close * largest and abs(miss @ here[0]) <= close * largest):
             break
-        taken.append({d: (ahead[d] - want[d]) / base[d] if base[d] > 0 else 0.0 for d in DOMAINS})
-    return taken
+    else:
+        raise RuntimeError(f"the fit has not ended: shares {here[0].tolist()}, targets {want.tolist()}")
+    return tuple(dict(zip(DOMAINS, map(float, v), strict=True)) for v in (on, here[0]))
 
 
 def mix(docs: DataFrame, labels: DataFrame, scratch: Scratch, targets: dict[str, float] = TARGETS, seed: int = SEED) -> DataFrame:
-    """(doc_id, x, tokens, posteriors, rate, copies) of the distinct rows of (doc_id, text); x is a hash of both.
+    """(doc_id, x, tokens, posteriors, rate, copies, reached shares) of the distinct rows of (doc_id, text); x is a hash of both.
 
     copies is the rate rounded up or down by a hash of x, so that its mean is the rate. Text null or empty: no tokens, posteriors
-    as the priors. Without labels the posteriors are equal for all documents. Equal rows share one answer.
+    as the priors. Without labels the posteriors are equal for all documents. Equal rows share one answer. reached_ and a domain, the same
+    in every row: its expected tokens at these rates as a share of all tokens, to be held against its target.
     """
     model, priors = learn(docs, labels, scratch)
     members = posteriors(docs, model, priors, scratch)
-    taken = fit(members, targets)
+    on, reached = fit(members, targets)
     u = F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
-    return members.withColumn("rate", rates(taken)[0]).withColumn("copies", F.floor(F.col("rate") + u).cast("int"))
+    rated = members.withColumn("rate", rates(on)).withColumn("copies", F.floor(F.col("rate") + u).cast("int"))
+    return rated.select("*", *[F.lit(reached[d]).alias(f"reached_{d}") for d in DOMAINS])

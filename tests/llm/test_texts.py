@@ -155,6 +155,35 @@ def test_mixing_meets_its_targets(spark, sf):
     assert got[["good", "poor", "toxic"]].sum(axis=1).to_numpy() == pytest.approx(1)
 
 
+def told(members, on):
+    got = members.withColumn("rate", mixing.rates(on)).toPandas()
+    return got.rate.to_numpy(), got.tokens.to_numpy(float), got[mixing.DOMAINS].to_numpy()
+
+
+def test_mixing_meets_feasible_targets_within_one_percent(spark):
+    p = np.random.default_rng(61).dirichlet([0.6, 0.5, 0.4], 400)
+    members = spark.createDataFrame([(int(n), *map(float, q)) for n, q in zip(range(50, 450), p, strict=True)], ["tokens", *mixing.DOMAINS])
+    for targets in ({"good": 0.97, "poor": 0.025, "toxic": 0.005}, {"good": 0.9, "poor": 0.07, "toxic": 0.03}, {"good": 0.05, "poor": 0.05, "toxic": 0.9}):
+        on, reached = mixing.fit(members, targets)
+        r, n, q = told(members, on)
+        shares = (r * n) @ q / n.sum()
+        assert (r >= 0).all() and shares == pytest.approx([reached[d] for d in mixing.DOMAINS])
+        assert shares == pytest.approx([targets[d] for d in mixing.DOMAINS], rel=0.01)
+
+
+def test_mixing_of_targets_out_of_reach_is_least_squares(spark, sf):
+    """The rates of the production targets on the smallest table, whose posteriors overlap, against the optimality conditions."""
+    df, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = mixing.mix(df, labels, Scratch(spark, "t")).toPandas()
+    r, n, q = got.rate.to_numpy(), got.tokens.to_numpy(float), got[mixing.DOMAINS].to_numpy()
+    n /= n.sum()
+    shares, want = (r * n) @ q, np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
+    assert shares == pytest.approx([got[f"reached_{d}"][0] for d in mixing.DOMAINS])
+    miss = (shares - want) / (n @ q)
+    gain = q @ miss / np.abs(miss).max()
+    assert np.abs(shares / want - 1).max() <= 0.01 or (gain[n > 0].min() >= -2e-3 and abs((n * r) @ gain) <= 2e-3)
+
+
 def test_mixing_of_odd_documents(spark):
     df = h.odd_documents(spark)
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 1), (9, None, None), (8, 1, 0), (8, 1, 0), (77, 1, 0)], "doc_id long, quality int, toxic int")
