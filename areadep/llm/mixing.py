@@ -69,16 +69,17 @@ def learn(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
 
 
 def posteriors(docs: DataFrame, model: DataFrame, priors: dict[str, float], scratch: Scratch) -> DataFrame:
-    """(doc_id, x, tokens, one posterior a domain) of each distinct row of (doc_id, text), with how many equal rows there are."""
+    """(doc_id, x, tokens, rows, one posterior a domain) of each distinct row of (doc_id, text); rows: how many equal rows there are."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64("doc_id", text).alias("x"), tokens(F.col("text")).alias("words"))
-    told = rows.select("doc_id", "x", F.size("words").alias("tokens"), F.explode_outer(features(F.col("words"))).alias("word"))
+    told = rows.select("doc_id", "x", F.size("words").alias("tokens"), F.posexplode_outer(features(F.col("words"))).alias("at", "word"))
     matched = told.withColumn("feature", shape(F.col("word"))).join(F.broadcast(model), "feature", "left")      # at most FEATURES rows
-    log = matched.groupBy("doc_id", "x").agg(F.max("tokens").cast("long").alias("tokens"), *[F.coalesce(F.sum(d), F.lit(0.0)).alias(d) for d in DOMAINS])
-    log = log.select("doc_id", "x", "tokens", *[(F.col(d) + F.log(F.lit(priors[d]))).alias(d) for d in DOMAINS])
+    rows_of = F.count(F.when(F.coalesce("at", F.lit(0)) == 0, 1))        # each row has one first word or none; equal rows add equal sums
+    log = matched.groupBy("doc_id", "x").agg(F.max("tokens").cast("long").alias("tokens"), rows_of.alias("rows"), *[F.coalesce(F.sum(d) / rows_of, F.lit(0.0)).alias(d) for d in DOMAINS])
+    log = log.select("doc_id", "x", "tokens", "rows", *[(F.col(d) + F.log(F.lit(priors[d]))).alias(d) for d in DOMAINS])
     top = F.greatest(*DOMAINS)
     whole = sum((F.exp(F.col(d) - top) for d in DOMAINS), F.lit(0.0))
-    return scratch.keep(log.select("doc_id", "x", "tokens", *[(F.exp(F.col(d) - top) / whole).alias(d) for d in DOMAINS]), "posteriors")
+    return scratch.keep(log.select("doc_id", "x", "tokens", "rows", *[(F.exp(F.col(d) - top) / whole).alias(d) for d in DOMAINS]), "posteriors")
 
 
 def rates(on: dict[str, float]) -> Column:
@@ -137,15 +138,16 @@ def fit(members: DataFrame, targets: dict[str, float] = TARGETS, close: float =
 
 
 def mix(docs: DataFrame, labels: DataFrame, scratch: Scratch, targets: dict[str, float] = TARGETS, seed: int = SEED) -> DataFrame:
-    """(doc_id, x, tokens, posteriors, rate, copies, reached shares) of the distinct rows of (doc_id, text); x is a hash of both.
+    """(doc_id, x, tokens, rows, posteriors, rate, copies, reached shares) of the distinct rows of (doc_id, text); x is a hash of both.
 
     copies is the rate rounded up or down by a hash of x, so that its mean is the rate. Text null or empty: no tokens, posteriors
-    as the priors. Without labels the posteriors are equal for all documents. Equal rows share one answer. reached_ and a domain, the same
+    as the priors. Without labels the posteriors are equal for all documents. Equal rows share one answer, which holds
+    for each of them; rows is how many they are, and all of them count in the sums. reached_ and a domain, the same
     in every row: its expected tokens at these rates as a share of all tokens, to be held against its target.
     """
     model, priors = learn(docs, labels, scratch)
     members = posteriors(docs, model, priors, scratch)
-    on, reached = fit(members, targets)
+    on, reached = fit(members.withColumn("tokens", F.col("tokens") * F.col("rows")), targets)
     u = F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
     rated = members.withColumn("rate", rates(on)).withColumn("copies", F.floor(F.col("rate") + u).cast("int"))
     return rated.select("*", *[F.lit(reached[d]).alias(f"reached_{d}") for d in DOMAINS])

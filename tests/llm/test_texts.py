@@ -184,6 +184,26 @@ def test_mixing_of_targets_out_of_reach_is_least_squares(spark, sf):
     assert np.abs(shares / want - 1).max() <= 0.01 or (gain[n > 0].min() >= -2e-3 and abs((n * r) @ gain) <= 2e-3)
 
 
+def test_mixing_counts_equal_rows(spark):
+    words = {d: [f"{d}{k}" for k in range(5)] for d in mixing.DOMAINS}
+    r = np.random.default_rng(62)
+    texts = [" ".join([*r.choice(words[d], 8), *r.choice([w for v in words.values() for w in v], 12)]) for d in mixing.DOMAINS for _ in range(40)]
+    once = spark.createDataFrame([*enumerate(texts), (500, None), (None, "good1 poor2")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40), int(i >= 80)) for i in range(120)], "doc_id long, quality int, toxic int")
+    model, priors = mixing.learn(once, labels, Scratch(spark, "t"))
+    often = once.union(once.where("doc_id % 3 = 0 or doc_id is null")).union(once.where("doc_id = 6 or doc_id = 500"))
+    one, more = ({r["x"]: r for r in mixing.posteriors(df, model, priors, Scratch(spark, "t")).collect()} for df in (once, often))
+    assert one.keys() == more.keys() and all(r["rows"] == 1 for r in one.values())
+    for x, row in more.items():
+        i = row["doc_id"]
+        assert row["rows"] == (1 + (i is None or i % 3 == 0) + (i in (6, 500))) and row["tokens"] == one[x]["tokens"]
+        assert [row[d] for d in mixing.DOMAINS] == pytest.approx([one[x][d] for d in mixing.DOMAINS], abs=1e-9)
+    got = mixing.mix(often, labels, Scratch(spark, "t"), {"good": 0.5, "poor": 0.3, "toxic": 0.2}).toPandas()
+    n = (got.tokens * got.rows).to_numpy(float)
+    assert n.sum() == sum(len((t or "").split()) for _, t in often.collect())
+    assert (got.rate.to_numpy() * n) @ got[mixing.DOMAINS].to_numpy() / n.sum() == pytest.approx([0.5, 0.3, 0.2], rel=0.01)
+
+
 def test_mixing_of_odd_documents(spark):
     df = h.odd_documents(spark)
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 1), (9, None, None), (8, 1, 0), (8, 1, 0), (77, 1, 0)], "doc_id long, quality int, toxic int")
