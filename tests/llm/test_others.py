@@ -85,6 +85,28 @@ def test_recall_of_the_index(spark):
     assert len(got) == 600 and hits >= 540
 
 
+def test_recall_where_one_vector_is_a_third_of_the_rows(spark):
+    r = np.random.default_rng(2)
+    x = r.standard_normal((6000, 64))
+    x[r.permutation(6000)[:2000]] = x[0]
+    asked = np.arange(0, 6000, 30)
+    near = x[0] + 1.5 * r.standard_normal((50, 64))         # their own neighbours stand near the copies
+    x[asked[:50]] = near
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for row in permutation_index.nearest(df, df.where("vec_id % 30 = 0"), Scratch(spark, "t")).collect():
+        got.setdefault(row["query_id"], []).append((row["rank"], row["vec_id"]))
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hits = 0
+    for q in asked.tolist():
+        score = np.round(u @ u[q], 9)
+        best = [b for b in np.lexsort((np.arange(6000), -score)).tolist() if b != q][:5]
+        hits += len(set(best) & {i for _, i in got[q]})
+        assert sorted(n for n, _ in got[q]) == [1, 2, 3, 4, 5]
+    assert hits >= 0.97 * 5 * len(asked)
+
+
 def test_vocabularies_agree():
     encoder = packing.Vocabulary().encoder()
     for text in ["", " ", "a", " a", "a b", "a  b", "a \n b", "\n\n a", "it's 12.5% of &&& it", "x y  z", "naïve ünï 漢字 \U0001f600 ok", "a <|endoftext|> b",
