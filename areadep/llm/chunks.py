@@ -1,8 +1,8 @@
 """Substring dedup by content-defined chunks.
 
 A gear rolling hash of the last 32 bytes cuts texts where its upper bits are zero, so cuts depend on content alone and an
-insertion moves only the chunks it touches. Chunks are deduplicated by digest: the first, by doc_id and place, stays. Only
-runs of repeated chunks of at least RUN bytes count, so a common line or phrase is no repeat.
+insertion moves only the chunks it touches. Chunks are deduplicated by digest: the first, by doc_id and place, stays. The query
+counts every repeated chunk (run=1). With a larger `run`, RUN by default, only runs of so many repeated bytes count.
 """
 
 from __future__ import annotations

@@ -1,5 +1,7 @@
 """Operators on documents against brute force, on the smallest table and on one of odd cases."""
 
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -97,6 +99,38 @@ def test_chunks(spark, tables, case):
         assert by[8]["n_removed"] > 300 and by[6]["n_removed"] == 0 and by[10]["n_removed"] == by[11]["n_removed"] == 0
 
 
+@pytest.mark.parametrize("case", CASES)
+def test_the_chunk_query_against_plain_digests(spark, tables, case, tmp_path):
+    """Each chunk of each document, the first by doc_id and place staying, as the registered query has it."""
+    from areadep.llm.queries import QUERIES
+    df, texts = tables[case]
+    line = "a line of less than 128 bytes that stands in every text"
+    more = spark.createDataFrame([(7000 + k, line) for k in range(3)], "doc_id long, text string")
+    df.select("doc_id", "text").union(more).write.parquet(f"{tmp_path}/documents.parquet")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    docs = sorted({(r["doc_id"] is not None, r["doc_id"] or 0, r["x1"], r["x2"], r["text"] or "") for r in repeats.keyed(df).collect()})
+    gear, seen, parts = chunks.Gear(), {}, {}
+    for some, i, *_, text in docs:
+        raw = text.encode()
+        ends = gear.bounds(np.frombuffer(raw, np.uint8), np.array([len(raw)]), chunks.LEAST, chunks.MOST)
+        parts[i if some else None, text] = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for c in parts[i if some else None, text]:
+            seen[c] = seen.get(c, 0) + 1
+    want, first = {}, set()
+    for key, cs in parts.items():
+        kept = []
+        for c in cs:
+            if c not in first:
+                kept.append(c)
+            first.add(c)
+        raw = b"".join(kept)
+        want[key] = (sum(len(c) for c in cs if seen[c] > 1), sum(map(len, cs)), sum(map(len, cs)) - len(raw), hashlib.sha256(raw).hexdigest())
+    got = rows(QUERIES["op4_substring_dedup"](spark, str(tmp_path)), "doc_id", "n_repeated", "n_bytes", "n_removed", "kept_sha256")
+    expected = [(r["doc_id"], *want[r["doc_id"], r["text"] or ""]) for r in df.collect()]
+    assert got == sorted(expected, key=lambda r: tuple((v is None, v) for v in r))
+    assert [r[3] for r in got if r[0] is not None and r[0] >= 7000] == [0, len(line), len(line)]
+
+
 def test_chunks_follow_an_insertion(spark):
     text = h.prose(2000, 51)
     df = spark.createDataFrame([(1, text), (2, "some words put before it " + text[:3000] + " and here " + text[3000:])], "doc_id long, text string")
