@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, langid, lmscore, minhash, mixing, neardup_vectors, packing, pagetext, permutation_index, repeats
+from . import (
+    chunks, langid, lmscore, minhash, mixing, neardup_vectors, packing, pagetext, periodic, permutation_index, repeats, secretscan, spelling,
+)
 from .common import Scratch
 
 
@@ -56,6 +58,20 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op10")).drop("x")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), one_in=97)
+    return spelling.variants(words, Scratch(spark, "op11"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.digest(secretscan.scan(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id"])
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.made_periodic(table(spark, sf_dir, "documents"))
+    return periodic.digest(periodic.find_runs(docs, ["doc_id"]), ["doc_id"])
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -67,5 +83,8 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_html_extraction": op9_html_extraction,
     "op10_source_mixing": op10_source_mixing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_spelling_variants": spelling.SQL}
