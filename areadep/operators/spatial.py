@@ -1,24 +1,23 @@
-"""Placing points in polygons as an equality join on horizontal bands.
+"""Placing points in polygons, and what a polygon layer has to keep to.
 
-A polygon layer is a table of edges: version, poly, sixfold, eightfold, ring, x1, y1, x2, y2. Each edge
-is listed under every band of y it touches, so a point meets only the edges of its own band. The join
-keeps a pair only where the edge is crossed by the ray from the point, or carries the point; crossings
-are then counted per point and polygon. Even-odd counting needs no repair of rings and loses no area.
+A polygon layer is a table of edges: version, poly, sixfold, eightfold, ring, x1, y1, x2, y2. Points are placed
+by the tile index of `tiles`: a point meets the edges of its own tile, and even-odd counting needs no repair of rings.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import Lives, is_po_box
 from ..functions.values import missing_point
 from ..registry import BNG_EPSG, EIGHT_TO_SIX, AgreementGate, RuralityVersion
 from .checks import Checks, static_check, union_checks
 from .skew import lookup_join
+from .tiles import TILE, held
 
-BAND = 500.0      # metres; a coastline's edges are far shorter, so most lie in one band
+BAND = 500.0      # metres
 CELL = 10_000.0
 
 OUTSIDE, AMBIGUOUS, PO_BOX = "outside_polygons", "ambiguous_polygons", "po_box"
@@ -31,41 +30,52 @@ def banded(edges: DataFrame, height: float = BAND) -> DataFrame:
     return edges.withColumn("band", F.explode(bands))
 
 
-def placed(points: DataFrame, edges: DataFrame, versions: list[str], height: float = BAND) -> DataFrame:
+def classes(points: DataFrame, edges: DataFrame, versions: list[str], tile: float = TILE) -> DataFrame:
+    """One row per distinct point (x, y) that some polygon holds, with per version the least 6-fold and the least and greatest 8-fold
+    class (`six_k`, `low_k`, `high_k` for the k-th version): all versions in one pass, none of them multiplying the points."""
+    found = held(points, edges, tile)
+    of = lambda k, f, c: f(F.when(F.col("version") == versions[k], F.col(c)))
+    return found.groupBy("x", "y").agg(*[of(k, f, c).alias(f"{n}_{k}") for k in range(len(versions))
+                                         for n, f, c in (("six", F.min, "sixfold"), ("low", F.min, "eightfold"), ("high", F.max, "eightfold"))])
+
+
+def answer(k: int) -> tuple[Column, Column, Column]:
+    """6-fold and 8-fold code and status of a placed point: one class gives the codes, none or several give a status."""
+    low, high = F.col(f"low_{k}"), F.col(f"high_{k}")
+    one = low == high
+    status = F.when(low.isNull(), F.lit(OUTSIDE)).when(~one, F.lit(AMBIGUOUS))
+    return F.when(one, F.col(f"six_{k}")).cast("tinyint"), F.when(one, low).cast("tinyint"), status
+
+
+def distinct_points(df: DataFrame, x: Column, y: Column) -> DataFrame:
+    points = df.select(x.try_cast("double").alias("x"), y.try_cast("double").alias("y"))
+    return points.where("x is not null and y is not null").distinct()
+
+
+def placed(points: DataFrame, edges: DataFrame, versions: list[str], tile: float = TILE) -> DataFrame:
     """Distinct points (x, y) with, per version, the class of the polygons that hold them; a point on a
     boundary is held by both sides. One class gives the codes, none or several give a status."""
-    p = points.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).distinct()
-    at = p.withColumn("_band", F.floor(F.col("y") / height))
-    e = banded(edges, height)
-    # Side of the point to the edge; no division, so whole-metre coordinates are exact.
-    side = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("x") - F.col("x1")) * (F.col("y2") - F.col("y1"))
-    straddles = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
-    crosses = straddles & (((F.col("y2") > F.col("y1")) & (side > 0)) | ((F.col("y2") < F.col("y1")) & (side < 0)))
-    in_box = (F.col("x").between(F.least("x1", "x2"), F.greatest("x1", "x2")) & F.col("y").between(F.least("y1", "y2"), F.greatest("y1", "y2")))
-    on_edge = in_box & (side == 0)
-    met = at.join(e, (F.col("_band") == F.col("band")) & (crosses | on_edge))
-    held = (met.groupBy("version", "poly", "eightfold", "sixfold", "x", "y")
-            .agg(F.count_if(crosses).alias("_crossings"), F.count_if(on_edge).alias("_touches"))
-            .where((F.col("_touches") > 0) | (F.col("_crossings") % 2 == 1)))
-    per = held.groupBy("version", "x", "y").agg(F.min("sixfold").alias("six"), F.min("eightfold").alias("lo"), F.max("eightfold").alias("hi"))
-    asked = p.select("x", "y", F.explode(F.array(*[F.lit(v) for v in versions])).alias("version"))
-    out = asked.join(per, ["version", "x", "y"], "left")
-    one = F.col("lo") == F.col("hi")
-    status = F.when(F.col("lo").isNull(), F.lit(OUTSIDE)).when(~one, F.lit(AMBIGUOUS))
-    return out.select("version", "x", "y", F.when(one, F.col("six")).cast("tinyint").alias("sixfold"),
-                      F.when(one, F.col("lo")).cast("tinyint").alias("eightfold"), status.alias("status"))
+    p = distinct_points(points, F.col("x"), F.col("y"))
+    wide = p.join(classes(p, edges, versions, tile), ["x", "y"], "left")
+    rows = []
+    for k, v in enumerate(versions):
+        six, eight, status = answer(k)
+        rows.append(F.struct(F.lit(v).alias("version"), six.alias("sixfold"), eight.alias("eightfold"), status.alias("status")))
+    return wide.select("x", "y", F.inline(F.array(*rows))).select("version", "x", "y", "sixfold", "eightfold", "status")
 
 
 def classify(index: DataFrame, edges: DataFrame, versions: tuple[RuralityVersion, ...], easting="GridReferenceEasting",
-             northing="GridReferenceNorthing", height: float = BAND) -> DataFrame:
-    """Every version's two codes and status for every row, each distinct point placed once."""
+             northing="GridReferenceNorthing", tile: float = TILE) -> DataFrame:
+    """Every version's two codes and status for every row, each distinct point placed once. A row without a point has none of them."""
     asked = index.withColumns({"_x": F.col(easting).try_cast("double"), "_y": F.col(northing).try_cast("double")})
-    points = asked.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).select(F.col("_x").alias("x"), F.col("_y").alias("y"))
-    long = placed(points, edges, [v.key for v in versions], height)
-    pick = lambda v, c: F.max(F.when(F.col("version") == v.key, F.col(c)))
-    wide = long.groupBy(F.col("x").alias("_x"), F.col("y").alias("_y")).agg(*[
-        pick(v, c).alias(f"{v.stem}_{n}") for v in versions for c, n in (("sixfold", "6fold"), ("eightfold", "8fold"), ("status", "status"))])
-    return lookup_join(asked, wide, ["_x", "_y"]).drop("_x", "_y")
+    found = classes(distinct_points(index, F.col(easting), F.col(northing)), edges, [v.key for v in versions], tile)
+    joined = lookup_join(asked, found.withColumnsRenamed({"x": "_x", "y": "_y"}), ["_x", "_y"])
+    there = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    columns = []
+    for k, v in enumerate(versions):
+        columns += [c.alias(f"{v.stem}_{n}") for c, n in zip(answer(k)[:2], ("6fold", "8fold"), strict=True)]
+        columns.append(F.when(there, answer(k)[2]).alias(f"{v.stem}_status"))
+    return joined.select(*index.columns, *columns)
 
 
 def withhold_po_boxes(df: DataFrame, versions: tuple[RuralityVersion, ...], lives: Lives = Lives()) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..registry import WEIGHTED_WIDTH, Edition
 from .checks import Checks, union_checks
 from .ordered import running_total
+from .skew import lookup_join
 
 
 def weighted_blocks(df: DataFrame, groups: list[str], rank: str, population: str) -> DataFrame:
@@ -16,11 +17,8 @@ def weighted_blocks(df: DataFrame, groups: list[str], rank: str, population: str
     people = F.when(bad, F.raise_error(F.lit("ranks and populations must be complete, and populations not negative"))).otherwise(F.col(population))
     blocks = df.groupBy(*groups, rank).agg(F.sum(people.cast("long")).alias("_block"))
     blocks = running_total(blocks, groups, rank, "_block", "_upto")
-    totals = blocks.groupBy(*[F.col(g).alias(f"_t_{g}") for g in groups]).agg(F.sum("_block").alias("_total"))
-    on = F.lit(True)
-    for g in groups:
-        on = on & F.col(g).eqNullSafe(F.col(f"_t_{g}"))
-    joined = blocks.join(totals, on).drop(*[f"_t_{g}" for g in groups])
+    # One row a group: a hot group's total reaches its rows without gathering them.
+    joined = lookup_join(blocks, blocks.groupBy(*groups).agg(F.sum("_block").alias("_total")), groups)
     empty = F.when(F.col("_total") <= 0, F.raise_error(F.lit("a total population of zero has nothing to weight by"))).otherwise(F.col("_total"))
     return joined.withColumn("_total", empty.cast("long"))
 

@@ -167,7 +167,7 @@ def test_running_total_and_falls(spark):
     rng = random.Random(3)
     rows = [(rng.choice("ab"), i, rng.randint(0, 9)) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, o int, v int")
-    got = {(r["g"], r["o"]): r["t"] for r in running_total(df, ["g"], "o", "v", "t", buckets=7).collect()}
+    got = {(r["g"], r["o"]): r["t"] for r in running_total(df, ["g"], "o", "v", "t").collect()}
     sums = {"a": 0, "b": 0}
     drops, last = {"a": 0, "b": 0}, {}
     for gname, o, v in rows:
