@@ -85,6 +85,24 @@ def blocks(runs: DataFrame) -> DataFrame:
     return runs.select(*SHAPE, "row", F.inline(F.flatten(F.array_compact(F.array(*parts)))))
 
 
+def every_block() -> Column:
+    """The block of each size that holds the corner in column `col`, as rows."""
+    return F.inline(F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("col", 4 * k).alias("block")) for k in range(LEVELS)]))
+
+
+def crossed_up(tile: float = TILE) -> Column:
+    """Whether the path from the corner of a tile up its side to the height of (x, y) crosses the edge."""
+    side = F.col("col") * tile
+    return ((F.col("x1") > side) != (F.col("x2") > side)) & (left_of_edge(side, F.col("row") * tile) != left_of_edge(side, F.col("y")))
+
+
+def crossed(tile: float = TILE) -> Column:
+    """Whether the path up the side and then across to (x, y) crosses the edge once."""
+    x, y = F.col("x"), F.col("y")
+    across = ((F.col("y1") > y) != (F.col("y2") > y)) & (left_of_edge(F.col("col") * tile, y) != (turn(x, y) > 0))
+    return crossed_up(tile) != across
+
+
 def of_tile(points: DataFrame, tile: float = TILE) -> DataFrame:
     return points.withColumns({"row": F.floor(F.col("y") / tile), "col": F.floor(F.col("x") / tile)})
 
@@ -96,19 +114,15 @@ def held(points: DataFrame, edges: DataFrame, tile: float = TILE) -> DataFrame:
     """
     edges = edges.dropna(subset=["x1", "y1", "x2", "y2"])
     at = of_tile(points, tile)
-    asked = at.select("row", "col").distinct().withColumn("_k", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("level"), F.shiftright("col", 4 * k).alias("block")) for k in range(LEVELS)])))
-    asked = asked.select("row", "col", "_k.level", "_k.block")
+    asked = at.select("row", "col").distinct().select("row", "col", every_block())
     corners = asked.join(blocks(corner_runs(edges, tile)), ["row", "level", "block"]).select(*SHAPE, "row", "col")
     ends = ["x1", "y1", "x2", "y2"]
     items = tiled(edges, tile).select(*SHAPE, "row", "col", *ends).unionByName(corners, allowMissingColumns=True)
 
-    x, y, side, bottom = F.col("x"), F.col("y"), F.col("col") * tile, F.col("row") * tile
-    up = ((F.col("x1") > side) != (F.col("x2") > side)) & (left_of_edge(side, bottom) != left_of_edge(side, y))
-    across = ((F.col("y1") > y) != (F.col("y2") > y)) & (left_of_edge(side, y) != (turn(x, y) > 0))
+    x, y = F.col("x"), F.col("y")
     on_edge = x.between(F.least("x1", "x2"), F.greatest("x1", "x2")) & y.between(F.least("y1", "y2"), F.greatest("y1", "y2")) & (turn(x, y) == 0)
     corner = F.col("x1").isNull()
-    odd, touches = F.coalesce(up != across, F.lit(False)) | corner, F.coalesce(on_edge, F.lit(False))
+    odd, touches = F.coalesce(crossed(tile), F.lit(False)) | corner, F.coalesce(on_edge, F.lit(False))
     met = at.join(items, ["row", "col"]).select(*SHAPE, "x", "y", odd.alias("odd"), touches.alias("touches")).where("odd or touches")
     found = met.groupBy(*SHAPE, "x", "y").agg(F.count_if("odd").alias("n"), F.max("touches").alias("touches"))
     return found.where((F.col("n") % 2 == 1) | F.col("touches")).select(*SHAPE, "x", "y")

@@ -16,6 +16,7 @@ from ..functions.keys import Lives
 from ..operators import bands as b
 from ..operators import digest as g
 from ..operators import enrich as en
+from ..operators import rings as rg
 from ..operators import spatial as sp
 from ..operators.checks import Checks, require, settle, summary, typed_columns, union_checks, unique_key
 from ..operators.snapshot import compare_with_previous
@@ -261,8 +262,7 @@ def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Fi
             reports.append(settle(sp.layer_checks(sp.polygon_table(layer), v, columns, epsg)))
             layers.append(layer)
         edges = written(en.stacked(layers), f"{scratch}/edges")
-        crossing = Checks("rurality.").observe("crossing_rings", F.count(F.lit(1))).run(sp.crossing_rings(edges))
-        reports += [settle(sp.points_present(index)), settle(sp.area_checks(edges)), settle(crossing)]
+        reports += [settle(sp.points_present(index)), settle(sp.area_checks(edges)), settle(rg.observed(edges))]
         placed = written(sp.classify(wide, edges, registry.rurality_versions), f"{scratch}/placed")
         gated = sp.agreement(placed, registry.gate, lives)
         principal = F.max(F.when(F.col("cohort") == "current_small_user", F.col("lives")))

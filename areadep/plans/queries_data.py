@@ -10,6 +10,7 @@ from ..operators import bands as b
 from ..operators import digest as g
 from ..operators import enrich as en
 from ..operators import profile as p
+from ..operators import rings as rg
 from ..operators import snapshot as sn
 from ..operators import spatial as sp
 from ..operators import weighted as w
@@ -590,3 +591,35 @@ def _(spark, sf):
     edges = t.table(spark, sf, "part").select(F.lit("2022").alias("version"), k.alias("poly"), F.lit(0).alias("ring"),
                                               F.inline(F.when(odd, ring("abdca")).otherwise(ring("abcda"))))
     return sp.crossing_rings(edges).select("poly")
+
+
+# Shapes of rings on a square of a given side, in halves of it: the kinds of fault each has, and its rings, edges and area (in squares) when rebuilt.
+RINGS = (("whole", [(0, 0), (2, 0), (2, 2), (0, 2)], (), 1, 4, 1.0), ("bow", [(0, 0), (2, 2), (2, 0), (0, 2)], ("crossing",), 2, 6, 0.5),
+         ("touching", [(0, 0), (2, 0), (2, 2), (1, 0), (0, 2)], ("touch",), 2, 6, 0.5),
+         ("spike", [(0, 0), (2, 0), (2, 2), (2, 4), (2, 2), (0, 2)], ("overlap", "vertex"), 1, 4, 1.0),
+         ("eight", [(0, 0), (1, 1), (2, 0), (2, 2), (1, 1), (0, 2)], ("vertex",), 2, 6, 0.5))
+
+
+def ring_layer(spark, sf):
+    """A ring per part, one of RINGS by its key, its side by its size."""
+    k, half = F.col("p_partkey"), F.col("p_size") * 30
+    x, y = k % 500 * 1000, k % 300 * 1000
+    edge = lambda p, q: F.struct(*[(o + half * c).cast("double").alias(n) for n, o, c in (("x1", x, p[0]), ("y1", y, p[1]), ("x2", x, q[0]), ("y2", y, q[1]))])
+    shapes = F.array(*[F.array(*[edge(p, q) for p, q in zip(s, s[1:] + s[:1])]) for _, s, *_ in RINGS])
+    return t.table(spark, sf, "part").select(F.lit("2022").alias("version"), k.alias("poly"), F.lit(1).alias("sixfold"), F.lit(1).alias("eightfold"),
+                                             F.lit(0).alias("ring"), F.inline(F.get(shapes, (k % len(RINGS)).cast("int"))))
+
+
+@query("ring_faults", " UNION ALL ".join(f"SELECT p_partkey AS poly, '{kind}' AS kind FROM part WHERE p_partkey % {len(RINGS)} = {k}"
+                                         for k, r in enumerate(RINGS) for kind in r[2]))
+def _(spark, sf):
+    return rg.ring_faults(ring_layer(spark, sf)).select("poly", "kind")
+
+
+@query("ring_repair", " UNION ALL ".join(f"SELECT p_partkey AS poly, {'true' if r[2] else 'false'} AS rebuilt, CAST({r[3]} AS BIGINT) AS n_rings, CAST({r[4]} AS BIGINT) AS n_edges, "
+                                         f"CAST(p_size AS DOUBLE) * p_size * {3600 * r[5]} AS area FROM part WHERE p_partkey % {len(RINGS)} = {k}" for k, r in enumerate(RINGS)))
+def _(spark, sf):
+    """Each ring rebuilt: the area is that of its edges, added up with the inside on the left."""
+    piece = (F.col("x1") + F.col("x2")) / 2 * (F.col("y2") - F.col("y1"))
+    return rg.repaired(ring_layer(spark, sf)).groupBy("poly", "rebuilt").agg(F.count_distinct("ring").alias("n_rings"), F.count(F.lit(1)).alias("n_edges"),
+                                                                            F.round(F.sum(piece), 3).alias("area"))
