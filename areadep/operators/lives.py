@@ -10,10 +10,12 @@ from ..functions.keys import Lives, normalised, part, tier
 
 def newest_lives(history: DataFrame, lives: Lives = Lives(), carry: list[str] | None = None) -> DataFrame:
     """The newest introduction of every full key (one row per key); of those on one day the life that ends last, an open one
-    before all, so that a same-day record never hides the life beside it."""
+    before all, so that a same-day record never hides the life beside it. Of records equal in that, one by a
+    hash of what is read of it, so that the choice is the same in every run."""
     keep = carry if carry is not None else [c for c in history.columns if c not in (lives.key, lives.start)]
     ends = [F.coalesce(F.col(lives.end), F.lit("9999-12-31").cast("date"))] if lives.end in history.columns else []
-    best = F.max_by(F.struct(*keep), F.struct(F.col(lives.start), *ends)) if keep else None
+    plain = [c for c in keep if "map<" not in history.schema[c].dataType.simpleString()]
+    best = F.max_by(F.struct(*keep), F.struct(F.col(lives.start), *ends, F.xxhash64(*plain) if plain else F.lit(0))) if keep else None
     out = history.groupBy(lives.key).agg(F.max(lives.start).alias(lives.start), best.alias("_r"))
     return out.select(lives.key, lives.start, *[F.col(f"_r.{c}").alias(c) for c in keep])
 

@@ -21,17 +21,25 @@ from ..operators.lives import best_of_parts, best_part, geography_key, life_reco
 from ..operators.skew import lookup_join, measured
 from ..operators.timeline import as_of_join, broadcastable, stretches
 
-NARROW = 8     # carried columns that travel with the record; more are joined by its identity once it is chosen, with the same result
+NARROW = 8     # carried columns that travel with the record; more are joined by its print once it is chosen: another plan, the same result
+PRINT = "_print"
 MATCHED = ["matched_pc_norm", "matched_pc_base", "matched_introduced_on", "matched_deleted_on", "matched_is_current",
            "matched_user_type", "requested_link_postcode", "matched_candidate_count"]
 SOURCE = ["source_key", "source_introduced_on", "source_is_current"]
 
 
-def _records(history: DataFrame, lives: Lives) -> DataFrame:
-    """The directory with the identity of a record beside it: key, first day and last day. A same-day record differs from a life
-    that starts with it by its end; records equal in all three are one. The join on them moves the rows by the same three."""
-    named = history.withColumns({"_ck": F.col(lives.key), "_cs": F.col(lives.start), "_ce": F.col(lives.end)})
-    return named.dropDuplicates(["_ck", "_cs", "_ce"])
+def _printed(history: DataFrame, lives: Lives, carried: list[str]) -> DataFrame:
+    """The directory with a print of each record: a hash of all that is read of it. With its key, first and last day it tells records apart
+    that differ in anything, whatever is carried, and it settles which of two newest ones is taken."""
+    plain = [f.name for f in history.schema.fields if f.name in carried and "map<" not in f.dataType.simpleString()]
+    known = [c for c in (lives.key, lives.base, lives.start, lives.end, lives.current, lives.role, lives.link) if c in history.columns]
+    return history.withColumn(PRINT, F.xxhash64(*dict.fromkeys([*known, *plain])))
+
+
+def _records(history: DataFrame, lives: Lives, columns: list) -> DataFrame:
+    """One row for each record of a printed directory, with its identity beside `columns`; equal records are one."""
+    named = history.select(F.col(lives.key).alias("_ck"), F.col(lives.start).alias("_cs"), F.col(lives.end).alias("_ce"), F.col(PRINT).alias("_cp"), *columns)
+    return named.dropDuplicates(["_ck", "_cs", "_ce", "_cp"])
 
 
 def _context(answers: DataFrame, history: DataFrame, lives: Lives, context, source, narrow: bool) -> DataFrame:
@@ -41,9 +49,10 @@ def _context(answers: DataFrame, history: DataFrame, lives: Lives, context, sour
     if narrow:
         out = answers.withColumn("_w", F.col("rec"))
     else:
-        wide = _records(history, lives).select("_ck", "_cs", "_ce", F.struct(*dict.fromkeys([*context, *source])).alias("_w"))
-        same = (F.col("rec.pc_norm") == F.col("_ck")) & (F.col("rec.introduced_on") == F.col("_cs")) & F.col("rec.deleted_on").eqNullSafe(F.col("_ce"))
-        out = answers.join(wide, same, "left").drop("_ck", "_cs", "_ce")
+        wide = _records(history, lives, [F.struct(*dict.fromkeys([*context, *source])).alias("_w")])
+        same = ((F.col("rec.pc_norm") == F.col("_ck")) & (F.col("rec.introduced_on") == F.col("_cs")) & F.col("rec.deleted_on").eqNullSafe(F.col("_ce"))
+                & (F.col(f"rec.{PRINT}") == F.col("_cp")))
+        out = answers.join(wide, same, "left").drop("_ck", "_cs", "_ce", "_cp")
     small = F.coalesce(F.col("rec.role") == "small_user", F.lit(False))
     key = geography_key("rec", "candidates")
     own = F.struct(F.col("rec.pc_norm").alias("pc_norm"), F.col("rec.introduced_on").alias("introduced_on"),
@@ -113,7 +122,8 @@ def as_of_table(history: DataFrame, lives: Lives = Lives(), context=(), source=(
     directory alone; a caller with many cohorts can write it once and reuse it."""
     carried = list(dict.fromkeys([*context, *source]))
     narrow = len(carried) <= NARROW
-    record = life_record(lives, carried if narrow else ())
+    history = _printed(history, lives, carried)
+    record = life_record(lives, [*(carried if narrow else ()), PRINT])
     segments = stretches(history, lives.base, part(lives.key, lives.base), lives.start, lives.end, record)
     segments = segments.select(F.col(lives.base).alias("postcode_key"), "seg_from", "seg_to", "n_marks",
                                F.col("first_start").alias("first_introduced_on"), F.col("previous_end").alias("previous_life_deleted_on"),
@@ -147,18 +157,20 @@ def latest_table(history: DataFrame, lives: Lives = Lives(), context=(), source=
     """The answer of every base from newest lives, links followed. One row per base."""
     carried = list(dict.fromkeys([*context, *source]))
     narrow = len(carried) <= NARROW
-    own = [lives.base, lives.end, lives.current, lives.role, lives.link]
+    history = _printed(history, lives, carried)
+    own = [lives.base, lives.end, lives.current, lives.role, lives.link, PRINT]
     more = [c for c in carried if c not in (lives.key, lives.start, *own)]
     newest = newest_lives(history, lives, carry=own + (more if narrow else []))
-    best = best_part(newest, [lives.base], lives, carried if narrow else (), live_first=True)
+    best = best_part(newest, [lives.base], lives, [*(carried if narrow else ()), PRINT], live_first=True)
     best = best.select(F.col(lives.base).alias("postcode_key"), F.col("found.candidates").alias("candidates"), F.col("found.rec").alias("rec"))
     best = _context(best, history, lives, context, source, narrow)
     if narrow:
         full = newest
     else:
-        whole = _records(history, lives).select("_ck", "_cs", "_ce", *[F.col(c) for c in more])
-        same = (newest[lives.key] == whole["_ck"]) & (newest[lives.start] == whole["_cs"]) & newest[lives.end].eqNullSafe(whole["_ce"])
-        full = newest.join(whole, same).drop("_ck", "_cs", "_ce")
+        whole = _records(history, lives, [F.col(c) for c in more])
+        same = ((newest[lives.key] == whole["_ck"]) & (newest[lives.start] == whole["_cs"]) & newest[lives.end].eqNullSafe(whole["_ce"])
+                & (newest[PRINT] == whole["_cp"]))
+        full = newest.join(whole, same).drop("_ck", "_cs", "_ce", "_cp")
     targets = full.where(F.col(lives.role) == "small_user").select(
         F.col(lives.key).alias("link_key"), F.struct(*_geo_fields(lives, source)).alias("target"))
     return _named(_with_target(best, targets), ["postcode_key"], context, source, st.latest_life_status)

@@ -60,10 +60,10 @@ def _values(df: DataFrame, registry: Registry, source: dict, usable: tuple) -> D
     named.update({f"phs_{g}_code": "source_phs_dz{}_" + g for g in GEOGRAPHIES})
     df = df.withColumns({k: _by_vintage(v, registry) for k, v in named.items()})
     df = edition_measure(df, "simd_edition", measures(registry), registry, source="source_")
-    # Missing counts only what the row's edition published; a source status is empty by design.
+    # Missing counts only what the row's edition published; a source status may be empty, and the intermediate zone is carried as it is.
     missing = F.lit(False)
     for out, m in {**{k: None for k in named}, **measures(registry)}.items():
-        if m and m.endswith("_source_status"):
+        if out == "intermediate_zone_code" or m and m.endswith("_source_status"):
             continue
         unpublished = [e.key for e in registry.editions if m and not e.publishes(m)]
         test = F.col(out).isNull()
