@@ -9,8 +9,8 @@ members of each interval are scanned in the same way by what precedes them, whic
 diverse on both sides is a maximal repeat within that reach, with all its occurrences; longer repeats run on from anchor to
 anchor. Bytes are fetched only for one anchor of each kind, of groups in which a kind occurs once.
 
-A group of more than CROWD kinds is not held by one task: its interval tree is cut at depth LENGTH, where an interval is the
-suffixes that agree on their first LENGTH bytes, so they are counted by a digest of those bytes, in partial sums.
+A group of more than CROWD kinds is not held by one task: it is parted by what its kinds share further on (see `parted`), and the
+parts are scanned in the same way.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from .common import Scratch, bytes_of, extended, groups, numpy_of
 
 LENGTH = 200
 GRAM = 100
-CROWD = 1000
+CROWD = 1000            # kinds of a group that a task holds
 CHUNK = 1 << 20         # bytes hashed at a time
 POSITION = (1 << 28) - 1
 SEED = 11
@@ -231,19 +231,34 @@ def clipped(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFr
     return joined.mapInArrow(run, schema)
 
 
-def crowded_reach(rows: DataFrame, length: int) -> DataFrame:
-    """(x1, x2, a, b) of kinds that occur once in crowded groups, from counts of whole windows by their digest."""
-    # A window is compared at one place relative to the anchor only, as clips of neighbouring anchors share windows.
-    starts = F.sequence(F.lit(0), F.length("clip") - length)
-    window = lambda o: F.substring("clip", o + 1, F.lit(length))
-    windows = rows.where(F.length("clip") >= length).select("h", "c", "n", "left", F.explode(F.transform(starts, lambda o: F.struct(
-        o.alias("o"), F.xxhash64(window(o)).alias("w1"), F.hash(window(o)).alias("w2")))).alias("w"))
-    windows = windows.select("h", "c", "n", (F.col("w.o") - F.col("left")).alias("place"), "w.*")
-    same = ["h", "place", "w1", "w2"]
-    often = windows.groupBy(*same).agg(F.sum("n").alias("all")).where("all > 1").select(*same)
-    reach = windows.where("n = 1").join(often, same).groupBy("h", "c").agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
-    start = (F.col("pos") - F.col("left")).cast("long")
-    return rows.join(reach, ["h", "c"]).select("x1", "x2", (start + F.col("o1")).alias("a"), (start + F.col("o2") + length).alias("b"))
+def parted(rows: DataFrame, scratch: Scratch, length: int, gram: int, crowd: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Groups of more than `crowd` kinds in parts that a task may hold, and spans (x1, x2, a, b) of kinds whose windows are found by the parting itself.
+
+    The windows of a kind that hold its anchor start at 0 to length - gram bytes before it. Those of a range of starts share the bytes
+    between the last start and the first end; kinds that repeat one of these windows agree in all of that. So a group is parted by the halves of
+    the range and by what is shared in each; parts with one kind repeat nothing, parts of few kinds are scanned like any group, larger ones
+    are parted again, and a range of one start is a window itself. A kind goes on in both halves only where others share both.
+    """
+    keys, columns = ["k1", "k2"], ["n", "x1", "x2", "pos", "left", "clip"]
+    few, spans, level = None, None, 0
+    state = rows.select("h", *columns, F.lit(0).alias("p"), F.lit(length - gram).alias("q"))
+    while not state.isEmpty():
+        mid = F.floor((F.col("p") + F.col("q")) / 2).cast("int")
+        halves = F.inline(F.array(F.struct(F.col("p").alias("p"), mid.alias("q")), F.struct((mid + 1).alias("p"), F.col("q").alias("q"))))
+        state = state.select("h", *columns, halves).where((F.col("left") >= F.col("p")) & (F.length("clip") - F.col("left") >= length - F.col("q")))
+        common = F.substring("clip", F.col("left") - F.col("p") + 1, F.col("p") + length - F.col("q"))
+        state = scratch.keep(state.select(F.xxhash64("h", "p", "q", common).alias("k1"), F.hash(common, "p").alias("k2"), *columns, "p", "q"), f"halves{level}")
+        shared_by = state.groupBy(*keys).agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
+        shared_by = scratch.keep(shared_by.select(*keys, "kinds"), f"shared{level}")
+        state = scratch.keep(state.join(shared_by, keys).withColumnRenamed("k1", "h").drop("k2"), f"parts{level}")
+        scratch.drop(f"halves{level}")
+        start = (F.col("pos") - F.col("p")).cast("long")
+        more = state.where("p = q and n = 1").select("x1", "x2", start.alias("a"), (start + length).alias("b"))
+        small = state.where(f"p < q and kinds <= {crowd}").select("h", *columns)
+        few, spans = small if few is None else few.union(small), more if spans is None else spans.union(more)
+        state = state.where(f"p < q and kinds > {crowd}").drop("kinds")
+        level += 1
+    return few, spans
 
 
 def repeat_groups(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -264,11 +279,11 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     mixed_groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
     asked = kinds.join(scratch.keep(mixed_groups.select("h", (F.col("kinds") > crowd).alias("crowded")), "mixed"), "h")
     rows = scratch.keep(clipped(docs, asked, length, gram), "clips")
-    few = rows.where("not crowded").select("h", "n", "x1", "x2", "pos", "left", "clip").repartition("h").sortWithinPartitions("h")
+    few = rows.where("not crowded").select("h", "n", "x1", "x2", "pos", "left", "clip")
+    parts, windows = parted(rows.where("crowded"), scratch, length, gram, crowd)
+    few = (few if parts is None else few.union(parts)).repartition("h").sortWithinPartitions("h")
     spans = twins.union(few.mapInArrow(_scan(length), "x1 long, x2 int, a long, b long"))
-    many = rows.where("crowded")
-    if not many.isEmpty():
-        spans = spans.union(crowded_reach(many, length))
+    spans = spans if windows is None else spans.union(windows)
     joined = scratch.keep(spans.groupBy("x1", "x2").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")     # bounded by the text
     scratch.drop("clips")
     scratch.drop("often")

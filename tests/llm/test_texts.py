@@ -26,7 +26,7 @@ def rows(df, *columns):
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("crowd", [1, 1000])
+@pytest.mark.parametrize("crowd", [1, 3, 1000])
 def test_repeats(spark, tables, case, crowd):
     df, texts = tables[case]
     got = rows(repeats.remove_repeats(df, Scratch(spark, "t"), crowd=crowd), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -34,6 +34,18 @@ def test_repeats(spark, tables, case, crowd):
     assert got == sorted(want, key=lambda r: tuple((v is None, v) for v in r))
 
 
+@pytest.mark.parametrize("crowd", [50, 100_000])
+def test_a_string_before_thousands_of_endings(spark, crowd):
+    """One group of 3000 kinds: a line that all have, with endings and beginnings of which some are shared by two."""
+    line = h.prose(30, 71)[:150]
+    near = [h.prose(40, 5000 + k)[:120] for k in range(3000)]
+    texts = [(near[k - 1][-60:] if k % 5 == 0 else near[k][-90:]) + line + (near[k + 1][:70] if k % 7 == 0 else near[k][:80]) for k in range(2999)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = rows(repeats.remove_repeats(df, Scratch(spark, "t"), crowd=crowd), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    want = [(i, *r) for i, r in enumerate(h.without_repeats(texts))]
+    assert got == want and 100 < sum(r[2] > 0 for r in want) < 2900
+
+
 def test_long_texts_are_cut_without_a_seam(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 700)
     texts = [h.prose(900, 21), h.prose(200, 22) + " " + h.prose(900, 21)[1500:3000] + " " + h.prose(100, 23), h.prose(300, 24)]
