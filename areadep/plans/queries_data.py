@@ -17,8 +17,10 @@ from ..operators import weighted as w
 from ..operators.checks import Checks, repeated, summary, union_checks, unique_key, values_within
 from ..operators.ordered import falls
 from ..registry import EIGHT_TO_SIX, AgreementGate, RuralityVersion
+from ..sources.binary import read_dbf, read_edges
 from . import standin as t
 from .groundtruth import band_edges, pick_records
+from .publish import scratch_folder
 
 L = t.TEST_LIVES
 QUERIES: dict = {}
@@ -623,3 +625,31 @@ def _(spark, sf):
     piece = (F.col("x1") + F.col("x2")) / 2 * (F.col("y2") - F.col("y1"))
     return rg.repaired(ring_layer(spark, sf)).groupBy("poly", "rebuilt").agg(F.count_distinct("ring").alias("n_rings"), F.count(F.lit(1)).alias("n_edges"),
                                                                             F.round(F.sum(piece), 3).alias("area"))
+
+
+# ---- binary sources ----
+
+@query("dbf_source", """
+SELECT o_orderkey AS orderkey, o_orderstatus AS status, CASE WHEN o_orderkey % 9 <> 4 THEN CAST(o_totalprice AS DOUBLE) END AS price,
+  CASE WHEN o_custkey % 7 <> 3 THEN CAST(o_orderdate AS DATE) END AS day, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey % 2 = 0 END AS even FROM orders""")
+def _(spark, sf):
+    """Orders written as dBase files into the shared folder, one a partition, and read again: numbers, stars, text, dates and flags."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    fields = [("ORDERKEY", "N", 12, 0), ("STATUS", "C", 3, 0), ("PRICE", "N", 16, 2), ("DAY", "D", 8, 0), ("EVEN", "L", 1, 0)]
+    cells = [
+        k.cast("string"), F.col("o_orderstatus"), F.when(k % 9 == 4, F.lit("*" * 16)).otherwise(F.format_string("%.2f", F.col("o_totalprice").cast("double"))),
+        F.when(c % 7 != 3, F.date_format("o_orderdate", "yyyyMMdd")), F.when(c % 5 == 0, F.lit("?")).when(c % 2 == 0, F.lit("T")).otherwise(F.lit("n"))]
+    rows = t.table(spark, sf, "orders").select(*[cell.alias(name) for cell, (name, *_) in zip(cells, fields)])
+    path = t.source_files(rows, t.dbf_files(fields), f"{scratch_folder(spark)}/dbf")
+    return read_dbf(spark, path).drop("record_number")
+
+
+@query("shape_source", " UNION ALL ".join(f"""SELECT 0 AS ring, CAST({a} AS DOUBLE) AS x1, CAST({b} AS DOUBLE) AS y1, CAST({c} AS DOUBLE) AS x2, CAST({d} AS DOUBLE) AS y2
+  FROM (SELECT p_partkey % 500 * 1000 AS x0, p_partkey % 300 * 1000 + 0.5 AS y0, p_partkey % 500 * 1000 + p_size AS xx, p_partkey % 300 * 1000 + 0.5 + p_size AS yy FROM part)"""
+                                          for a, b, c, d in (("x0", "y0", "x0", "yy"), ("x0", "yy", "xx", "yy"), ("xx", "yy", "xx", "y0"), ("xx", "y0", "x0", "y0"))))
+def _(spark, sf):
+    """A box a part, written as shapefiles into the shared folder, and its edges read again."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    x, y = (k % 500 * 1000).cast("double"), (k % 300 * 1000).cast("double") + 0.5
+    boxes = t.table(spark, sf, "part").select(x.alias("x0"), y.alias("y0"), (x + size).alias("x1"), (y + size).alias("y1"))
+    return read_edges(spark, t.source_files(boxes, t.box_files, f"{scratch_folder(spark)}/shapes")).drop("record_number")

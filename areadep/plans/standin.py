@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from ..functions.keys import Lives
@@ -77,3 +80,39 @@ cohort AS (SELECT l_orderkey * 10 + l_linenumber AS id,
   FROM (SELECT *, CAST(floor(l_partkey / 4) AS INT) || CASE WHEN l_partkey % 4 = 1 THEN 'x' ELSE '' END AS k FROM lineitem)),
 asked AS (SELECT *, nullif(upper(replace(postcode, ' ', '')), '') AS postcode_key FROM cohort)
 """
+
+
+def source_files(rows: DataFrame, files, path: str) -> str:
+    """A folder with one binary file a partition of `rows`, of the bytes that `files` makes of the partition's batches. Spark's text writer
+    ends each with the byte that ends a dBase file, which a shapefile's own length leaves out."""
+    made = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(files, "raw binary")
+    made.select(F.col("raw").cast("string")).write.option("lineSep", "\x1a").text(path)
+    return path
+
+
+def dbf_files(fields: list[tuple[str, str, int, int]]):
+    """A dBase file of text columns, each cell as it stands in the file; blanks where there is none."""
+    def files(batches):
+        width = 1 + sum(w for _, _, w, _ in fields)
+        lines = []
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+                lines.append(b" " + b"".join((v or "").encode("latin-1")[:w].rjust(w) if kind in "NF" else (v or "").encode("latin-1")[:w].ljust(w)
+                                             for v, (_, kind, w, _) in zip(row, fields, strict=True)))
+        head = struct.pack("<B3BIHH20x", 3, 126, 1, 1, len(lines), 33 + 32 * len(fields), width)
+        head += b"".join(name.upper().encode()[:11].ljust(11, b"\0") + kind.encode() + b"\0" * 4 + bytes([w, d]) + b"\0" * 14 for name, kind, w, d in fields)
+        yield pa.RecordBatch.from_arrays([pa.array([head + b"\r" + b"".join(lines)], pa.binary())], names=["raw"])
+    return files
+
+
+def box_files(batches):
+    """A shapefile of boxes (x0, y0, x1, y1) as closed rings."""
+    shapes = []
+    for batch in batches:
+        for x0, y0, x1, y1 in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            points = ((x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0))
+            body = struct.pack("<i4d2ii", 5, x0, y0, x1, y1, 1, 5, 0) + b"".join(struct.pack("<2d", *p) for p in points)
+            shapes.append(struct.pack(">2i", len(shapes) + 1, len(body) // 2) + body)
+    body = b"".join(shapes)
+    head = struct.pack(">i5ii", 9994, 0, 0, 0, 0, 0, 50 + len(body) // 2) + struct.pack("<2i8d", 1000, 5, *[0.0] * 8)
+    yield pa.RecordBatch.from_arrays([pa.array([head + body], pa.binary())], names=["raw"])

@@ -1,45 +1,52 @@
-"""dBase III tables and shapefile polygons as Spark data sources, read by record ranges.
+"""dBase III tables and shapefile polygons, read through Spark and decoded in Arrow batches.
 
-Both formats say where each record lies: a dBase file has fixed-width records after its header, a
-shapefile has an index of record offsets. The driver reads only those headers; tasks read records.
+Files come by Spark's own reader, so any path that the cluster can read will do, a folder of files as well, and no task opens a
+path itself. A task that holds a file cuts it at record bounds; the pieces are dealt out by their bytes and decoded as whole columns.
+Spark holds a file as one value, of 2 GB at most, which is also what a dBase offset reaches.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
+from collections.abc import Iterator
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-RECORDS_PER_TASK = 50_000
-SHAPES_PER_TASK = 1
+PIECE = 4 << 20         # bytes of records decoded at a time
+LONGEST_HEADER = 33 + 32 * 255
+POLYGONS = (5, 15, 25)  # shapes with rings: plain, with heights, with measures
+EDGES = "record_number long, ring int, x1 double, y1 double, x2 double, y2 double"
+LITTLE_INT, DOUBLE = np.dtype("<i4"), np.dtype("<f8")
 
 
-class Span(InputPartition):
-    def __init__(self, first: int, last: int):
-        super().__init__((first, last))
-        self.first, self.last = first, last
+def contents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def spans(n: int, size: int) -> list[Span]:
-    return [Span(i, min(i + size, n)) for i in range(0, n, size)] or [Span(0, 0)]
+def _dealt(pieces: DataFrame, spark: SparkSession) -> DataFrame:
+    """Pieces of one file spread over as many tasks as a shuffle has, so that none decodes a file alone."""
+    return pieces.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 # ---- dBase III ----
 
-def dbf_header(path: str) -> tuple[int, int, int, list[tuple[str, str, int, int]]]:
+def dbf_header(raw: bytes) -> tuple[int, int, int, list[tuple[str, str, int, int]]]:
     """(records, header length, record length, [(name, type, width, decimals)])."""
-    with open(path, "rb") as f:
-        head = f.read(32)
-        n, header_len, record_len = struct.unpack("<IHH", head[4:12])
-        fields = []
-        for _ in range((header_len - 33) // 32):
-            d = f.read(32)
-            if d[:1] == b"\r":
-                break
-            fields.append((d[:11].split(b"\0")[0].decode("ascii").lower(), chr(d[11]), d[16], d[17]))
+    if len(raw) < 33:
+        raise ValueError("a dBase file ends in its header")
+    n, header_len, record_len = struct.unpack("<IHH", raw[4:12])
+    fields = []
+    for at in range(32, min(header_len - 1, len(raw) - 31), 32):
+        d = raw[at:at + 32]
+        if d[:1] == b"\r":
+            break
+        fields.append((d[:11].split(b"\0")[0].decode("ascii").lower(), chr(d[11]), d[16], d[17]))
     return n, header_len, record_len, fields
 
 
@@ -49,121 +56,134 @@ def dbf_type(kind: str, decimals: int) -> str:
     return {"L": "boolean", "D": "date"}.get(kind, "string")
 
 
-def dbf_value(raw: bytes, kind: str, decimals: int):
-    import datetime as dt
-    text = raw.decode("latin-1").strip().strip("\0")
+def _whole(text: str) -> int:
+    number = Decimal(text)
+    if number % 1:
+        raise ValueError(f"{text} in a field of whole numbers")
+    return int(number)
+
+
+def dbf_column(cells: np.ndarray, kind: str, decimals: int) -> pa.Array:
+    """One field of many records, each a row of bytes, as a column. Blank numbers, stars and blank dates are missing; blank text is text."""
+    raw = np.ascontiguousarray(cells).view(f"S{cells.shape[1]}").ravel() if cells.shape[1] else np.zeros(len(cells), "S1")
+    texts = np.char.strip(np.char.strip(np.char.decode(raw, "latin-1")), "\0") if len(raw) else np.zeros(0, "U1")
     if kind in "NF":
-        if not text or set(text) == {"*"}:
-            return None
+        column = pa.array(texts, pa.string(), mask=np.char.replace(texts, "*", "") == "")
         if decimals or kind == "F":
-            return float(text)
-        number = Decimal(text)
-        if number % 1:
-            raise ValueError(f"{text} in a field of whole numbers")
-        return int(number)
+            return pc.cast(column, pa.float64())
+        try:
+            return pc.cast(column, pa.int64())
+        except pa.ArrowInvalid:     # 12.0 is a whole number as well, 12.5 is not
+            return pa.array([None if t is None else _whole(t) for t in column.to_pylist()], pa.int64())
+    column = pa.array(texts, pa.string())
     if kind == "L":
-        return {"T": True, "Y": True, "F": False, "N": False}.get(text.upper())
+        upper = pc.utf8_upper(column)
+        yes, no = pc.is_in(upper, pa.array(["T", "Y"])), pc.is_in(upper, pa.array(["F", "N"]))
+        return pc.if_else(pc.or_(yes, no), yes, pa.scalar(None, pa.bool_()))
     if kind == "D":
-        return dt.datetime.strptime(text, "%Y%m%d").date() if text else None
-    return text
-
-
-class DbfReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
-        self.n, self.header_len, self.record_len, self.fields = dbf_header(path)
-
-    def partitions(self):
-        return spans(self.n, RECORDS_PER_TASK)
-
-    def read(self, partition):
-        with open(self.path, "rb") as f:
-            f.seek(self.header_len + partition.first * self.record_len)
-            for number in range(partition.first, partition.last):
-                record = f.read(self.record_len)
-                if len(record) < self.record_len:
-                    raise ValueError(f"{self.path} ends before record {number + 1} of {self.n}")
-                if record[:1] == b"*":       # deleted
-                    continue
-                at, values = 1, [number]
-                for _, kind, width, decimals in self.fields:
-                    values.append(dbf_value(record[at:at + width], kind, decimals))
+        days = pc.if_else(pc.equal(column, ""), pa.scalar(None, pa.string()), column)
+        return pc.cast(pc.strptime(days, "%Y%m%d", "s"), pa.date32())
+    return column
+
+
+def _cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            raw = memoryview(content.as_buffer())
+            n, header_len, record_len, _ = dbf_header(bytes(raw[:LONGEST_HEADER]))
+            if header_len + n * record_len > len(raw):
+                raise ValueError(f"{path.as_py()} ends before record {(len(raw) - header_len) // max(record_len, 1) + 1} of {n}")
+            step = max(1, PIECE // max(record_len, 1))
+            for first in range(0, n, step):
+                piece = bytes(raw[header_len + first * record_len:header_len + min(first + step, n) * record_len])
+                yield pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([piece], pa.binary())], names=["first", "piece"])
+
+
+def _decoded(fields: list[tuple[str, str, int, int]], record_len: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, piece in zip(batch.column("first").to_pylist(), batch.column("piece"), strict=True):
+                rows = np.frombuffer(piece.as_buffer(), np.uint8).reshape(-1, record_len)
+                there = np.flatnonzero(rows[:, 0] != ord("*"))      # others are deleted
+                columns, at = [pa.array(first + there)], 1
+                for _, kind, width, decimals in fields:
+                    columns.append(dbf_column(rows[there, at:at + width], kind, decimals))
                     at += width
-                yield tuple(values)
-
-
-class DbfSource(DataSource):
-    """Columns in lower case, with the record number first."""
-
-    @classmethod
-    def name(cls):
-        return "dbf"
+                yield pa.RecordBatch.from_arrays(columns, names=["record_number", *[f[0] for f in fields]])
+    return run
 
-    def schema(self):
-        fields = dbf_header(self.options["path"])[3]
-        return "record_number long, " + ", ".join(f"`{n}` {dbf_type(k, d)}" for n, k, _, d in fields)
 
-    def reader(self, schema):
-        return DbfReader(self.options["path"])
+def read_dbf(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a dBase file, or of the files of a folder that have the same fields: columns in lower case, the number of the record
+    in its file first. A file that is shorter than it says stops the job, as does a fraction in a field of whole numbers."""
+    files = contents(spark, path)
+    heads = [dbf_header(bytes(r["head"])) for r in files.select(F.substring("content", 1, LONGEST_HEADER).alias("head")).distinct().collect()]
+    shapes = {(h[2], tuple(h[3])) for h in heads}
+    if len(shapes) != 1:
+        raise ValueError(f"{path} holds {len(shapes)} kinds of dBase files")
+    record_len, fields = shapes.pop()
+    schema = "record_number long, " + ", ".join(f"`{n}` {dbf_type(k, d)}" for n, k, _, d in fields)
+    pieces = files.mapInArrow(_cut_records, "first long, piece binary")
+    return _dealt(pieces, spark).mapInArrow(_decoded(list(fields), record_len), schema)
 
 
 # ---- shapefile polygons ----
 
-def shape_offsets(shx: str) -> list[int]:
-    with open(shx, "rb") as f:
-        body = f.read()[100:]
-    return [struct.unpack(">i", body[i:i + 4])[0] * 2 for i in range(0, len(body) - 7, 8)]
-
-
-class ShapeReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
-        self.offsets = shape_offsets(os.path.splitext(path)[0] + ".shx")
-
-    def partitions(self):
-        return spans(len(self.offsets), SHAPES_PER_TASK)
-
-    def read(self, partition):
-        import numpy as np
-        with open(self.path, "rb") as f:
-            for number in range(partition.first, partition.last):
-                f.seek(self.offsets[number])
-                length = struct.unpack(">ii", f.read(8))[1] * 2
-                body = f.read(length)
-                kind = struct.unpack("<i", body[:4])[0]
-                if kind not in (5, 15, 25):     # polygon, polygon Z, polygon M
-                    continue
-                n_rings, n_points = struct.unpack("<ii", body[36:44])
-                starts = [*struct.unpack(f"<{n_rings}i", body[44:44 + 4 * n_rings]), n_points]
-                xy = np.frombuffer(body, "<f8", 2 * n_points, 44 + 4 * n_rings).reshape(-1, 2)
-                for ring in range(n_rings):
-                    points = xy[starts[ring]:starts[ring + 1]].tolist()
-                    for (x1, y1), (x2, y2) in zip(points, points[1:]):
-                        yield number, ring, x1, y1, x2, y2
-
-
-class ShapeSource(DataSource):
-    """The edges of every ring of every polygon."""
-
-    @classmethod
-    def name(cls):
-        return "shape_edges"
-
-    def schema(self):
-        return "record_number long, ring int, x1 double, y1 double, x2 double, y2 double"
-
-    def reader(self, schema):
-        return ShapeReader(self.options["path"])
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(DbfSource)
-    spark.dataSource.register(ShapeSource)
-
-
-def read_dbf(spark: SparkSession, path: str) -> DataFrame:
-    register(spark)
-    return spark.read.format("dbf").option("path", path).load()
+def _cut_rings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of points of one ring each; neighbouring stretches share a point."""
+    step = max(1, PIECE // 16)
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            raw = memoryview(content.as_buffer())
+            if len(raw) < 100 or struct.unpack(">i", raw[:4])[0] != 9994:
+                raise ValueError(f"{path.as_py()} is no shapefile")
+            end, at, number = struct.unpack(">i", raw[24:28])[0] * 2, 100, 0
+            while at + 8 <= end:
+                start, at = at + 8, at + 8 + struct.unpack(">i", raw[at + 4:at + 8])[0] * 2
+                if at > len(raw):
+                    raise ValueError(f"{path.as_py()} ends before the end of shape {number + 1}")
+                if at > start and struct.unpack("<i", raw[start:start + 4])[0] in POLYGONS:
+                    n_rings, n_points = struct.unpack("<ii", raw[start + 36:start + 44])
+                    points = start + 44 + 4 * n_rings
+                    bounds = np.append(np.frombuffer(raw, LITTLE_INT, n_rings, start + 44), n_points)
+                    rows = [(ring, a, min(a + step, int(last) - 1)) for ring, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False))
+                            for a in range(int(first), int(last) - 1, step)]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([number] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
+                            pa.array([bytes(raw[points + 16 * a:points + 16 * (b + 1)]) for _, a, b in rows], pa.binary())], names=["record_number", "ring", "piece"])
+                number += 1
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for number, ring, piece in zip(batch.column("record_number"), batch.column("ring"), batch.column("piece"), strict=True):
+            xy = np.frombuffer(piece.as_buffer(), DOUBLE).reshape(-1, 2)
+            n = len(xy) - 1
+            ends = [xy[:-1, 0], xy[:-1, 1], xy[1:, 0], xy[1:, 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, number.as_py(), np.int64)), pa.array(np.full(n, ring.as_py(), np.int32)),
+                                              *[pa.array(np.ascontiguousarray(e)) for e in ends]], names=["record_number", "ring", "x1", "y1", "x2", "y2"])
+
+
+def read_edges(spark: SparkSession, path: str) -> DataFrame:
+    """The edges of every ring of every polygon of a shapefile, or of those of a folder, with the number of the shape in its file."""
+    pieces = contents(spark, path).mapInArrow(_cut_rings, "record_number long, ring int, piece binary")
+    return _dealt(pieces, spark).mapInArrow(_edges, EDGES)
+
+
+def national_grid(description: str) -> bool:
+    """Whether the outermost reference system of a description is the British National Grid, by its name or its code."""
+    name = re.match(r'\s*PROJ(?:CS|CRS)\s*\[\s*"([^"]*)"', description)
+    named = name is not None and re.sub(r"[^a-z]", "", name[1].lower()).endswith("britishnationalgrid")
+    return named or re.search(r'(?:AUTHORITY\s*\[\s*"EPSG"\s*,\s*"27700"\s*\]|ID\s*\[\s*"EPSG"\s*,\s*27700\s*\])\s*\]\s*$', description) is not None
+
+
+def description_of(spark: SparkSession, path: str) -> str:
+    """The text beside a layer that names its reference system; empty if there is none."""
+    folder, _, name = os.path.splitext(path)[0].rpartition("/")
+    glob = re.sub(r"([\[\]{}*?\\])", r"\\\1", name) + ".prj"
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder or ".").select("content").head(1)
+    return bytes(found[0]["content"]).decode("latin-1") if found else ""
 
 
 def read_layer(spark: SparkSession, path: str, version) -> tuple[DataFrame, list[str], int | None]:
@@ -175,11 +195,7 @@ def read_layer(spark: SparkSession, path: str, version) -> tuple[DataFrame, list
     codes = attributes.select("record_number", *[
         (F.col(c.lower()).cast("int") if c.lower() in found else F.lit(None).cast("int")).alias(n)
         for c, n in ((version.sixfold, "sixfold"), (version.eightfold, "eightfold"))])
-    edges = spark.read.format("shape_edges").option("path", path).load()
     # A layer has eight polygons by contract, so its codes are the small side of this join.
-    out = codes.join(edges, "record_number", "left").select(
+    out = codes.join(read_edges(spark, path), "record_number", "left").select(
         F.lit(version.key).alias("version"), F.col("record_number").alias("poly"), "sixfold", "eightfold", "ring", "x1", "y1", "x2", "y2")
-    prj = os.path.splitext(path)[0] + ".prj"
-    text = open(prj, encoding="latin-1").read() if os.path.exists(prj) else ""
-    grid = any(n in text for n in ("British_National_Grid", "British National Grid", "27700"))
-    return out, names, 27700 if grid else None
+    return out, names, 27700 if national_grid(description_of(spark, path)) else None

@@ -135,14 +135,46 @@ def test_union_faults(spark, tmp_path):
     assert index.where("spd_user_type = 'small_user' and LinkedSmallUserPostcode is null").count() == 2
 
 
-def test_dbf_is_read_by_record_ranges(spark, tmp_path, monkeypatch):
+def test_dbf_is_read_by_pieces(spark, tmp_path, monkeypatch):
     import areadep.sources.binary as binary
     path = str(tmp_path / "t.dbf")
-    write_dbf(path, [("Name", "C", 8, 0), ("Value", "N", 8, 1), ("Count", "N", 6, 0)], [[f"r{i}", i / 2, i if i % 3 else None] for i in range(25)])
-    monkeypatch.setattr(binary, "RECORDS_PER_TASK", 10)
-    assert [(s.first, s.last) for s in binary.DbfReader(path).partitions()] == [(0, 10), (10, 20), (20, 25)]
+    fields = [("Name", "C", 8, 0), ("Value", "N", 8, 1), ("Count", "N", 6, 0), ("Day", "D", 8, 0), ("Flag", "L", 1, 0)]
+    write_dbf(path, fields, [[f"r{i}", i / 2, i if i % 3 else None, f"2020{i % 12 + 1:02d}01" if i % 4 else "", "TfyN?"[i % 5]] for i in range(25)])
+    monkeypatch.setattr(binary, "PIECE", 300)       # nine records
     rows = read_dbf(spark, path).orderBy("record_number").collect()
-    assert [(r["name"], r["value"], r["count"]) for r in rows] == [(f"r{i}", i / 2, i if i % 3 else None) for i in range(25)]
+    assert [r["record_number"] for r in rows] == list(range(25))
+    assert [(r["name"], r["value"], r["count"], r["flag"]) for r in rows] == [(f"r{i}", i / 2, i if i % 3 else None, [True, False, True, False, None][i % 5]) for i in range(25)]
+    assert [r["day"] and (r["day"].year, r["day"].month) for r in rows] == [(2020, i % 12 + 1) if i % 4 else None for i in range(25)]
+    assert not hasattr(binary, "DbfSource") and "open(" not in open(binary.__file__).read()
+
+
+def test_dbf_oddities(spark, tmp_path):
+    import numpy as np
+    import areadep.sources.binary as binary
+    cells = lambda *texts: np.array([list(x.encode("latin-1").ljust(6)) for x in texts], np.uint8)
+    assert binary.dbf_column(cells("12.0", "  7", "", "******", "+5"), "N", 0).to_pylist() == [12, 7, None, None, 5]
+    assert binary.dbf_column(cells("\xe9", "a\0\0", ""), "C", 0).to_pylist() == ["\xe9", "a", ""]
+    with pytest.raises(ValueError):
+        binary.dbf_column(cells("12.5"), "N", 0)
+    path = tmp_path / "t.dbf"
+    write_dbf(str(path), [("A", "N", 4, 0)], [[i] for i in range(10)])
+    raw = path.read_bytes()
+    (tmp_path / "short.dbf").write_bytes(raw[:-20])
+    with pytest.raises(Exception, match="ends before record"):
+        read_dbf(spark, str(tmp_path / "short.dbf")).collect()
+    marked = bytearray(raw)
+    marked[33 + 32 + 5 * 3] = ord("*")
+    (tmp_path / "marked.dbf").write_bytes(bytes(marked))
+    assert [r["a"] for r in read_dbf(spark, str(tmp_path / "marked.dbf")).orderBy("a").collect()] == [0, 1, 2, 4, 5, 6, 7, 8, 9]
+    write_dbf(str(tmp_path / "none.dbf"), [("A", "N", 4, 0)], [])
+    assert read_dbf(spark, str(tmp_path / "none.dbf")).collect() == []
+
+
+def test_reference_systems_by_their_own_name():
+    from areadep.sources.binary import national_grid
+    assert national_grid('PROJCS["British_National_Grid",GEOGCS["GCS_OSGB_1936"]]') and national_grid('PROJCRS["OSGB36 / British National Grid",BASEGEOGCRS["x"]]')
+    assert national_grid('PROJCS["unnamed",GEOGCS["g",AUTHORITY["EPSG","4277"]],AUTHORITY["EPSG","27700"]]')
+    assert not national_grid('PROJCS["UTM 30N",REMARK["not British_National_Grid, 27700"]]') and not national_grid("") and not national_grid('GEOGCS["British National Grid"]')
 
 
 def test_layer_source(spark, tmp_path):
