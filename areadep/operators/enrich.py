@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import half_unit, same
 from ..registry import BAND_WIDTH, GEOGRAPHIES, RANK_SOURCES_DISAGREE, REGISTRY, Edition, Registry
@@ -88,47 +88,69 @@ def enriched_checks(table: DataFrame, index: DataFrame, key: list[str], registry
     return union_checks(shape, c.run(table), rows, unique_key(table, key, f"{label}.primary_key_unique"))
 
 
-def long_lookup(saved: DataFrame, service: DataFrame, gov: DataFrame, key: list[str], registry: Registry = REGISTRY,
-                zone_column="DataZone{}Code") -> DataFrame:
-    """Every attached value of a saved table beside its source value, as (key, edition, measure, saved,
-    source), the source looked up again from the long tables by (zone, edition)."""
-    cells = []
-    for e in registry.editions:
-        values = F.map_from_arrays(F.array(*[F.lit(m) for m in e.measures()]),
-                                   F.array(*[F.col(e.column(m)).cast("string") for m in e.measures()]))
-        cells.append(F.struct(F.lit(e.key).alias("edition"), F.col(zone_column.format(e.vintage)).alias("dz_code"), values.alias("saved")))
+def _measure_names(registry: Registry) -> tuple[list[str], list[str]]:
+    """Every measure of any edition once: numbers, and texts."""
+    names = list(dict.fromkeys(m for e in registry.editions for m in e.measures()))
+    return [m for m in names if not m.endswith("_source_status")], [m for m in names if m.endswith("_source_status")]
+
+
+def _packed(numbers: list, texts: list) -> Column:
+    """A row's measures as two arrays, missing where they are, and a mark where a number is no number, so that it equals none."""
+    number = lambda c: F.when(c.isNotNull(), F.coalesce(c.try_cast("double"), F.lit(float("nan"))))
+    return F.struct(F.array(*[number(c) for c in numbers], F.lit(None).cast("double")).alias("n"),
+                    F.array(*[c.cast("string") for c in texts], F.lit(None).cast("string")).alias("t"))
+
+
+def paired(saved: DataFrame, service: DataFrame, gov: DataFrame, key: list[str], registry: Registry = REGISTRY, zone_column="DataZone{}Code") -> DataFrame:
+    """(key, edition, dz_code, saved, source): a record's measures of an edition beside those of its zone, looked up again from the long
+    tables, each packed into arrays in one order. One row a record and edition, whatever the number of measures."""
+    numbers, texts = _measure_names(registry)
+    none = F.lit(None).cast("string")
+    own = lambda e, names: [F.col(e.column(m)) if e.publishes(m) else none for m in names]
+    cells = [F.struct(F.lit(e.key).alias("edition"), F.col(zone_column.format(e.vintage)).alias("dz_code"), _packed(own(e, numbers), own(e, texts)).alias("saved"))
+             for e in registry.editions]
     long = saved.select(*key, F.inline(F.array(*cells)))
-    source = _source_maps(service, gov, registry)
-    joined = long.join(source, ["edition", "dz_code"], "left")
-    return joined.select(*key, "edition", "dz_code", F.explode("saved").alias("measure", "saved"), "source").withColumn(
-        "source", F.try_element_at("source", F.col("measure")))
+    given = [m for m in numbers + texts if m in service.columns]
+    more = [m for m in numbers + texts if m in gov.columns and m not in given]
+    both = service.select("edition", "dz_code", *given).join(gov.select("edition", "dz_code", *more), ["edition", "dz_code"], "full_outer")
+    # What an edition did not publish is no value of it, whatever a table holds there.
+    shown = lambda m: F.when(F.col("edition").isin(*[e.key for e in registry.editions if e.publishes(m)]), F.col(m)) if m in given + more else none
+    source = both.select("edition", "dz_code", _packed([shown(m) for m in numbers], [shown(m) for m in texts]).alias("source"))
+    return long.join(source, ["edition", "dz_code"], "left")
+
+
+def _cells(rows: DataFrame, key: list[str], registry: Registry, unequal_only: bool) -> DataFrame:
+    """The measures of packed rows one by one: those that differ, or all that the edition published."""
+    numbers, texts = _measure_names(registry)
+    published = F.create_map(*[x for e in registry.editions for x in (F.lit(e.key), F.array(*[F.lit(m) for m in e.measures()]))])
+
+    def side(part: str, names: list[str]) -> Column:
+        listed = F.arrays_zip(F.array(*[F.lit(m) for m in names], F.lit(None).cast("string")).alias("m"), F.col(f"saved.{part}").alias("a"),
+                              F.coalesce(F.col(f"source.{part}"), F.array()).alias("b"))
+        keep = (lambda x: x["m"].isNotNull() & ~same(x["a"], x["b"])) if unequal_only else (lambda x: F.array_contains(F.col("_published"), x["m"]))
+        return F.transform(F.filter(listed, keep), lambda x: F.struct(x["m"].alias("measure"), x["a"].cast("string").alias("saved"), x["b"].cast("string").alias("source"),
+                                                                      same(x["a"], x["b"]).alias("same")))
+
+    out = rows.where(~same("saved", "source")) if unequal_only else rows.withColumn("_published", published[F.col("edition")])
+    return out.select(*key, "edition", "dz_code", F.inline(F.concat(side("n", numbers), side("t", texts))))
 
 
-def _source_maps(service: DataFrame, gov: DataFrame, registry: Registry) -> DataFrame:
-    names = [m for m in dict.fromkeys(m for e in registry.editions for m in e.measures())]
-    s_names = [m for m in names if m in service.columns]
-    g_names = [m for m in names if m in gov.columns and m not in s_names]
-    both = service.select("edition", "dz_code", *s_names).join(gov.select("edition", "dz_code", *g_names), ["edition", "dz_code"], "full_outer")
-    cols = s_names + g_names
-    return both.select("edition", "dz_code", F.map_from_arrays(F.array(*[F.lit(m) for m in cols]),
-                                                               F.array(*[F.col(m).cast("string") for m in cols])).alias("source"))
+def unequal_cells(saved: DataFrame, service: DataFrame, gov: DataFrame, key: list[str], registry: Registry = REGISTRY, zone_column="DataZone{}Code") -> DataFrame:
+    """(key, edition, dz_code, measure, saved, source) of every attached value that is not its source's, missing values being equal to
+    missing ones. Rows equal as a whole are passed over; only cells that differ become rows."""
+    return _cells(paired(saved, service, gov, key, registry, zone_column), key, registry, True).drop("same")
 
 
-def traced(saved: DataFrame, service: DataFrame, gov: DataFrame, keys: DataFrame, key: list[str], registry: Registry = REGISTRY) -> DataFrame:
+def traced(saved: DataFrame, service: DataFrame, gov: DataFrame, keys: DataFrame, key: list[str], registry: Registry = REGISTRY,
+           zone_column="DataZone{}Code") -> DataFrame:
     """The record trace for any set of keys: (key, edition, dz_code, measure, saved, source, same)."""
     asked = saved.join(keys.select(*key).distinct(), key, "left_semi")
-    out = long_lookup(asked, service, gov, key, registry)
-    number = lambda c: F.col(c).try_cast("double")
-    equal = F.when(F.col("measure").endswith("_source_status"), same("saved", "source")).otherwise(
-        F.coalesce(number("saved") == number("source"), F.lit(False)))
-    return out.withColumn("same", equal)
+    return _cells(paired(asked, service, gov, key, registry, zone_column), key, registry, False)
 
 
 def relookup_checks(saved: DataFrame, service: DataFrame, gov: DataFrame, key: list[str], registry: Registry = REGISTRY, label="readback") -> DataFrame:
     """Readback: every attached value equals its source, nulls equal to nulls."""
-    rows = long_lookup(saved, service, gov, key, registry)
-    numeric = F.col("saved").try_cast("double").eqNullSafe(F.col("source").try_cast("double")) & F.col("saved").try_cast("double").isNotNull()
-    return Checks(f"{label}.").zero("attached_values", ~(numeric | same("saved", "source"))).run(rows)
+    return Checks(f"{label}.").equal("attached_values", F.count(F.lit(1)), 0).run(unequal_cells(saved, service, gov, key, registry))
 
 
 def source_equal_checks(saved: DataFrame, index: DataFrame, key: list[str], label: str = "readback") -> DataFrame:

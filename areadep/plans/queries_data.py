@@ -16,7 +16,7 @@ from ..operators import spatial as sp
 from ..operators import weighted as w
 from ..operators.checks import Checks, repeated, summary, union_checks, unique_key, values_within
 from ..operators.ordered import falls
-from ..registry import EIGHT_TO_SIX, AgreementGate, RuralityVersion
+from ..registry import EIGHT_TO_SIX, AgreementGate, Edition, Registry, RuralityVersion
 from ..sources.binary import read_dbf, read_edges
 from . import standin as t
 from .groundtruth import band_edges, pick_records
@@ -347,15 +347,63 @@ def _(spark, sf):
     return a.unionByName(s, allowMissingColumns=True)
 
 
-@query("trace_records", LIVES + """
-SELECT pc_norm, introduced_on, 'population' AS measure, CAST(zone % 50 + 1 AS INT) AS saved, CAST(p_size AS INT) AS source, coalesce(zone % 50 + 1 = p_size, false) AS same
-FROM lives LEFT JOIN part ON p_partkey = zone""")
+ZONE = "zone"
+TRACE = Registry(editions=(Edition(key="e1", vintage=2001, rows=0, first_year=1996, last_year=1999, domains=("income",)),
+                           Edition(key="e2", vintage=2011, rows=0, first_year=2000, last_year=9999, domains=("income", "crime"), status_domains=("crime",))))
+
+
+def source_value(edition: int, k: int, measure: str, zone: str) -> str:
+    """What a zone's row holds, in words of both engines: some ranks are missing, and a status is text."""
+    if measure.endswith("_source_status"):
+        return f"CASE WHEN {zone} % 5 = 1 THEN 'rank_sources_disagree' END"
+    gap = f"{zone} % 19 <> {k % 19}" if measure.endswith("rank") else f"{zone} IS NOT NULL"
+    return f"CASE WHEN {gap} THEN CAST(({zone} * {k + 3}) % 89 + {edition} AS DOUBLE) / 2 END"
+
+
+def saved_value(edition: int, k: int, measure: str, zone: str) -> str:
+    """What a record has saved: its zone's value, but for one record in 97 and measure, which has another or none."""
+    wrong = "NULL" if k % 2 else ("'?'" if measure.endswith("_source_status") else "CAST(-1 AS DOUBLE)")
+    return f"CASE WHEN {zone} % 97 = {(k * 7 + edition) % 97} THEN {wrong} ELSE {source_value(edition, k, measure, zone)} END"
+
+
+def trace_tables(spark, sf):
+    """A table of records with measures of two editions attached, and the two publishers' long tables they came from."""
+    zone = t.table(spark, sf, "part").select(F.col("p_partkey").alias("zone"))
+    of = lambda names: en.stacked([zone.select(F.lit(e.key).alias("edition"), F.concat(F.lit("Z"), F.col("zone").cast("string")).alias("dz_code"), *[
+        F.expr(source_value(i, k, m, "zone")).alias(m) for k, m in enumerate(e.measures()) if m in names(e)]) for i, e in enumerate(TRACE.editions)])
+    saved = directory(spark, sf).select("pc_norm", "introduced_on", *[F.concat(F.lit("Z"), F.col("zone").cast("string")).alias(f"DataZone{e.vintage}Code") for e in TRACE.editions], *[
+        F.expr(saved_value(i, k, m, "zone")).alias(e.column(m)) for i, e in enumerate(TRACE.editions) for k, m in enumerate(e.measures())])
+    return saved, of(lambda e: e.service_measures()), of(lambda e: e.government_measures())
+
+
+def _trace_sql(where: str, columns: str) -> str:
+    """Cell by cell; zones that have no row have no source."""
+    cells = []
+    for i, e in enumerate(TRACE.editions):
+        for k, m in enumerate(e.measures()):
+            text = m.endswith("_source_status")
+            cells.append(f"SELECT pc_norm, introduced_on, '{e.key}' AS edition, 'Z' || zone AS dz_code, '{m}' AS measure, {'NULL' if text else saved_value(i, k, m, 'zone')} AS a, "
+                         f"{'NULL' if text else f'CASE WHEN p_partkey IS NOT NULL THEN {source_value(i, k, m, ZONE)} END'} AS b, "
+                         f"{saved_value(i, k, m, 'zone') if text else 'NULL'} AS ta, {f'CASE WHEN p_partkey IS NOT NULL THEN {source_value(i, k, m, ZONE)} END' if text else 'NULL'} AS tb "
+                         "FROM lives LEFT JOIN part ON p_partkey = zone")
+    return LIVES + "SELECT pc_norm, introduced_on, edition, dz_code, measure, " + columns + " FROM (" + " UNION ALL ".join(cells) + ") WHERE " + where
+
+
+SAVED_SQL = "CASE WHEN ta IS NOT NULL THEN ta ELSE CAST(a AS VARCHAR) END AS saved, CASE WHEN tb IS NOT NULL THEN tb ELSE CAST(b AS VARCHAR) END AS source"
+
+
+@query("trace_records", _trace_sql("pc_norm IN (SELECT pc_norm FROM lives WHERE spd_user_type = 'large_user' AND is_current)", SAVED_SQL + ", a IS NOT DISTINCT FROM b AND ta IS NOT DISTINCT FROM tb AS same"))
+def _(spark, sf):
+    """Every attached value of the records of some keys beside its source's, looked up again."""
+    saved, service, gov = trace_tables(spark, sf)
+    keys = directory(spark, sf).where("spd_user_type = 'large_user' and is_current").select("pc_norm").distinct()
+    return en.traced(saved.join(keys, "pc_norm", "left_semi"), service, gov, saved, ["pc_norm", "introduced_on"], TRACE)
+
+
+@query("relookup_unequal", _trace_sql("a IS DISTINCT FROM b OR ta IS DISTINCT FROM tb", SAVED_SQL))
 def _(spark, sf):
-    """Each record's saved value beside its source row's, here with a saved value that is mostly wrong."""
-    saved = directory(spark, sf).select("pc_norm", "introduced_on", "zone", (F.col("zone") % 50 + 1).cast("int").alias("saved"))
-    out = en.join_edition(saved, zones(spark, sf), "zone", ["population"], "source_")
-    return out.select("pc_norm", "introduced_on", F.lit("population").alias("measure"), "saved", F.col("source_population").alias("source"),
-                      F.coalesce(F.col("saved") == F.col("source_population"), F.lit(False)).alias("same"))
+    """Every attached value of every record that is not its source's."""
+    return en.unequal_cells(*trace_tables(spark, sf), ["pc_norm", "introduced_on"], TRACE)
 
 
 # ---- snapshots ----
