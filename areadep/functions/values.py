@@ -79,21 +79,27 @@ def row_number64(text: Column) -> Column:
 
 def stored(c, kind: str, *, role=None, null_for_role: str | None = None, blank_is_null: bool = False) -> Column:
     """A CSV cell back to its declared type. Text blanks return as blanks unless the column never
-    holds one, or does not exist for the record's role; a rank returns only if its text round-trips."""
+    holds one, or does not exist for the record's role; a rank returns only if its text round-trips. A cell that is no value of its
+    type is null: `refused` tells which were."""
     v = _col(c)
     filled = F.nullif(v, F.lit(""))
     if kind == "date32":
-        return F.to_date(filled, "yyyy-MM-dd")
+        return F.try_to_date(filled, "yyyy-MM-dd")
     if kind == "bool":
         return F.when(v == "1", F.lit(True)).when(v == "0", F.lit(False))
     if kind == "rank":
         exact = filled.try_cast("decimal(6,1)")
         return F.when(exact.cast("string") == v, exact)
     if kind in ("int8", "int16"):
-        return filled.cast(SPARK_TYPES[kind])
+        return filled.try_cast(SPARK_TYPES[kind])
     if blank_is_null:
         return filled
     text = F.coalesce(v, F.lit(""))
     if null_for_role is not None:
         return F.when(~F.col(role).eqNullSafe(F.lit(null_for_role)), text)
     return text
+
+
+def refused(text, value, kind: str) -> Column:
+    """Whether a cell held something that is no value of its type."""
+    return F.lit(False) if kind == "string" else (_col(text) != "") & _col(value).isNull()

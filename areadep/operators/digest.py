@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from ..functions.values import NULL_MARK, SEPARATOR, SPARK_TYPES, rendered, reserved_in, row_number64, same, stored
+from ..functions.values import NULL_MARK, SEPARATOR, SPARK_TYPES, refused, rendered, reserved_in, row_number64, same, stored
 from .checks import Checks, repeated, static_check, union_checks
 
 
@@ -88,6 +88,36 @@ def restore(text: DataFrame, contract: ExportContract) -> DataFrame:
                                 blank_is_null=n in contract.empty_is_null).alias(n) for n, k, _ in contract.columns()])
 
 
+def load_csv(spark, contract: ExportContract, path: str, target: str) -> tuple[DataFrame, DataFrame, dict]:
+    """An exported CSV as a typed table, written to `target` in one pass: the table, the rows it refuses, and what was observed on the way.
+
+    A row is refused if it has more or fewer cells than the contract, or a cell that is no value of its type; it keeps its cells as text,
+    the line if it was cut wrongly, and the columns that were refused. Rows, their digest and the refusals are counted while the rows are
+    written, so nothing is read twice; the digest is that of the values as they were loaded."""
+    columns = contract.columns()
+    schema = ", ".join(f"`{n}` string" for n in contract.names()) + ", _line string"
+    text = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"')
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path).na.fill("", contract.names()))
+    typed = {n: stored(n, k, role=contract.role_column, null_for_role=contract.null_for_role.get(n), blank_is_null=n in contract.empty_is_null) for n, k, _ in columns}
+    rows = text.select(F.struct(*contract.names(), "_line").alias("text"), F.struct(*[v.alias(n) for n, v in typed.items()]).alias("row"))
+    wrong = F.array_compact(F.array(*[F.when(refused(f"text.{n}", f"row.{n}", k), F.lit(n)) for n, k, _ in columns]))
+    rows = rows.withColumn("refused", wrong)
+    good = F.col("text._line").isNull() & (F.size("refused") == 0)
+    line = F.concat_ws(SEPARATOR, *[rendered(F.col(f"row.{n}"), k) for n, k, _ in columns])
+    seen = Observation("load")
+    rows.observe(seen, F.count_if(good).alias("rows"), F.coalesce(F.sum(F.when(good, row_number64(line))), F.lit(0).cast("decimal(38,0)")).cast("string").alias("total"),
+                 F.count_if(F.col("text._line").isNotNull()).alias("cut_wrongly"), F.count_if(F.col("text._line").isNull() & ~good).alias("refused")).write.parquet(target)
+    kept = spark.read.parquet(target)
+    good = F.col("text._line").isNull() & (F.size("refused") == 0)
+    return kept.where(good).select("row.*"), kept.where(~good).select("text.*", "refused"), dict(seen.get)
+
+
+def load_checks(spark, observed: dict, rows: int, total: str, label: str = "load") -> DataFrame:
+    """Check rows of a load: as many rows as were exported, with their digest, and none refused."""
+    wanted = {"rows": rows, "total": total, "cut_wrongly": 0, "refused": 0}
+    return union_checks(*[static_check(spark, f"{label}.{n}", observed[n], want) for n, want in wanted.items()])
+
+
 def cells_equal(saved: DataFrame, expected: DataFrame, key: list[str], label: str = "csv") -> DataFrame:
     """Check rows of a cell-by-cell comparison by key."""
     value = [c for c in expected.columns if c not in key]

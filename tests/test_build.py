@@ -191,3 +191,18 @@ def test_pinned_files(spark, tmp_path):
     pins = spark.createDataFrame([("d/a.csv", good), ("d/b.csv", good), ("d/../a", "0")], "path string, sha256 string")
     got = {r["path"]: (r["present"], r["verified"]) for r in pinned_files(spark, str(tmp_path), pins).collect()}
     assert got == {"d/a.csv": (True, True), "d/b.csv": (False, False), "d/../a": (False, False)}
+
+
+def test_a_load_in_one_pass(spark, tmp_path):
+    """Lines with too few or too many cells, cells of the wrong type, quotes and line breaks inside a cell."""
+    from areadep.operators import digest as g
+    c = g.ExportContract(fields=(("k", "string", False), ("day", "date32", True), ("n", "int8", True), ("note", "string", True)), key=("k",))
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text('k,day,n,note\na,2020-01-31,5,"x, ""y"""\nb,2020-02-30,,\nc,,300,z\nd,,7\ne,,7,w,more\nf,,,\n')
+    table, refused, seen = g.load_csv(spark, c, str(tmp_path / "csv"), str(tmp_path / "out"))
+    assert [(r["k"], str(r["day"]), r["n"], r["note"]) for r in table.orderBy("k").collect()] == [("a", "2020-01-31", 5, 'x, "y"'), ("f", "None", None, "")]
+    assert [(r["k"], r["refused"], r["_line"]) for r in refused.orderBy("k").collect()] == [("b", ["day"], None), ("c", ["n"], None), ("d", [], "d,,7"), ("e", [], "e,,7,w,more")]
+    assert (seen["rows"], seen["cut_wrongly"], seen["refused"]) == (2, 2, 2)
+    assert seen["total"] == g.row_digest(g.render(table, c)).first()["total"]
+    checks = {r["name"]: r["passed"] for r in g.load_checks(spark, seen, 2, seen["total"]).collect()}
+    assert checks == {"load.rows": True, "load.total": True, "load.cut_wrongly": False, "load.refused": False}
