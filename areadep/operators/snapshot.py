@@ -12,38 +12,86 @@ from .lives import latest_per_base
 RELEASE_LABELS = ("spd_release", "sspl_release")
 
 
-def matched_pairs(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
-    """Full outer join on the key with both rows as structs `old` and `new`."""
-    pack = lambda df, name: df.select(*key, F.struct(*[c for c in df.columns if c not in key]).alias(name))
-    return pack(before, "old").join(pack(after, "new"), key, "full_outer")
-
-
 def compared_columns(before: DataFrame, after: DataFrame, key: list[str], ignore=RELEASE_LABELS) -> list[str]:
     return [c for c in after.columns if c in before.columns and c not in key and c not in ignore]
 
 
-def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str], current: str | None = "is_current", ignore=RELEASE_LABELS) -> DataFrame:
-    """One row: added, removed, common and changed records, records newly deleted."""
-    pairs = matched_pairs(before, after, key)
+def _printed(df: DataFrame, other: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """Rows with their range, the first bits of a hash of the key, and two prints of key and values. Types that differ between the tables are printed as text."""
+    plain = lambda c: F.col(c) if df.schema[c].dataType == other.schema[c].dataType else F.col(c).cast("string")
+    # A hash skips what is missing, so where that is belongs to the print.
+    gaps = F.concat(F.lit(""), *[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    values = [plain(c) for c in [*key, *columns]]
+    return df.select(*key, F.struct(*(columns or key)).alias("_row"), F.xxhash64(*[plain(c) for c in key]).alias("_h"),
+                     F.xxhash64(*values, gaps).alias("_p1"), F.xxhash64(F.lit(7), *values, gaps).alias("_p2"))
+
+
+def _ranges(printed: DataFrame, bits: int) -> DataFrame:
+    """Rows and digests of each range of key hashes, whatever the order of rows; sums of prints, so that repeated rows do not cancel out."""
+    at = F.shiftrightunsigned("_h", 64 - bits).alias("_range")
+    exact = lambda p: F.sum(F.col(p).cast("decimal(20,0)"))
+    return printed.groupBy(at).agg(F.count(F.lit(1)).alias("n"), exact("_p1").alias("d1"), exact("_p2").alias("d2"))
+
+
+PER_RANGE = 64          # rows of a range, as a mean
+
+
+def range_bits(n: int, per_range: int = PER_RANGE) -> int:
+    """Bits of a hash that cut n rows into ranges of about `per_range`: the leaves of the tree of ranges."""
+    return max(1, min(40, (max(n, 1) // per_range).bit_length()))
+
+
+def unequal_ranges(before: DataFrame, after: DataFrame, bits: int) -> DataFrame:
+    """(_range, n): ranges of printed tables that differ, with the rows of `before` in them."""
+    named = lambda df, p: df.select("_range", *[F.col(c).alias(p + c) for c in ("n", "d1", "d2")])
+    both = named(_ranges(before, bits), "b_").join(named(_ranges(after, bits), "a_"), "_range", "full_outer")
+    alike = F.lit(True)
+    for c in ("n", "d1", "d2"):
+        alike = alike & F.col("b_" + c).eqNullSafe(F.col("a_" + c))
+    return both.where(~alike).select("_range", F.coalesce("b_n", F.lit(0).cast("long")).alias("n"))
+
+
+def compared(before: DataFrame, after: DataFrame, key: list[str], current: str | None = "is_current", ignore=RELEASE_LABELS, per_range: int = PER_RANGE) -> DataFrame:
+    """One row: added, removed, common and changed records, records newly deleted, and per column how many values differ among common
+    records, in all and among those current in both (`fields`, columns without a difference left out).
+
+    Both tables are cut into ranges of a hash of the key and each range is digested, in partial sums; only rows of ranges whose digests
+    differ are joined, once, for all figures together. Keys must be unique."""
     columns = compared_columns(before, after, key, ignore)
+    old, new = _printed(before, after, key, columns), _printed(after, before, key, columns)
+    n = before.count()
+    bits = range_bits(n, per_range)
+    differ = unequal_ranges(old, new, bits)
+    at = F.shiftrightunsigned("_h", 64 - bits)
+    some = lambda df, name: df.withColumn("_range", at).join(differ.select("_range"), "_range", "left_semi").select(*key, F.col("_row").alias(name))
+    pairs = some(old, "old").join(some(new, "new"), key, "full_outer")
     both = F.col("old").isNotNull() & F.col("new").isNotNull()
+    unlike = {c: ~same(f"old.{c}", f"new.{c}") for c in columns}
     changed = F.lit(False)
-    for c in columns:
-        changed = changed | ~same(f"old.{c}", f"new.{c}")
-    newly = (F.col(f"old.{current}") & ~F.col(f"new.{current}")) if current and current in columns else F.lit(False)
-    return pairs.agg(
+    for test in unlike.values():
+        changed = changed | test
+    flagged = current is not None and current in columns
+    newly = (F.col(f"old.{current}") & ~F.col(f"new.{current}")) if flagged else F.lit(False)
+    in_both = F.coalesce(F.col(f"old.{current}") & F.col(f"new.{current}"), F.lit(False)) if flagged else F.lit(False)
+    counts = pairs.agg(
         F.count_if(F.col("old").isNull()).alias("added_records"), F.count_if(F.col("new").isNull()).alias("removed_records"),
-        F.count_if(both).alias("common_records"), F.count_if(both & changed).alias("changed_records"),
-        F.count_if(both & F.coalesce(newly, F.lit(False))).alias("newly_deleted_records"))
+        F.count_if(F.col("old").isNotNull()).alias("_seen"), F.count_if(both & changed).alias("changed_records"),
+        F.count_if(both & F.coalesce(newly, F.lit(False))).alias("newly_deleted_records"),
+        *[F.count_if(both & t).alias(f"_f{i}") for i, t in enumerate(unlike.values())], *[F.count_if(both & in_both & t).alias(f"_c{i}") for i, t in enumerate(unlike.values())])
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"_f{i}").alias("changed"), F.col(f"_c{i}").alias("changed_current")) for i, c in enumerate(columns)])
+    fields = F.filter(fields, lambda f: f["changed"] > 0) if columns else F.array().cast("array<struct<field:string,changed:bigint,changed_current:bigint>>")
+    common = F.lit(n) - F.col("removed_records")
+    return counts.select("added_records", "removed_records", common.alias("common_records"), "changed_records", "newly_deleted_records", fields.alias("fields"))
+
+
+def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str], current: str | None = "is_current", ignore=RELEASE_LABELS) -> DataFrame:
+    """One row: added, removed, common and changed records, records newly deleted."""
+    return compared(before, after, key, current, ignore).drop("fields")
 
 
 def changed_fields(before: DataFrame, after: DataFrame, key: list[str], ignore=RELEASE_LABELS) -> DataFrame:
     """Differing values per column among common records, columns without a difference left out."""
-    pairs = matched_pairs(before, after, key).where(F.col("old").isNotNull() & F.col("new").isNotNull())
-    columns = compared_columns(before, after, key, ignore)
-    counts = pairs.agg(*[F.count_if(~same(f"old.{c}", f"new.{c}")).alias(c) for c in columns])
-    rows = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("changed")) for c in columns])
-    return counts.select(F.inline(rows)).where(F.col("changed") > 0)
+    return compared(before, after, key, None, ignore).select(F.inline("fields")).select("field", "changed")
 
 
 def column_changes(before: DataFrame, after: DataFrame) -> dict:
@@ -59,14 +107,20 @@ def key_difference(left: DataFrame, right: DataFrame, key: list[str]) -> DataFra
 
 
 def compare_with_previous(before: DataFrame | None, after: DataFrame, key: list[str], trusted: bool = True) -> DataFrame:
-    """snapshot_diff with a status; unavailable where there is no trusted previous table or a key repeats."""
+    """What changed since the table before: status and reason, the figures of `compared` with their fields, and the columns that came and
+    went. Unavailable, with its reason, where there is no table before, its rows are not those that were published, or a key repeats."""
     spark = after.sparkSession
-    if before is None or not trusted:
-        return spark.createDataFrame([("unavailable",)], "status string")
+    unavailable = lambda why: spark.createDataFrame([("unavailable", why)], "status string, reason string")
+    if before is None:
+        return unavailable("no previous table")
+    if not trusted:
+        return unavailable("the previous table is not the one that was published")
     repeats = [df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1) for df in (before, after)]
     if repeats[0].unionByName(repeats[1]).count():
-        return spark.createDataFrame([("unavailable",)], "status string")
-    return snapshot_diff(before, after, key).select(F.lit("compared").alias("status"), "*")
+        return unavailable("a key repeats")
+    columns = column_changes(before, after)
+    names = lambda c: F.array(*[F.lit(n) for n in columns[c]]).cast("array<string>").alias(c)
+    return compared(before, after, key).select(F.lit("compared").alias("status"), F.lit(None).cast("string").alias("reason"), "*", names("added_columns"), names("removed_columns"))
 
 
 # ---- two products at the same grain ----

@@ -7,6 +7,8 @@ passed; readers take the newest line. A failed run leaves what was published unt
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -25,9 +27,8 @@ from ..registry import REGISTRY, WEIGHTED_WIDTH, Registry
 from ..schema import Field, declared_types, export_contract, typed
 from ..session import ensure_checkpoint_dir
 from ..sources.binary import read_dbf, read_layer
-from ..sources.text import band_cube, directory_file, history_index, latest_lookup, pinned_list, service_edition
+from ..sources.text import band_cube, directory_file, history_index, latest_lookup, pinned_files, pinned_list, service_edition
 
-PUBLICATION = "published_at string, run_id string"
 
 
 @dataclass(frozen=True)
@@ -169,11 +170,13 @@ class Table:
 
 
 def publish(spark: SparkSession, root: str, tables: list[Table], service: DataFrame, gov: DataFrame, report: DataFrame,
-            registry: Registry = REGISTRY, csv: bool = True) -> str:
-    """Write, read back and publish. Nothing is published unless every check of the run passes."""
+            registry: Registry = REGISTRY, csv: bool = True, sources: DataFrame | None = None) -> str:
+    """Write, read back and publish. Nothing is published unless every check of the run passes, nor if another run was published
+    meanwhile. `sources` (path, sha256 of what was read) is kept with the run."""
     run = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     base = f"{root}/runs/{run}"
     require(report)
+    version, expected = latest_version(spark, root)
     reports, facts = [report], []
     for t in tables:
         path = f"{base}/{t.name}"
@@ -183,13 +186,14 @@ def publish(spark: SparkSession, root: str, tables: list[Table], service: DataFr
         require(required_gate(saved, t.fields, t.name))
         reports.append(readback(spark, path, t.fields, list(t.key), t.index, service, gov, registry, t.edges, f"readback.{t.name}"))
         digest = g.table_fingerprint(saved)
+        prints = digest.select(F.col("total").alias("fingerprint")).first()[0]
         if csv:
             digest, cells = export(spark, saved, t.fields, t.key, t.index_source == "spd", f"{base}/{t.name}_csv", f"csv.{t.name}")
             reports.append(cells)
-        before = current(spark, root, t.name)
-        diff = compare_with_previous(before, saved, list(t.key))
+        before = published(spark, root, expected, t.name)
+        diff = compare_with_previous(before, saved, list(t.key), before is None or still_as_published(spark, root, expected, t.name, before))
         facts.append(digest.select(F.lit(t.name).alias("table"), F.lit(t.index_source).alias("index_source"), F.lit(t.release).alias("index_release"),
-                                   F.lit(",".join(t.key)).alias("key"), "n_rows", F.col("total").alias("digest")))
+                                   F.lit(",".join(t.key)).alias("key"), "n_rows", F.col("total").alias("digest"), F.lit(prints).alias("fingerprint"), F.lit(expected).alias("previous_run")))
         diff.write.mode("errorifexists").json(f"{base}/{t.name}_changes")
     whole = union_checks(*reports)
     whole.write.mode("errorifexists").json(f"{base}/checks")
@@ -198,26 +202,70 @@ def publish(spark: SparkSession, root: str, tables: list[Table], service: DataFr
     facts = en.stacked(facts)
     facts.write.mode("errorifexists").json(f"{base}/manifest")
     summary(checks).write.mode("errorifexists").json(f"{base}/summary")
-    line = spark.createDataFrame([(dt.datetime.now(dt.timezone.utc).isoformat(), run)], PUBLICATION)
-    line.coalesce(1).write.mode("append").json(f"{root}/publications")
+    if sources is not None:
+        sources.write.mode("errorifexists").json(f"{base}/sources")
+    commit(spark, root, version + 1, run)
     return run
 
 
-def latest_run(spark: SparkSession, root: str) -> str | None:
-    from pyspark.errors import AnalysisException
+class PublishedMeanwhile(RuntimeError):
+    """Another run was published since this one began; this one is not."""
+
+
+def _files(spark: SparkSession, path: str):
+    """A path with its file system, wherever that is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def latest_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """The number of the last publication and the run it published; (0, None) before the first. A number whose file was begun and not written stands for no run."""
+    folder, fs = _files(spark, f"{root}/publications")
+    names = sorted((f.getPath().getName() for f in fs.listStatus(folder)), reverse=True) if fs.exists(folder) else []
+    numbered = [n for n in names if re.fullmatch(r"[0-9]{12}\.json", n)]
+    for name in numbered:
+        path, _ = _files(spark, f"{root}/publications/{name}")
+        stream = fs.open(path)
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if text.strip():
+            return int(numbered[0][:12]), json.loads(text)["run_id"]
+    return (int(numbered[0][:12]) if numbered else 0), None
+
+
+def commit(spark: SparkSession, root: str, version: int, run: str) -> None:
+    """Publish a run under a number. Of runs that began at the same number one gets the next: its file is created only where there is none."""
+    path, fs = _files(spark, f"{root}/publications/{version:012d}.json")
     try:
-        rows = spark.read.schema(PUBLICATION).json(f"{root}/publications")
-        return rows.agg(F.max_by("run_id", "published_at")).first()[0]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None                # nothing has been published yet
+        out = fs.create(path, False)
+    except Exception as e:
+        if fs.exists(path):
+            raise PublishedMeanwhile(f"publication {version} is taken; {run} began before it") from e
+        raise
+    out.writeBytes(json.dumps({"published_at": dt.datetime.now(dt.timezone.utc).isoformat(), "run_id": run}))
+    out.close()
+
+
+def latest_run(spark: SparkSession, root: str) -> str | None:
+    return latest_version(spark, root)[1]
+
+
+def published(spark: SparkSession, root: str, run: str | None, table: str) -> DataFrame | None:
+    return spark.read.parquet(f"{root}/runs/{run}/{table}") if run else None
+
+
+def still_as_published(spark: SparkSession, root: str, run: str, table: str, df: DataFrame) -> bool:
+    """Whether a published table still has the rows whose fingerprint its manifest keeps."""
+    manifest = spark.read.json(f"{root}/runs/{run}/manifest")
+    if "fingerprint" not in manifest.columns:
+        return False
+    kept = manifest.where(F.col("table") == table).select(F.col("fingerprint").cast("string")).first()
+    return kept is not None and kept[0] == g.table_fingerprint(df).first()["total"]
 
 
 def current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """The published table, or None before the first publication."""
-    run = latest_run(spark, root)
-    return spark.read.parquet(f"{root}/runs/{run}/{table}") if run else None
+    return published(spark, root, latest_run(spark, root), table)
 
 
 def audit(spark: SparkSession, root: str, tables: list[Table], service: DataFrame, gov: DataFrame, registry: Registry = REGISTRY) -> DataFrame:
@@ -238,15 +286,24 @@ def audit(spark: SparkSession, root: str, tables: list[Table], service: DataFram
 
 
 def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Field], main_columns: list[Field] | None = None, registry: Registry = REGISTRY,
-          headers: dict | None = None, years: dict | None = None, lives: Lives = Lives()) -> tuple[str, list[Table]]:
-    """The whole run: sources, edition tables, one join per vintage, classes, checks, publication."""
-    headers = headers or {}
+          headers: dict | None = None, years: dict | None = None, lives: Lives = Lives(), pins: tuple[str, DataFrame] | None = None,
+          declared: dict | None = None) -> tuple[str, list[Table]]:
+    """The whole run: sources, edition tables, one join per vintage, classes, checks, publication.
+
+    `pins` is a folder and what it must hold (path, sha256), verified before anything is read; `declared` has the rows and live records that the
+    sources are said to have, by `small_user`, `large_user` and `lookup`, and the totals of `history`."""
+    headers, declared = headers or {}, declared or {}
     scratch = scratch_folder(spark)
-    small, r1 = directory_file(spark, paths.small_user, "small_user", registry, headers.get("small_user"))
-    large, r2 = directory_file(spark, paths.large_user, "large_user", registry, headers.get("large_user"))
+    sources = None
+    if pins is not None:
+        sources = written(pinned_files(spark, *pins), f"{scratch}/sources")
+        require(Checks("sources.").zero("present", ~F.col("present")).zero("verified", ~F.col("verified")).run(sources))
+    counts = lambda name: dict(zip(("rows", "live"), declared.get(name, ())))
+    small, r1 = directory_file(spark, paths.small_user, "small_user", registry, headers.get("small_user"), **counts("small_user"))
+    large, r2 = directory_file(spark, paths.large_user, "large_user", registry, headers.get("large_user"), **counts("large_user"))
     r1, r2 = settle(r1), settle(r2)
     require(union_checks(r1, r2))
-    index, r3 = history_index(small, large, registry)
+    index, r3 = history_index(small, large, registry, *([declared["history"]] if "history" in declared else []))
     r3 = settle(r3)
     require(r3)
     index = written(index, f"{scratch}/index")
@@ -271,12 +328,12 @@ def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Fi
     reports.append(settle(en.enriched_checks(wide, index, ["pc_norm", "introduced_on"], registry, "join.history")))
     tables = [Table("postcode_simd_history", wide, history_columns, ("pc_norm", "introduced_on"), index, "spd", registry.history_release, edges)]
     if paths.lookup and main_columns:
-        main, r6 = latest_lookup(spark, paths.lookup, registry, headers.get("lookup"))
+        main, r6 = latest_lookup(spark, paths.lookup, registry, headers.get("lookup"), **counts("lookup"))
         r6 = settle(r6)
         require(r6)
         main = written(main, f"{scratch}/lookup")
         main_wide = written(en.enrich(main, service, gov, registry), f"{scratch}/lookup_enriched")
         reports += [r6, settle(en.enriched_checks(main_wide, main, ["pc_norm"], registry, "join.main"))]
         tables.append(Table("postcode_simd", main_wide, main_columns, ("pc_norm",), main, "sspl", registry.lookup_release))
-    run = publish(spark, root, tables, service, gov, union_checks(*reports), registry)
+    run = publish(spark, root, tables, service, gov, union_checks(*reports), registry, sources=sources)
     return run, tables

@@ -435,6 +435,19 @@ def _(spark, sf):
     return sn.changed_fields(t.table(spark, sf, "orders"), _after(spark, sf), ["o_orderkey"])
 
 
+@query("snapshot_report", AFTER_SQL + """SELECT 'compared' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) FILTER (ok IS NULL) AS added_records, count(*) FILTER (ak IS NULL) AS removed_records,
+  count(*) FILTER (ok IS NOT NULL AND ak IS NOT NULL) AS common_records, count(*) FILTER (ok IS NOT NULL AND ak IS NOT NULL AND (ds OR dp)) AS changed_records,
+  'o_orderpriority ' || count(*) FILTER (ok IS NOT NULL AND ak IS NOT NULL AND dp) || ', o_orderstatus ' || count(*) FILTER (ok IS NOT NULL AND ak IS NOT NULL AND ds) AS fields,
+  'o_more' AS added_columns, 'o_clerk' AS removed_columns FROM j""")
+def _(spark, sf):
+    """The whole comparison of two snapshots in one row, lists as text."""
+    before = t.table(spark, sf, "orders").withColumn("o_clerk", F.lit("c"))
+    out = sn.compare_with_previous(before, _after(spark, sf).withColumn("o_more", F.lit(1)), ["o_orderkey"])
+    fields = F.array_sort(F.transform("fields", lambda f: F.concat(f["field"], F.lit(" "), f["changed"].cast("string"))))
+    return out.select("status", "reason", "added_records", "removed_records", "common_records", "changed_records", F.array_join(fields, ", ").alias("fields"),
+                      F.array_join("added_columns", ",").alias("added_columns"), F.array_join("removed_columns", ",").alias("removed_columns"))
+
+
 @query("key_difference", """SELECT count(*) FILTER (p IS NULL) AS only_left, count(*) FILTER (z IS NULL) AS only_right, count(*) FILTER (p IS NOT NULL AND z IS NOT NULL) AS both
 FROM (SELECT DISTINCT l_partkey + 3 AS z FROM lineitem) l FULL JOIN (SELECT p_partkey AS p FROM part) r ON z = p""")
 def _(spark, sf):
