@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.values import half_unit, same
 from ..registry import BAND_WIDTH, GEOGRAPHIES, RANK_SOURCES_DISAGREE, REGISTRY, Edition, Registry
 from .checks import Checks, count_if, static_check, union_checks, unique_key
-from .skew import lookup_join
+from .skew import BROADCAST_BYTES, lookup_join, row_bytes
 
 
 def stacked(tables: list[DataFrame]) -> DataFrame:
@@ -36,14 +36,13 @@ def vintage_table(service: DataFrame, gov: DataFrame, vintage: int, registry: Re
 
 
 def enrich(index: DataFrame, service: DataFrame, gov: DataFrame, registry: Registry = REGISTRY, zone_column="DataZone{}Code") -> DataFrame:
-    """The index with every edition joined on. A zone table's size is the declared zone count of its
-    vintage, checked when the editions were read, so it is small by contract."""
+    """The index with every edition joined on. A zone table is broadcast only if its rows, as measured, are small enough."""
     out = index
     for v in registry.vintages():
         zones = vintage_table(service, gov, v, registry)
         zone = zone_column.format(v)
-        declared = max(e.rows for e in registry.of_vintage(v))
-        out = lookup_join(out, zones.withColumnRenamed("dz_code", zone), [zone], small=declared * len(zones.columns) <= 16_000_000)
+        size = zones.agg(F.sum(row_bytes(zones.schema))).first()[0]
+        out = lookup_join(out, zones.withColumnRenamed("dz_code", zone), [zone], small=(size or 0) <= BROADCAST_BYTES)
     return out
 
 

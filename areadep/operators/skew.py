@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 HEAVY = 1024
-BROADCAST_CELLS = 16_000_000     # rows times columns a broadcast may have
+BROADCAST_BYTES = 128 << 20      # that a broadcast may have: eight for each cell, and the length of what is longer
 
 
 def all_null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -34,10 +34,27 @@ def heavy_keys(counts: DataFrame, keys: list[str], name: str = "n_rows", heavy:
     return counts.where(F.col(name) > threshold).select(*keys)
 
 
-def measured(df: DataFrame, cells: int = BROADCAST_CELLS) -> tuple[DataFrame, bool]:
-    """The table, kept for reuse, and whether its counted rows are few enough to broadcast."""
+def row_bytes(schema: T.StructType, prefix: str = "") -> Column:
+    """About how many bytes a row takes: eight a cell, and the length of text, binary values, lists and maps."""
+    sizes = []
+    for f in schema.fields:
+        name = f"{prefix}`{f.name}`"
+        if isinstance(f.dataType, T.StructType):
+            sizes.append(row_bytes(f.dataType, name + "."))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(name), F.lit(0)).cast("long") + 8)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)).cast("long") + 8)
+        else:
+            sizes.append(F.lit(8).cast("long"))
+    return reduce(lambda a, b: a + b, sizes, F.lit(0).cast("long"))
+
+
+def measured(df: DataFrame, most: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The table, kept for reuse, and whether its rows, all measured, are small enough to broadcast."""
     kept = df.persist()
-    return kept, kept.count() * len(kept.columns) <= cells
+    size = kept.agg(F.sum(row_bytes(kept.schema))).first()[0]
+    return kept, (size or 0) <= most
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], *, counts: DataFrame | None = None,

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .skew import BROADCAST_CELLS, key_counts, lookup_join
+from .skew import BROADCAST_BYTES, key_counts, lookup_join, row_bytes
 
 PARTS = ("", "A", "B", "C")
 MAX_CHAIN = 512      # stretches per key beyond which a broadcast probe is not used
@@ -114,13 +114,8 @@ def as_of_join(left: DataFrame, segments: DataFrame, key: str, date: str, *, sma
 
 
 def broadcastable(segments: DataFrame) -> tuple[DataFrame, bool]:
-    """The stretches, kept for reuse, and whether they were counted few enough to broadcast and to
+    """The stretches, kept for reuse, and whether they were measured small enough to broadcast and to
     probe. One job, one row."""
     kept = segments.persist()
-    size = kept.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("n_marks"), F.lit(0)).alias("chain")).first()
-    return kept, size["n"] * leaves(kept.schema) <= BROADCAST_CELLS and size["chain"] <= MAX_CHAIN
-
-
-def leaves(schema) -> int:
-    """Columns of a schema with nested ones counted."""
-    return sum(leaves(f.dataType) if hasattr(f.dataType, "fields") else 1 for f in schema.fields)
+    size = kept.agg(F.coalesce(F.sum(row_bytes(kept.schema)), F.lit(0)).alias("bytes"), F.coalesce(F.max("n_marks"), F.lit(0)).alias("chain")).first()
+    return kept, size["bytes"] <= BROADCAST_BYTES and size["chain"] <= MAX_CHAIN

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-OWN = {**entry.queries_linkage.QUERIES, **entry.queries_data.QUERIES, **entry.queries_report.QUERIES}
+OWN = {**entry.queries_linkage.QUERIES, **entry.queries_data.QUERIES, **entry.queries_report.QUERIES, **entry.queries_sources.QUERIES}
 NAMES = sorted(OWN)
 
 
