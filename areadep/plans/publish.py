@@ -24,7 +24,7 @@ from ..operators.checks import Checks, require, settle, summary, typed_columns,
 from ..operators.snapshot import compare_with_previous
 from ..operators.weighted import reproduces_published, share_deviation, with_domain_bands
 from ..registry import REGISTRY, WEIGHTED_WIDTH, Registry
-from ..schema import Field, declared_types, export_contract, typed
+from ..schema import Field, declared_types, export_contract, field_metadata, metadata_checks, provenance, typed
 from ..session import ensure_checkpoint_dir
 from ..sources.binary import read_dbf, read_layer
 from ..sources.text import band_cube, directory_file, history_index, latest_lookup, pinned_files, pinned_list, service_edition
@@ -128,14 +128,13 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def readback(spark: SparkSession, path: str, fields: list[Field], key: list[str], index: DataFrame, service: DataFrame, gov: DataFrame,
-             registry: Registry = REGISTRY, edges: DataFrame | None = None, label: str = "readback") -> DataFrame:
+             registry: Registry = REGISTRY, edges: DataFrame | None = None, label: str = "readback", *, metadata: dict[str, dict]) -> DataFrame:
     """The saved file against the sources, not against memory: shape, key, required values, index columns,
     every attached value looked up again, and every point placed again."""
     saved = spark.read.parquet(path)
     shape = typed_columns(saved, declared_types(fields), f"{label}.columns")
     require(shape)
-    meta = {f.name: f.metadata.get("source") for f in saved.schema.fields}
-    kept = Checks(f"{label}.").holds("metadata", F.lit(all(meta[f.name] == f.source for f in fields))).run(saved)
+    kept = metadata_checks(saved, metadata, label)
     reports = [settle(r) for r in (shape, kept, required_gate(saved, fields, label), unique_key(saved, key, f"{label}.primary_key_unique"),
                                    en.source_equal_checks(saved, index, key, label), en.relookup_checks(saved, service, gov, key, registry, label))]
     if edges is not None:
@@ -167,24 +166,35 @@ class Table:
     index_source: str
     release: str = ""
     edges: DataFrame | None = None
+    allocation: str = ""
+
+    def metadata(self, decisions: str, sources: list[tuple[str, str]]) -> dict[str, dict]:
+        about = provenance(self.key, self.index_source, self.release, self.allocation, decisions, sources)
+        return field_metadata(self.fields, self.index_source, about)
+
+
+def pins_of(sources: DataFrame | None) -> list[tuple[str, str]]:
+    """Paths and hashes of the sources; they are declared one by one, so they are few."""
+    return [] if sources is None else [(r["path"], r["sha256"]) for r in sources.select("path", "sha256").collect()]
 
 
 def publish(spark: SparkSession, root: str, tables: list[Table], service: DataFrame, gov: DataFrame, report: DataFrame,
-            registry: Registry = REGISTRY, csv: bool = True, sources: DataFrame | None = None) -> str:
+            registry: Registry = REGISTRY, csv: bool = True, sources: DataFrame | None = None, decisions: str = "") -> str:
     """Write, read back and publish. Nothing is published unless every check of the run passes, nor if another run was published
-    meanwhile. `sources` (path, sha256 of what was read) is kept with the run."""
+    meanwhile. `sources` (path, sha256 of what was read) and the hash of the `decisions` taken are kept with the run and in its tables."""
     run = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     base = f"{root}/runs/{run}"
     require(report)
     version, expected = latest_version(spark, root)
-    reports, facts = [report], []
+    reports, facts, pins = [report], [], pins_of(sources)
     for t in tables:
         path = f"{base}/{t.name}"
-        out = typed(t.df, t.fields, t.index_source)
+        metadata = t.metadata(decisions, pins)
+        out = typed(t.df, t.fields, t.index_source, metadata[t.fields[0].name]["table"])
         write_table(out, path)
         saved = spark.read.parquet(path)
         require(required_gate(saved, t.fields, t.name))
-        reports.append(readback(spark, path, t.fields, list(t.key), t.index, service, gov, registry, t.edges, f"readback.{t.name}"))
+        reports.append(readback(spark, path, t.fields, list(t.key), t.index, service, gov, registry, t.edges, f"readback.{t.name}", metadata=metadata))
         digest = g.table_fingerprint(saved)
         prints = digest.select(F.col("total").alias("fingerprint")).first()[0]
         if csv:
@@ -208,6 +218,9 @@ def publish(spark: SparkSession, root: str, tables: list[Table], service: DataFr
     return run
 
 
+HISTORY_ALLOCATION, LOOKUP_ALLOCATION = "postcode_grid_reference", "oa2022_centroid"
+
+
 class PublishedMeanwhile(RuntimeError):
     """Another run was published since this one began; this one is not."""
 
@@ -268,8 +281,9 @@ def current(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     return published(spark, root, latest_run(spark, root), table)
 
 
-def audit(spark: SparkSession, root: str, tables: list[Table], service: DataFrame, gov: DataFrame, registry: Registry = REGISTRY) -> DataFrame:
-    """The published tables checked against the sources again, digest included; nothing is written."""
+def audit(spark: SparkSession, root: str, tables: list[Table], service: DataFrame, gov: DataFrame, registry: Registry = REGISTRY,
+          sources: DataFrame | None = None, decisions: str = "") -> DataFrame:
+    """The published tables checked against the sources again, digest and metadata included; nothing is written."""
     run = latest_run(spark, root)
     if run is None:
         raise ValueError(f"nothing is published under {root}")
@@ -277,7 +291,8 @@ def audit(spark: SparkSession, root: str, tables: list[Table], service: DataFram
     reports = []
     for t in tables:
         path = f"{root}/runs/{run}/{t.name}"
-        reports.append(readback(spark, path, t.fields, list(t.key), t.index, service, gov, registry, t.edges, f"audit.{t.name}"))
+        reports.append(readback(spark, path, t.fields, list(t.key), t.index, service, gov, registry, t.edges, f"audit.{t.name}",
+                                metadata=t.metadata(decisions, pins_of(sources))))
         contract = export_contract(t.fields, t.key, t.index_source == "spd")
         now = g.row_digest(g.render(spark.read.parquet(path), contract)).select(F.lit(t.name).alias("table"), F.col("total").alias("_now"))
         both = manifest.where(F.col("table") == t.name).join(now, "table", "full_outer")
@@ -287,7 +302,7 @@ def audit(spark: SparkSession, root: str, tables: list[Table], service: DataFram
 
 def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Field], main_columns: list[Field] | None = None, registry: Registry = REGISTRY,
           headers: dict | None = None, years: dict | None = None, lives: Lives = Lives(), pins: tuple[str, DataFrame] | None = None,
-          declared: dict | None = None) -> tuple[str, list[Table]]:
+          declared: dict | None = None, decisions: str = "") -> tuple[str, list[Table]]:
     """The whole run: sources, edition tables, one join per vintage, classes, checks, publication.
 
     `pins` is a folder and what it must hold (path, sha256), verified before anything is read; `declared` has the rows and live records that the
@@ -326,7 +341,7 @@ def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Fi
         reports.append(settle(Checks("rurality.agreement.").zero("cohorts", ~F.col("passed")).holds("current_small_users_present", principal > 0).run(gated)))
         wide = sp.withhold_po_boxes(placed, registry.rurality_versions, lives)
     reports.append(settle(en.enriched_checks(wide, index, ["pc_norm", "introduced_on"], registry, "join.history")))
-    tables = [Table("postcode_simd_history", wide, history_columns, ("pc_norm", "introduced_on"), index, "spd", registry.history_release, edges)]
+    tables = [Table("postcode_simd_history", wide, history_columns, ("pc_norm", "introduced_on"), index, "spd", registry.history_release, edges, HISTORY_ALLOCATION)]
     if paths.lookup and main_columns:
         main, r6 = latest_lookup(spark, paths.lookup, registry, headers.get("lookup"), **counts("lookup"))
         r6 = settle(r6)
@@ -334,6 +349,6 @@ def build(spark: SparkSession, paths: Paths, root: str, history_columns: list[Fi
         main = written(main, f"{scratch}/lookup")
         main_wide = written(en.enrich(main, service, gov, registry), f"{scratch}/lookup_enriched")
         reports += [r6, settle(en.enriched_checks(main_wide, main, ["pc_norm"], registry, "join.main"))]
-        tables.append(Table("postcode_simd", main_wide, main_columns, ("pc_norm",), main, "sspl", registry.lookup_release))
-    run = publish(spark, root, tables, service, gov, union_checks(*reports), registry, sources=sources)
+        tables.append(Table("postcode_simd", main_wide, main_columns, ("pc_norm",), main, "sspl", registry.lookup_release, None, LOOKUP_ALLOCATION))
+    run = publish(spark, root, tables, service, gov, union_checks(*reports), registry, sources=sources, decisions=decisions)
     return run, tables

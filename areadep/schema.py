@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .functions.values import SPARK_TYPES
+from .operators.checks import static_check, union_checks
 from .operators.digest import HISTORY_EXCLUDED, HISTORY_NULL_FOR_ROLE, MAIN_EXCLUDED, ExportContract
 from .registry import (GEOGRAPHIES, LARGE_USER_HEADER, LOOKUP_HEADER, PUBLISHED_BANDS, PUBLISHED_FLAGS, REGISTRY, SMALL_USER_HEADER, UNWEIGHTED,
                        Registry)
@@ -76,14 +77,44 @@ def export_contract(fields: list[Field], key: tuple, history: bool) -> ExportCon
     return ExportContract(tuple((f.name, f.kind, f.nullable) for f in fields), key, excluded, "spd_user_type", nulls, never_blank)
 
 
-def typed(df: DataFrame, fields: list[Field], index_source: str) -> DataFrame:
+CONVENTION = ("Bands count from 1 for the most deprived in every edition: those of the two earliest were published the other way round and are turned. "
+              "Ranks and flags stand as published. Population-weighted and unweighted bands are different measures and are never mixed; twentieths exist unweighted only.")
+SCHEMA_VERSION = 1
+
+
+def provenance(key, index_source: str, release: str, allocation: str, decisions: str = "", sources=()) -> dict:
+    """What a table says of itself, given by the build and never read from a file: convention, version, product and release, how places are
+    allocated, key, hash of the decisions and hashes of the sources (path, sha256)."""
+    return {"band_convention": CONVENTION, "schema_version": SCHEMA_VERSION, "index_source": index_source, "index_release": release, "allocation": allocation,
+            "key": list(key), "decisions_sha256": decisions, "sources": [{"path": p, "sha256": h} for p, h in sorted(sources)]}
+
+
+def field_metadata(fields: list[Field], index_source: str, table: dict | None = None) -> dict[str, dict]:
+    """The metadata of each field; the first one has the table's beside its own."""
+    out = {f.name: {k: v for k, v in {"source": f.source, "edition": f.edition, "basis": f.basis, "index_source": index_source}.items() if v} for f in fields}
+    if table is not None:
+        out[fields[0].name]["table"] = table
+    return out
+
+
+def typed(df: DataFrame, fields: list[Field], index_source: str, table: dict | None = None) -> DataFrame:
     """Declared order and types; a value that does not fit its type stops the job. Provenance travels as
     field metadata, which Parquet keeps."""
-    cells = []
-    for f in fields:
-        meta = {k: v for k, v in {"source": f.source, "edition": f.edition, "basis": f.basis, "index_source": index_source}.items() if v}
-        cells.append(F.col(f.name).cast(SPARK_TYPES[f.kind]).alias(f.name, metadata=meta))
-    return df.select(*cells)
+    meta = field_metadata(fields, index_source, table)
+    return df.select(*[F.col(f.name).cast(SPARK_TYPES[f.kind]).alias(f.name, metadata=meta[f.name]) for f in fields])
+
+
+def metadata_checks(saved: DataFrame, expected: dict[str, dict], label: str) -> DataFrame:
+    """Check rows: every field's metadata is what is expected, all of it, and so is each entry of the table's."""
+    found = {f.name: dict(f.metadata or {}) for f in saved.schema.fields}
+    spark = saved.sparkSession
+    first = next(iter(expected))
+    of_table = lambda meta: meta.get(first, {}).get("table", {})
+    bare = lambda meta: {k: v for k, v in meta.items() if k != "table"}
+    differ = sorted(n for n in expected.keys() | found.keys() if bare(expected.get(n, {})) != bare(found.get(n, {})))
+    names = sorted(of_table(expected).keys() | of_table(found).keys())
+    return union_checks(static_check(spark, f"{label}.metadata", differ, []),
+                        *[static_check(spark, f"{label}.metadata.{n}", of_table(found).get(n), of_table(expected).get(n)) for n in names])
 
 
 def declared_types(fields: list[Field]) -> list[tuple[str, str]]:

@@ -70,3 +70,19 @@ def test_gaps_and_repeats_are_told_apart(spark):
     assert sn.snapshot_diff(one, two, ["k"], None).first()["changed_records"] == 2
     empty = one.where("k < 0")
     assert tuple(sn.snapshot_diff(empty, one, ["k"], None).first()) == (2, 0, 0, 0, 0) and tuple(sn.snapshot_diff(one, empty, ["k"], None).first()) == (0, 2, 0, 0, 0)
+
+
+def test_metadata_is_compared_whole(spark, tmp_path):
+    from areadep.schema import Field, field_metadata, metadata_checks, provenance, typed
+    fields = [Field("k", "string", False, "directory"), Field("simd2004_rank", "int16", False, "phs", "2004")]
+    df = spark.createDataFrame([("a", 5)], "k string, simd2004_rank int")
+    about = provenance(["k"], "spd", "r1", "postcode_grid_reference", "d" * 64, [("b.csv", "2"), ("a.csv", "1")])
+    assert [s["path"] for s in about["sources"]] == ["a.csv", "b.csv"]
+    typed(df, fields, "spd", about).write.parquet(f"{tmp_path}/t")
+    saved = spark.read.parquet(f"{tmp_path}/t")
+    failed = lambda table, like=fields: {r["name"] for r in metadata_checks(saved, field_metadata(like, "spd", table), "t").where("not passed").collect()}
+    assert failed(about) == set()
+    assert failed({**about, "decisions_sha256": "x", "sources": about["sources"][:1]}) == {"t.metadata.decisions_sha256", "t.metadata.sources"}
+    assert failed({k: v for k, v in about.items() if k != "allocation"}) == {"t.metadata.allocation"}
+    assert failed(about, [fields[0], Field("simd2004_rank", "int16", False, "phs", "2006")]) == {"t.metadata"}
+    assert {f"t.metadata.{k}" for k in about} == failed(None)
