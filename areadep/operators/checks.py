@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.values import total
+
 CHECK_SCHEMA = "name string, passed boolean, expected string, actual string, detail string"
 
 
@@ -48,11 +50,11 @@ class Checks:
         return self.equal(name, F.count(F.lit(1)), declared)
 
     def required(self, columns, name="required_values_nonnull"):
-        bad = reduce(lambda a, b: a + b, [count_if(F.col(c).isNull()) for c in columns], F.lit(0).cast("long"))
+        bad = total([count_if(F.col(c).isNull()) for c in columns])
         return self.equal(name, bad, 0, f"{len(list(columns))} columns")
 
     def blanks(self, columns, name="blanks"):
-        bad = reduce(lambda a, b: a + b, [count_if(F.col(c) == "") for c in columns])
+        bad = total([count_if(F.col(c) == "") for c in columns])
         return self.equal(name, bad, 0)
 
     def between(self, column: str, low, high, name=None):

@@ -386,3 +386,14 @@ def test_checks_report_and_stop(spark):
 def test_registry_numbers():
     assert [len(e.measures()) for e in REGISTRY.editions] == [51, 57, 57, 57, 57, 58]
     assert REGISTRY.rurality_windows()[5] == (2013, 2015, "2013-2014")
+
+
+def test_bytes_of_very_wide_rows(spark):
+    """As many columns as a report's directory has, and more: the sum may not be as deep as it is long."""
+    from areadep.operators.skew import measured, row_bytes
+    text = F.col("id").cast("string")
+    wide = spark.range(2).select(*[F.concat(F.lit("ab"), text).alias(f"c{k}") for k in range(1500)], F.struct(text.alias("a"), F.col("id").alias("b")).alias("s"))
+    assert wide.agg(F.sum(row_bytes(wide.schema))).first()[0] == 2 * (1500 * 11 + 9 + 8)
+    kept, small = measured(wide, 10)
+    kept.unpersist()
+    assert not small
