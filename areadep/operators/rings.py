@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, spread
 from .checks import Checks
 from .tiles import SHAPE, TILE, blocks, corner_runs, crossed, crossed_up, every_block, of_tile, tiled
 
@@ -41,8 +41,16 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def numbered(edges: DataFrame) -> DataFrame:
-    """Edges of some length with a number each, written, so that the numbers stay."""
-    return kept(edges.dropna(subset=ENDS).where("x1 <> x2 or y1 <> y2").withColumn("edge", F.monotonically_increasing_id()))
+    """Edges of some length with a number each, written, so that the numbers stay. They are dealt out first: a source may have
+    all its edges in a few files, or make them out of few rows, and what is done with them is done where they lie."""
+    known = edges.dropna(subset=ENDS).where("x1 <> x2 or y1 <> y2")
+    return kept(spread(known, "poly", *ENDS).withColumn("edge", F.monotonically_increasing_id()))
+
+
+def merged(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join by merge. Spark takes the size of what was written for that guessed from the source, where a few bytes a row make a dozen edges,
+    and would send all of a large layer through the driver as a small one."""
+    return left.join(right.hint("merge"), on, how)
 
 
 def in_tiles(edges: DataFrame, tile: float = TILE, most: int = MOST) -> DataFrame:
@@ -52,17 +60,17 @@ def in_tiles(edges: DataFrame, tile: float = TILE, most: int = MOST) -> DataFram
     for level in range(DEEPEST + 1):
         here = tiled(rest, tile / 2 ** level).withColumn("level", F.lit(level))
         if level:       # only where the tile above was full
-            here = here.withColumns({"_r": F.shiftright("row", 1), "_c": F.shiftright("col", 1)}).join(
-                full.select(*POLYGON, F.col("row").alias("_r"), F.col("col").alias("_c")), [*POLYGON, "_r", "_c"], "left_semi").drop("_r", "_c")
+            here = merged(here.withColumns({"_r": F.shiftright("row", 1), "_c": F.shiftright("col", 1)}),
+                          full.select(*POLYGON, F.col("row").alias("_r"), F.col("col").alias("_c")), [*POLYGON, "_r", "_c"], "left_semi").drop("_r", "_c")
         if level == DEEPEST:
             return out.unionByName(here)
         here = kept(here)
         full = kept(here.groupBy(*key).count().where(F.col("count") > most).select(*key))
         if full.isEmpty():
             return here if out is None else out.unionByName(here)
-        fits = here.join(full, key, "left_anti")
+        fits = merged(here, full, key, "left_anti")
         out = fits if out is None else out.unionByName(fits)
-        rest = edges.join(here.join(full, key, "left_semi").select("edge").distinct(), "edge", "left_semi")
+        rest = merged(edges, merged(here, full, key, "left_semi").select("edge").distinct(), "edge", "left_semi")
     return out
 
 
@@ -137,10 +145,10 @@ def ring_faults(edges: DataFrame, tile: float = TILE, most: int = MOST) -> DataF
 def cut(edges: DataFrame, splits: DataFrame) -> DataFrame:
     """Edges in pieces that meet at their ends only; pieces that lie on an even number of edges are gone."""
     along = (F.col("x") - F.col("x1")) * (F.col("x2") - F.col("x1")) + (F.col("y") - F.col("y1")) * (F.col("y2") - F.col("y1"))
-    points = splits.where("x is not null").select("edge", "x", "y").distinct().join(edges, "edge").groupBy("edge").agg(
+    points = merged(splits.where("x is not null").select("edge", "x", "y").distinct(), edges, "edge").groupBy("edge").agg(
         F.array_sort(F.collect_list(F.struct(along.alias("t"), "x", "y"))).alias("points"))
     ends = lambda x, y: F.array(F.struct(F.lit(0.0).alias("t"), F.col(x).alias("x"), F.col(y).alias("y")))
-    whole = edges.join(points, "edge", "left").withColumn("points", F.concat(ends("x1", "y1"), F.coalesce("points", F.array()), ends("x2", "y2")))
+    whole = merged(edges, points, "edge", "left").withColumn("points", F.concat(ends("x1", "y1"), F.coalesce("points", F.array()), ends("x2", "y2")))
     a, b = F.slice("points", F.lit(1), F.size("points") - 1), F.slice("points", F.lit(2), F.size("points") - 1)
     pieces = whole.select(*SHAPE, F.inline(F.arrays_zip(a.alias("a"), b.alias("b"))))
     first = F.struct("a.x", "a.y") < F.struct("b.x", "b.y")
@@ -156,16 +164,16 @@ def turned(pieces: DataFrame, tile: float = TILE) -> DataFrame:
     of a piece, or above one that lies flat. If the middle lies on its tile's left side the path, which starts a little to the right, comes from the east."""
     at = of_tile(pieces.select(*POLYGON, F.col("piece").alias("own"), ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y")), tile)
     asked = at.select(*POLYGON, "row", "col").distinct().select(*POLYGON, "row", "col", every_block())
-    corners = asked.join(blocks(corner_runs(pieces, tile)).drop("sixfold", "eightfold"), [*POLYGON, "row", "level", "block"]).select(*POLYGON, "row", "col")
+    corners = merged(asked, blocks(corner_runs(pieces, tile)).drop("sixfold", "eightfold"), [*POLYGON, "row", "level", "block"]).select(*POLYGON, "row", "col")
     items = tiled(pieces, tile).select(*POLYGON, "row", "col", "piece", *ENDS).unionByName(corners, allowMissingColumns=True)
     odd = F.when(F.col("piece").isNull(), F.lit(True)).when(F.col("piece") == F.col("own"), crossed_up(tile)).otherwise(crossed(tile))
-    met = at.join(items, [*POLYGON, "row", "col"]).where(odd)
+    met = merged(at, items, [*POLYGON, "row", "col"]).where(odd)
     inside = met.groupBy(F.col("own").alias("piece")).agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
     middle = (F.col("x1") + F.col("x2")) / 2
     from_east = middle == F.floor(middle / tile) * tile
     along = F.coalesce("odd", F.lit(False)) == F.when(F.col("y1") == F.col("y2"), F.lit(True)).otherwise((F.col("y2") > F.col("y1")) != from_east)
     swap = lambda c, d: F.when(along, F.col(c)).otherwise(F.col(d)).alias(c)
-    return pieces.join(inside, "piece", "left").select(*SHAPE, "piece", swap("x1", "x2"), swap("y1", "y2"), swap("x2", "x1"), swap("y2", "y1"))
+    return merged(pieces, inside, "piece", "left").select(*SHAPE, "piece", swap("x1", "x2"), swap("y1", "y2"), swap("x2", "x1"), swap("y2", "y1"))
 
 
 def followed(pieces: DataFrame) -> DataFrame:
@@ -183,7 +191,7 @@ def cycles(links: DataFrame) -> DataFrame:
     held = kept(links.select("piece", "next", F.col("piece").alias("ring"), F.lit(True).alias("moved")))
     while not held.where("moved").isEmpty():
         ahead = held.select(F.col("piece").alias("next"), F.col("next").alias("after"), F.col("ring").alias("other"))
-        held = kept(held.join(ahead, "next").select("piece", F.col("after").alias("next"), F.least("ring", "other").alias("ring"), (F.col("other") < F.col("ring")).alias("moved")))
+        held = kept(merged(held, ahead, "next").select("piece", F.col("after").alias("next"), F.least("ring", "other").alias("ring"), (F.col("other") < F.col("ring")).alias("moved")))
     return held.select("piece", "ring")
 
 
@@ -195,10 +203,10 @@ def repaired(edges: DataFrame, tile: float = TILE, most: int = MOST) -> DataFram
     layer = numbered(edges)
     found = kept(meetings(layer, tile, most))
     broken = found.select(*POLYGON).distinct()
-    pieces = cut(layer.join(broken, POLYGON, "left_semi"), found)
+    pieces = cut(merged(layer, broken, POLYGON, "left_semi"), found)
     pieces = kept(turned(kept(pieces.withColumn("piece", F.monotonically_increasing_id())), tile))
-    rings = pieces.join(cycles(followed(pieces)), "piece")
-    whole = layer.join(broken, POLYGON, "left_anti")
+    rings = merged(pieces, cycles(followed(pieces)), "piece")
+    whole = merged(layer, broken, POLYGON, "left_anti")
     columns = [*SHAPE, "ring", *ENDS]
     return whole.select(*columns, F.lit(False).alias("rebuilt")).union(rings.select(*columns, F.lit(True).alias("rebuilt")))
 

@@ -76,3 +76,14 @@ def test_full_tiles_are_quartered(spark):
     assert listed.select("edge").distinct().count() == edges.count() and rg.ring_faults(layer(spark, [[comb]]), 500.0, 16).isEmpty()
     empty = spark.createDataFrame([], EDGE)
     assert rg.ring_faults(empty).isEmpty() and rg.repaired(empty).isEmpty()
+
+
+def test_layer_of_few_bytes_is_dealt_out_and_not_broadcast(spark):
+    """Many edges made of few rows in one file: Spark takes them for small, so their tasks and joins may not follow its guess."""
+    made = spark.range(0, 3000, 1, 1).selectExpr("'v' AS version", "id AS poly", "1 AS sixfold", "1 AS eightfold", "0 AS ring", "inline(array("
+        "named_struct('x1', 0d, 'y1', 0d, 'x2', 9d, 'y2', 9d), named_struct('x1', 9d, 'y1', 9d, 'x2', 9d, 'y2', 0d), "
+        "named_struct('x1', 9d, 'y1', 0d, 'x2', 0d, 'y2', 9d), named_struct('x1', 0d, 'y1', 9d, 'x2', 0d, 'y2', 0d)))")
+    layer = rg.numbered(made)
+    assert layer.rdd.getNumPartitions() > 1 and layer.select("edge").distinct().count() == 12000
+    plan = rg.repaired(made)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
