@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.keys import Lives, is_po_box
 from ..functions.values import missing_point
 from ..registry import BNG_EPSG, EIGHT_TO_SIX, AgreementGate, RuralityVersion
+from ..session import spread
 from .checks import Checks, static_check, union_checks
 from .skew import lookup_join
 from .tiles import TILE, held
@@ -168,7 +169,8 @@ def area_checks(edges: DataFrame, height: float = BAND) -> DataFrame:
 def crossing_rings(edges: DataFrame, cell: float = CELL) -> DataFrame:
     """Rings with two edges that properly cross: counted, never repaired. Edges meet by shared grid cell."""
     span = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
-    e = edges.withColumns({"_cx": F.explode(span("x1", "x2"))}).withColumn("_cy", F.explode(span("y1", "y2")))
+    # Dealt out and joined by merge: made of a few bytes a row, a large layer looks small enough to broadcast.
+    e = spread(edges, "poly", "x1", "y1", "x2", "y2").withColumns({"_cx": F.explode(span("x1", "x2"))}).withColumn("_cy", F.explode(span("y1", "y2")))
     names = ["x1", "y1", "x2", "y2"]
     keys = ["version", "poly", "ring", "_cx", "_cy"]
     a = e.select(*keys, *[F.col(n).alias("a" + n) for n in names])
@@ -179,7 +181,7 @@ def crossing_rings(edges: DataFrame, cell: float = CELL) -> DataFrame:
     order = F.struct("ax1", "ay1", "ax2", "ay2") < F.struct("bx1", "by1", "bx2", "by2")
     same_cell = reduce(lambda p, q: p & q, [a[k] == b[k] for k in keys])
     cross = (s[0] * s[1] < 0) & (s[2] * s[3] < 0)
-    return a.join(b, same_cell & order & cross).select(a["version"], a["poly"], a["ring"]).distinct()
+    return a.join(b.hint("merge"), same_cell & order & cross).select(a["version"], a["poly"], a["ring"]).distinct()
 
 
 def box_edges(boxes: DataFrame, keep: list[str]) -> DataFrame:

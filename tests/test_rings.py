@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from areadep.operators import rings as rg, tiles
+from areadep.operators import rings as rg, spatial as sp, tiles
 
 from test_spatial import EDGE, holds, ring_edges
 
@@ -87,3 +87,5 @@ def test_layer_of_few_bytes_is_dealt_out_and_not_broadcast(spark):
     assert layer.rdd.getNumPartitions() > 1 and layer.select("edge").distinct().count() == 12000
     plan = rg.repaired(made)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    plan = sp.crossing_rings(made).select("poly")
+    assert "BroadcastHashJoin" not in plan._jdf.queryExecution().executedPlan().toString() and plan.count() == 3000
