@@ -9,8 +9,8 @@ members of each interval are scanned in the same way by what precedes them, whic
 diverse on both sides is a maximal repeat within that reach, with all its occurrences; longer repeats run on from anchor to
 anchor. Bytes are fetched only for one anchor of each kind, of groups in which a kind occurs once.
 
-A group of more than CROWD kinds is not held by one task: its interval tree is cut at depth LENGTH, where an interval is the
-suffixes that agree on their first LENGTH bytes, so they are counted by a digest of those bytes, in partial sums.
+A group of more than CROWD kinds is not held by one task. Its strings are put in order over ranges, one pass tells the depths at which
+each parts from others, and windows of LENGTH bytes are counted by digest, in partial sums, at these depths only.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import ensure_checkpoint_dir
 from .common import Scratch, bytes_of, extended, groups, numpy_of
 
 LENGTH = 200
@@ -231,15 +232,111 @@ def clipped(docs: DataFrame, kinds: DataFrame, length: int, gram: int) -> DataFr
     return joined.mapInArrow(run, schema)
 
 
+def neighbours(strings: pa.Array) -> np.ndarray:
+    """Length of the prefix that each string shares with the one before it; the first shares nothing."""
+    flat, at = bytes_of(strings)
+    size, out = np.diff(at), np.zeros(len(strings), np.int64)
+    for i in range(1, len(out), 8192):
+        rows = np.arange(i, min(i + 8192, len(out)))
+        most = np.minimum(size[rows], size[rows - 1])
+        steps = np.arange(most.max())
+        byte = lambda r: flat[np.minimum(at[r][:, None] + steps, max(len(flat) - 1, 0))]  # noqa: B023, E731
+        differ = np.column_stack([byte(rows) != byte(rows - 1), np.ones(len(rows), bool)])
+        out[rows] = np.minimum(differ.argmax(axis=1), most)
+    return out
+
+
+def parted(bits: int, depth: int) -> int:
+    """The depths at which a string parts from those before it, as bits, after a step to a string that shares `depth` bytes."""
+    return bits & ((1 << depth) - 1) | 1 << depth
+
+
+def _partings(table: pa.Table, before: int, after: int) -> tuple[list[int], np.ndarray]:
+    """The depths at which each string of a partition in order parts from others of its group, and the prefixes shared by neighbours (0
+    where a group begins). `before` and `after` are those of the first and last string with what other partitions hold."""
+    n, near = table.num_rows, neighbours(table.column("s").combine_chunks())
+    begins = np.ones(n, bool)
+    begins[1:] = (numpy_of(table, "h")[1:] != numpy_of(table, "h")[:-1]) | (numpy_of(table, "side")[1:] != numpy_of(table, "side")[:-1])
+    steps, new = near.tolist(), begins.tolist()
+    ahead, behind = [before] * n, [after] * n
+    for i in range(1, n):
+        ahead[i] = 0 if new[i] else parted(ahead[i - 1], steps[i])
+    for i in range(n - 2, -1, -1):
+        behind[i] = 0 if new[i + 1] else parted(behind[i + 1], steps[i + 1])
+    return [ahead, behind], np.where(begins, 0, near)[1:]
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a partition: its first and last string, the least prefix neighbours share, and the depths its own strings give both."""
+    held = [b for b in batches if b.num_rows]
+    if held:
+        table = pa.Table.from_batches(held)
+        (ahead, behind), near = _partings(table, 0, 0)
+        end = [{c: table.column(c)[i].as_py() for c in ("side", "h", "s")} for i in (0, table.num_rows - 1)]
+        yield pa.RecordBatch.from_pylist([{"part": table.column("_part")[0].as_py(), "first": end[0], "last": end[1], "low": int(near.min(initial=1 << 20)),
+                                           "ahead": str(ahead[-1]), "behind": str(behind[0])}], schema=EDGES)
+
+
+EDGE = pa.struct([("side", pa.int32()), ("h", pa.int64()), ("s", pa.binary())])
+EDGES = pa.schema([("part", pa.int32()), ("first", EDGE), ("last", EDGE), ("low", pa.int32()), ("ahead", pa.string()), ("behind", pa.string())])
+
+
+def _carried(edges: list, near: str, far: str, own: str) -> dict[int, int]:
+    """The depths that the partitions passed so far give the nearest string of each."""
+    found, bits, last = {}, 0, None
+    for r in edges:
+        met = last is not None and (last["side"], last["h"]) == (r[near]["side"], r[near]["h"])
+        found[r["part"]] = parted(bits, shared(bytes(last["s"]), bytes(r[near]["s"]))) if met else 0
+        bits, last = int(r[own]) | found[r["part"]] & ((1 << r["low"]) - 1), r[far]
+    return found
+
+
+def crowded_windows(rows: DataFrame, length: int) -> DataFrame:
+    """(side, h, c, n, o, w1, w2): of each kind the windows, by digest, that can be the first or the last that another kind has as well.
+
+    The first window that kinds i and j share ends where what follows their anchors parts, the last one starts where what precedes it parts (read
+    backwards). So a kind needs windows at the depths only at which its strings part from others of its group, and who shares a window
+    parts at the same depth. They are found by a pass over the strings in order, in ranges of any part of a group; one row a range is collected.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    after = F.substring("clip", F.col("left") + 1, F.lit(length))
+    back = F.encode(F.reverse(F.decode(F.substring("clip", F.lit(1), F.col("left")), "ISO-8859-1")), "ISO-8859-1")
+    sides = rows.where(F.length("clip") >= length).select("h", "c", "n", "left", "clip", F.inline(F.array(
+        F.struct(F.lit(0).alias("side"), after.alias("s")), F.struct(F.lit(1).alias("side"), back.alias("s")))))
+    order = ["side", "h", "s", "c"]         # the clip's hash parts equal strings over ranges
+    ranged = sides.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    edge = "struct<side: int, h: long, s: binary>"
+    edges = ranged.select("_part", "side", "h", "s").mapInArrow(_edges, f"part int, first {edge}, last {edge}, low int, ahead string, behind string").collect()
+    edges.sort(key=lambda r: r["part"])
+    before, after = _carried(edges, "first", "last", "ahead"), _carried(edges[::-1], "last", "first", "behind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        part = table.column("_part")[0].as_py()
+        (ahead, behind), _ = _partings(table, before[part], after[part])
+        side, left = numpy_of(table, "side").tolist(), numpy_of(table, "left").tolist()
+        size = np.concatenate([np.diff(bytes_of(c)[1]) for c in table.column("clip").chunks]).tolist()
+        starts = []
+        for k, p, n, bits in zip(side, left, size, map(int.__or__, ahead, behind), strict=True):
+            depths = [d for d in range(bits.bit_length()) if bits >> d & 1]
+            starts.append([o for o in (p - (d if k else length - d) for d in depths) if 0 <= o <= n - length])
+        out = table.select(["side", "h", "c", "n", "left", "clip"]).append_column("starts", pa.array(starts, pa.list_(pa.int32())))
+        yield from out.to_batches(max_chunksize=4096)
+
+    kept = ranged.mapInArrow(run, "side int, h long, c long, n long, left int, clip binary, starts array<int>")
+    window = F.substring("clip", F.col("o") + 1, F.lit(length))
+    return kept.select("side", "h", "c", "n", "left", "clip", F.explode("starts").alias("o")).select(
+        "side", "h", "c", "n", "o", (F.col("o") - F.col("left")).alias("place"), F.xxhash64(window).alias("w1"), F.hash(window).alias("w2"))
+
+
 def crowded_reach(rows: DataFrame, length: int) -> DataFrame:
     """(x1, x2, a, b) of kinds that occur once in crowded groups, from counts of whole windows by their digest."""
     # A window is compared at one place relative to the anchor only, as clips of neighbouring anchors share windows.
-    starts = F.sequence(F.lit(0), F.length("clip") - length)
-    window = lambda o: F.substring("clip", o + 1, F.lit(length))
-    windows = rows.where(F.length("clip") >= length).select("h", "c", "n", "left", F.explode(F.transform(starts, lambda o: F.struct(
-        o.alias("o"), F.xxhash64(window(o)).alias("w1"), F.hash(window(o)).alias("w2")))).alias("w"))
-    windows = windows.select("h", "c", "n", (F.col("w.o") - F.col("left")).alias("place"), "w.*")
-    same = ["h", "place", "w1", "w2"]
+    windows = crowded_windows(rows, length)
+    same = ["side", "h", "place", "w1", "w2"]
     often = windows.groupBy(*same).agg(F.sum("n").alias("all")).where("all > 1").select(*same)
     reach = windows.where("n = 1").join(often, same).groupBy("h", "c").agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
     start = (F.col("pos") - F.col("left")).cast("long")

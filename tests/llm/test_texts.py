@@ -42,6 +42,33 @@ def test_long_texts_are_cut_without_a_seam(spark, monkeypatch):
     assert got == [(i, *r) for i, r in enumerate(h.without_repeats(texts))] and got[0][2] > 1400
 
 
+def test_crowded_groups_are_read_where_they_part(spark):
+    """Passages of which copies share different stretches, in groups that lie over many ranges: right, and with few windows a kind."""
+    rng = np.random.default_rng(41)
+    passage = h.prose(90, 42)
+    texts = []
+    for k in range(240):
+        a, b = (0, len(passage)) if k % 3 == 0 else sorted(rng.integers(0, len(passage), 2).tolist())
+        texts.append(h.prose(6, 1000 + k) + " " + passage[a:max(b, a + 150)] + h.prose(6, 2000 + k % 60))
+    texts += [texts[3], texts[4][:-7], "\u00e9\u00ff" + texts[6], texts[9] + "x" * 300]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = {c: spark.conf.get(c) for c in (coalesce, "spark.sql.shuffle.partitions")}
+    spark.conf.set(coalesce, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        got = rows(repeats.remove_repeats(df, Scratch(spark, "t"), crowd=1), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert got == [(i, *r) for i, r in enumerate(h.without_repeats(texts))]
+        scratch = Scratch(spark, "t")
+        _, kinds = repeats.anchors(df, scratch, repeats.LENGTH, repeats.GRAM)
+        crowded = scratch.keep(repeats.clipped(df, kinds, repeats.LENGTH, repeats.GRAM), "crowded")
+        every = crowded.selectExpr(f"sum(greatest(length(clip) - {repeats.LENGTH} + 1, 0))").first()[0]
+        assert repeats.crowded_windows(crowded, repeats.LENGTH).count() * 3 < every
+    finally:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+
+
 def test_maximal_repeats_have_all_their_places(spark):
     a, b = h.prose(60, 31), h.prose(60, 32)
     texts = [h.prose(20, k) + " " + a + " " + (b if k % 2 else h.prose(20, 100 + k)) for k in range(6)]
