@@ -17,6 +17,7 @@ from areadep.operators.ordered import falls, running_total
 from areadep.operators.profile import overlapping_lives, strict_overlaps, touching_pairs, touching_transitions
 from areadep.operators.skew import heavy_keys, key_counts, lookup_join
 from areadep.operators.snapshot import changed_fields, column_changes, compare_with_previous, snapshot_diff
+from areadep.operators import timeline
 from areadep.operators.timeline import as_of_join, stretches
 from areadep.operators.weighted import population_bands
 from areadep.registry import EDITIONS, REGISTRY, RuralityVersion
@@ -115,6 +116,25 @@ def test_stretches_against_every_day(spark):
             assert r["next_start"] == min((x[2] for x in mine if x[2] > day), default=None)
 
 
+def test_as_of_join_answers_rows_where_they_meet_the_stretches(spark, monkeypatch):
+    """Most rows in one pass beside the stretches: the same answers as by broadcast, and only rows of heavy keys and those without a key
+    are counted by day and joined back."""
+    d0 = dt.date(2020, 1, 1)
+    lives = [(f"K{i}", f"K{i}", d0 + dt.timedelta(3 * j + i % 2), d0 + dt.timedelta(3 * j + 2)) for i in range(0, 3000, 2) for j in range(2)]
+    segs = stretches(spark.createDataFrame(lives, "base string, pc string, s date, e date"), "base", k.part("pc", "base"), "s", "e", [F.col("pc"), F.col("s")])
+    i = F.col("id")
+    day = F.when(i % 13 != 0, F.date_add(F.lit(d0), (i % 9).cast("int") - 1))
+    key = F.when(i % 10 == 0, F.lit("K8")).when(i % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("K"), (i % 3000).cast("string")))
+    asked = spark.range(12_000).select("id", key.alias("base"), day.alias("d"), (i % 7).alias("_at"))
+    counted = []
+    monkeypatch.setattr(timeline, "key_counts", lambda df, keys: counted.append((tuple(keys), df.count())) or key_counts(df, keys))
+    out = as_of_join(asked, segs, "base", "d")
+    wanted = as_of_join(asked, segs, "base", "d", small=True)
+    assert out.columns == wanted.columns and out.count() == 12_000
+    assert out.exceptAll(wanted).count() == 0 and out.where("part0 is not null").count() > 1000
+    assert {keys: n for keys, n in counted} == {("base",): 12_000, ("base", "d"): asked.where("base = 'K8' or base is null").count()}
+
+
 # ---- joins of unequal keys ----
 
 def test_lookup_join_spreads_heavy_keys(spark):
