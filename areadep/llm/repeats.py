@@ -9,14 +9,17 @@ members of each interval are scanned in the same way by what precedes them, whic
 diverse on both sides is a maximal repeat within that reach, with all its occurrences; longer repeats run on from anchor to
 anchor. Bytes are fetched only for one anchor of each kind, of groups in which a kind occurs once.
 
-A group of more than CROWD kinds is not held by one task. Its strings are put in order over ranges, one pass tells the depths at which
-each parts from others, and windows of LENGTH bytes are counted by digest, in partial sums, at these depths only.
+A group of more than CROWD kinds is not held by one task. Its strings are put in order over ranges, and one pass tells the depths at which
+each parts from others. Who shares a window of LENGTH bytes that ends there stands in one stretch of that order, so a range settles its own
+stretches; of those that run on over its ends, each distinct window is one row, counted by digest over the ranges.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -252,7 +255,7 @@ def parted(bits: int, depth: int) -> int:
 
 
 def _partings(table: pa.Table, before: int, after: int) -> tuple[list[int], np.ndarray]:
-    """The depths at which each string of a partition in order parts from others of its group, and the prefixes shared by neighbours (0
+    """The depths at which each string of a partition in order parts from others of its group, and the prefixes shared by neighbours (-1
     where a group begins). `before` and `after` are those of the first and last string with what other partitions hold."""
     n, near = table.num_rows, neighbours(table.column("s").combine_chunks())
     begins = np.ones(n, bool)
@@ -263,7 +266,7 @@ def _partings(table: pa.Table, before: int, after: int) -> tuple[list[int], np.n
         ahead[i] = 0 if new[i] else parted(ahead[i - 1], steps[i])
     for i in range(n - 2, -1, -1):
         behind[i] = 0 if new[i + 1] else parted(behind[i + 1], steps[i + 1])
-    return [ahead, behind], np.where(begins, 0, near)[1:]
+    return [ahead, behind], np.where(begins, -1, near)[1:]
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +276,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
         (ahead, behind), near = _partings(table, 0, 0)
         end = [{c: table.column(c)[i].as_py() for c in ("side", "h", "s")} for i in (0, table.num_rows - 1)]
-        yield pa.RecordBatch.from_pylist([{"part": table.column("_part")[0].as_py(), "first": end[0], "last": end[1], "low": int(near.min(initial=1 << 20)),
+        yield pa.RecordBatch.from_pylist([{"part": table.column("_part")[0].as_py(), "first": end[0], "last": end[1], "low": max(0, int(near.min(initial=1 << 20))),
                                            "ahead": str(ahead[-1]), "behind": str(behind[0])}], schema=EDGES)
 
 
@@ -291,12 +294,66 @@ def _carried(edges: list, near: str, far: str, own: str) -> dict[int, int]:
     return found
 
 
+def _settled(length: int, before: dict[int, int], after: dict[int, int]):
+    """Of each kind and side of a range in order: its farthest window that another of the range has too; and each distinct window of the
+    stretches that run on in other ranges, with how often it occurs (2: more than once) and, if one kind alone has it here and none farther, that kind."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        part = table.column("_part")[0].as_py()
+        (ahead, behind), near = _partings(table, before[part], after[part])
+        front, rear = before[part].bit_length() - 1, after[part].bit_length() - 1        # what the ends share with the next strings outside
+        clips = table.column("clip").combine_chunks()
+        flat, at = bytes_of(clips)
+        view, begin, size = memoryview(flat), at.tolist(), np.diff(at).tolist()
+        side, left, times = (numpy_of(table, c).tolist() for c in ("side", "left", "n"))
+        parting: dict[int, list[int]] = {}
+        start = lambda i, d: left[i] - (d if side[i] else length - d)
+        for i, bits in enumerate(map(int.__or__, ahead, behind)):
+            while bits:
+                d = bits.bit_length() - 1
+                bits ^= 1 << d
+                if 0 <= start(i, d) <= size[i] - length:
+                    parting.setdefault(d, []).append(i)
+        far, found = [-1] * len(side), []          # found: row, depth, occurrences, whether the row's kind asks
+        for d in sorted(parting, reverse=True):
+            stretch = np.concatenate([[0], np.cumsum(near < d)])
+            open_ends = ({0} if front >= d else set()) | ({int(stretch[-1])} if rear >= d else set())
+            for k, rows in groupby(zip(stretch[parting[d]].tolist(), parting[d], strict=True), key=itemgetter(0)):
+                met: dict[bytes, list[int]] = {}
+                for _, i in rows:
+                    o = begin[i] + start(i, d)
+                    met.setdefault(bytes(view[o:o + length]), []).append(i)
+                for who in met.values():
+                    often = len(who) > 1 or times[who[0]] > 1
+                    if k in open_ends:
+                        found.append((who[0], d, 2 if often else 1, not often and far[who[0]] < 0))
+                    if often:
+                        for i in who:
+                            far[i] = max(far[i], d)
+        found += [(i, d, 0, True) for i, d in enumerate(far) if d >= 0 and times[i] == 1]
+        for a in range(0, len(found), 4096):
+            rows, depths, n, asks = (list(c) for c in zip(*found[a:a + 4096], strict=True))
+            o = [start(i, d) for i, d in zip(rows, depths, strict=True)]
+            window = [bytes(view[begin[i] + p:begin[i] + p + length]) if m else None for i, p, m in zip(rows, o, n, strict=True)]
+            c = pa.array(numpy_of(table, "c")[rows], mask=~np.array(asks))
+            yield pa.RecordBatch.from_arrays([*(pa.array(numpy_of(table, f)[rows]) for f in ("side", "h")), c, pa.array(n, pa.int64()), pa.array(o, pa.int32()),
+                                              pa.array(np.array(o, np.int32) - numpy_of(table, "left")[rows]), pa.array(window, pa.binary())], names=WINDOWS)
+    return run
+
+
+WINDOWS = ["side", "h", "c", "n", "o", "place", "window"]
+
+
 def crowded_windows(rows: DataFrame, length: int) -> DataFrame:
-    """(side, h, c, n, o, w1, w2): of each kind the windows, by digest, that can be the first or the last that another kind has as well.
+    """(side, h, c, n, o, place, w1, w2): the windows, by their start in a kind's clip, that are the first or the last that it shares with
+    another kind (n = 0), and those, by digest, of which only other ranges of the order can tell (n of them; c null: for these alone).
 
     The first window that kinds i and j share ends where what follows their anchors parts, the last one starts where what precedes it parts (read
     backwards). So a kind needs windows at the depths only at which its strings part from others of its group, and who shares a window
-    parts at the same depth. They are found by a pass over the strings in order, in ranges of any part of a group; one row a range is collected.
+    parts at the same depth, in the stretch of strings in order that share as much. One row a range is collected.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     after = F.substring("clip", F.col("left") + 1, F.lit(length))
@@ -309,36 +366,19 @@ def crowded_windows(rows: DataFrame, length: int) -> DataFrame:
     edges = ranged.select("_part", "side", "h", "s").mapInArrow(_edges, f"part int, first {edge}, last {edge}, low int, ahead string, behind string").collect()
     edges.sort(key=lambda r: r["part"])
     before, after = _carried(edges, "first", "last", "ahead"), _carried(edges[::-1], "last", "first", "behind")
+    kept = ranged.mapInArrow(_settled(length, before, after), "side int, h long, c long, n long, o int, place int, window binary")
+    return kept.select(*WINDOWS[:-1], F.xxhash64("window").alias("w1"), F.hash("window").alias("w2"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        part = table.column("_part")[0].as_py()
-        (ahead, behind), _ = _partings(table, before[part], after[part])
-        side, left = numpy_of(table, "side").tolist(), numpy_of(table, "left").tolist()
-        size = np.concatenate([np.diff(bytes_of(c)[1]) for c in table.column("clip").chunks]).tolist()
-        starts = []
-        for k, p, n, bits in zip(side, left, size, map(int.__or__, ahead, behind), strict=True):
-            depths = [d for d in range(bits.bit_length()) if bits >> d & 1]
-            starts.append([o for o in (p - (d if k else length - d) for d in depths) if 0 <= o <= n - length])
-        out = table.select(["side", "h", "c", "n", "left", "clip"]).append_column("starts", pa.array(starts, pa.list_(pa.int32())))
-        yield from out.to_batches(max_chunksize=4096)
-
-    kept = ranged.mapInArrow(run, "side int, h long, c long, n long, left int, clip binary, starts array<int>")
-    window = F.substring("clip", F.col("o") + 1, F.lit(length))
-    return kept.select("side", "h", "c", "n", "left", "clip", F.explode("starts").alias("o")).select(
-        "side", "h", "c", "n", "o", (F.col("o") - F.col("left")).alias("place"), F.xxhash64(window).alias("w1"), F.hash(window).alias("w2"))
-
-
-def crowded_reach(rows: DataFrame, length: int) -> DataFrame:
-    """(x1, x2, a, b) of kinds that occur once in crowded groups, from counts of whole windows by their digest."""
+
+def crowded_reach(rows: DataFrame, scratch: Scratch, length: int) -> DataFrame:
+    """(x1, x2, a, b) of kinds that occur once in crowded groups: windows settled in a range, others counted whole by their digest."""
     # A window is compared at one place relative to the anchor only, as clips of neighbouring anchors share windows.
-    windows = crowded_windows(rows, length)
+    windows = scratch.keep(crowded_windows(rows, length), "windows")
     same = ["side", "h", "place", "w1", "w2"]
-    often = windows.groupBy(*same).agg(F.sum("n").alias("all")).where("all > 1").select(*same)
-    reach = windows.where("n = 1").join(often, same).groupBy("h", "c").agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
+    over = windows.where("n > 0")
+    often = over.groupBy(*same).agg(F.sum("n").alias("all")).where("all > 1").select(*same)
+    met = over.where("c is not null").join(often, same).select("h", "c", "o").union(windows.where("n = 0").select("h", "c", "o"))
+    reach = met.groupBy("h", "c").agg(F.min("o").alias("o1"), F.max("o").alias("o2"))
     start = (F.col("pos") - F.col("left")).cast("long")
     return rows.join(reach, ["h", "c"]).select("x1", "x2", (start + F.col("o1")).alias("a"), (start + F.col("o2") + length).alias("b"))
 
@@ -365,9 +405,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     spans = twins.union(few.mapInArrow(_scan(length), "x1 long, x2 int, a long, b long"))
     many = rows.where("crowded")
     if not many.isEmpty():
-        spans = spans.union(crowded_reach(many, length))
+        spans = spans.union(crowded_reach(many, scratch, length))
     joined = scratch.keep(spans.groupBy("x1", "x2").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")     # bounded by the text
     scratch.drop("clips")
+    scratch.drop("windows")
     scratch.drop("often")
     scratch.drop("kinds")
     return joined

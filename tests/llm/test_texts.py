@@ -69,6 +69,44 @@ def test_crowded_groups_are_read_where_they_part(spark):
             spark.conf.set(c, v)
 
 
+@pytest.mark.parametrize("copies", [40, 400])
+def test_crowded_groups_are_settled_in_their_ranges(spark, copies):
+    """A passage among other words each time: two rows a kind at any size, and few that other ranges must be asked about."""
+    passage = h.prose(90, 51)
+    texts = [h.prose(8, 3000 + k) + " " + passage + " " + h.prose(8, 5000 + k) for k in range(copies)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    scratch = Scratch(spark, "t")
+    _, kinds = repeats.anchors(df, scratch, repeats.LENGTH, repeats.GRAM)
+    crowded = scratch.keep(repeats.clipped(df, kinds, repeats.LENGTH, repeats.GRAM), "crowded")
+    windows = scratch.keep(repeats.crowded_windows(crowded, repeats.LENGTH), "windows")
+    assert windows.count() <= 2 * crowded.count() + 4 * repeats.LENGTH
+    assert windows.where("n > 0").count() <= 4 * repeats.LENGTH
+    got = rows(repeats.remove_repeats(df, scratch, crowd=1), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == [(i, *r) for i, r in enumerate(h.without_repeats(texts))]
+
+
+def test_crowded_groups_over_the_ends_of_ranges(spark):
+    """Few letters, short windows and more ranges than a group has strings apart: stretches that run on, alone and met elsewhere."""
+    rng = np.random.default_rng(61)
+    base = "".join(rng.choice(list("abc"), 300))
+    texts = []
+    for _ in range(500):
+        a, n = int(rng.integers(0, 280)), int(rng.integers(8, 60))
+        own = ["".join(rng.choice(list("ab"), int(rng.integers(0, 14)))) for _ in range(2)]
+        texts.append(own[0] + base[a:a + n] + own[1])
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    held = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for ranges in (1, 37):
+            spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+            got = rows(repeats.remove_repeats(df, Scratch(spark, "t"), 20, 10, crowd=1), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+            assert got == [(i, *r) for i, r in enumerate(h.without_repeats(texts, 20))]
+    finally:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+
+
 def test_maximal_repeats_have_all_their_places(spark):
     a, b = h.prose(60, 31), h.prose(60, 32)
     texts = [h.prose(20, k) + " " + a + " " + (b if k % 2 else h.prose(20, 100 + k)) for k in range(6)]
