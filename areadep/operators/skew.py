@@ -3,10 +3,10 @@
 Two physical ways, chosen by size and never by hope:
 
 * the keyed table is measured and small: it is broadcast, and the large side is not shuffled;
-* otherwise the large side is shuffled by key, except for its heavy keys. A key is heavy when it
-  holds more than 1/HEAVY of all rows, so there are fewer than HEAVY heavy keys whatever the data:
-  that is the size bound of the one broadcast used here. Rows of heavy keys get their match from
-  it and are spread evenly over the shuffle instead of meeting in one task.
+* otherwise the large side is shuffled by key, and of heavy keys by key and share. A key is heavy when
+  it holds more than 1/HEAVY of all rows, so there are fewer than HEAVY heavy keys whatever the data:
+  that is the size bound of the one broadcast used here, of these keys alone. Rows of heavy keys are
+  dealt over their shares instead of meeting in one task, and each share has a copy of the match.
 """
 
 from __future__ import annotations
@@ -28,10 +28,11 @@ def key_counts(df: DataFrame, keys: list[str], name: str = "n_rows") -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def heavy_keys(counts: DataFrame, keys: list[str], name: str = "n_rows", heavy: int = HEAVY) -> DataFrame:
-    """Keys that hold more than 1/heavy of the rows: at most `heavy` of them."""
+def heavy_keys(counts: DataFrame, keys: list[str], name: str = "n_rows", heavy: int = HEAVY, copies: str | None = None) -> DataFrame:
+    """Keys that hold more than 1/heavy of the rows: at most `heavy` of them. `copies` names a column for how many such shares a key holds."""
     threshold = counts.agg(F.sum(name) / F.lit(heavy)).scalar()
-    return counts.where(F.col(name) > threshold).select(*keys)
+    shares = [F.ceil(F.col(name) / threshold).cast("long").alias(copies)] if copies else []
+    return counts.where(F.col(name) > threshold).select(*keys, *shares)
 
 
 def row_bytes(schema: T.StructType, prefix: str = "") -> Column:
@@ -79,18 +80,12 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], *, counts: Dat
     packed = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], F.struct(*value).alias("_v"))
 
     counts = counts if counts is not None else key_counts(left, on)
-    heavy = heavy_keys(counts, on).select(*[F.col(c).alias(f"_h_{c}") for c in on])
-    # An outer join builds its inner side only, so the heavy keys' rows are found by an inner join, which moves no row of `right`.
-    named = heavy.select(*[F.col(f"_h_{c}").alias(f"_k_{c}") for c in on])
-    matched = packed.join(F.broadcast(named), all_null_safe(named, packed, [(f"_k_{c}", f"_r_{c}") for c in on])).select(*[f"_k_{c}" for c in on], "_v")
-    heavy_value = heavy.join(F.broadcast(matched), all_null_safe(heavy, matched, [(f"_h_{c}", f"_k_{c}") for c in on]), "left")
-    heavy_value = heavy_value.select(*[f"_h_{c}" for c in on], F.col("_v").alias("_hv"), F.lit(True).alias("_heavy"))
-
-    tagged = left.join(F.broadcast(heavy_value), all_null_safe(left, heavy_value, [(c, f"_h_{c}") for c in on]), "left")
-    tagged = tagged.select(*[left[c] for c in left.columns], "_hv",
-                           F.when(F.col("_heavy"), F.monotonically_increasing_id() + 1).otherwise(F.lit(0)).alias("_spread"))
-    # Zero for every row, but not a constant to the optimiser, which would take the join on it away.
-    cold = packed.withColumn("_rs", F.pmod(F.xxhash64(*[f"_r_{c}" for c in on]), F.lit(1)))
-    joined = tagged.join(cold, all_null_safe(tagged, cold, pairs) & (tagged["_spread"] == cold["_rs"]), "left")
-    picked = F.coalesce(F.col("_hv"), F.col("_v"))
-    return joined.select(*left.columns, picked.alias("_p")).select(*left.columns, *[F.col(f"_p.{c}").alias(c) for c in value])
+    heavy = heavy_keys(counts, on, copies="_copies").withColumnsRenamed({c: f"_h_{c}" for c in on})
+    copied = lambda df, names: df.join(F.broadcast(heavy), all_null_safe(df, heavy, [(n, f"_h_{c}") for n, c in zip(names, on)]), "left")
+    tagged = copied(left, on)
+    tagged = tagged.select(*[left[c] for c in left.columns], F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_copies")), F.lit(0)).alias("_spread"))
+    # A heavy key's row once for each share, fewer than 2 * HEAVY in all, so that it does not travel with each of the rows it answers.
+    names = [f"_r_{c}" for c in on]
+    shares = copied(packed, names).select(*names, "_v", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_copies", F.lit(1)) - 1)).alias("_rs"))
+    joined = tagged.join(shares, all_null_safe(tagged, shares, pairs) & (tagged["_spread"] == shares["_rs"]), "left")
+    return joined.select(*left.columns, *[F.col(f"_v.{c}").alias(c) for c in value])

@@ -82,29 +82,35 @@ def within(day: Column, seg_from: Column, seg_to: Column) -> Column:
 
 
 def passed(rows: DataFrame, segments: DataFrame, key: str, date: str, as_: str = "_seg") -> DataFrame:
-    """Each of `rows` with the stretch of its key its date falls in, by one ordered pass per key."""
+    """Each of `rows` with the stretch of its key its date falls in, by one ordered pass per key. The key is that of the pass, so that Spark knows where rows lie."""
     value = F.struct(*[F.col(c) for c in segments.columns if c != key])
     steps = segments.select(F.col(key).alias("_k"), F.col("seg_from").alias("_at"), F.lit(0).alias("_kind"), value.alias("_seg"))
     asks = rows.select(F.col(key).alias("_k"), F.col(date).alias("_at"), F.lit(1).alias("_kind"), F.struct(*rows.columns).alias("_row"))
     order = W.partitionBy("_k").orderBy(F.col("_at").asc_nulls_first(), "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
     latest = steps.unionByName(asks, allowMissingColumns=True).withColumn("_seg", F.last("_seg", ignorenulls=True).over(order)).where(F.col("_kind") == 1)
     inside = within(F.col("_at"), F.col("_seg.seg_from"), F.col("_seg.seg_to"))
-    return latest.select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns], F.when(inside, F.col("_seg")).alias(as_))
+    return latest.select(*[F.col("_k" if c == key else f"_row.{c}").alias(c) for c in rows.columns], F.when(inside, F.col("_seg")).alias(as_))
 
 
-def sweep(requests: DataFrame, segments: DataFrame, key: str, date: str, as_: str = "seg") -> DataFrame:
-    """Each distinct (key, date) with the stretch it falls in. The pass holds the distinct days of a key, so it is bounded by the calendar."""
-    return passed(requests.where(F.col(key).isNotNull()).select(key, date), segments, key, date, as_)
+def beside(rows: DataFrame, table: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows that lie by `key`, with the one row of `table` for their key and `name`, a number. Only the key is an equality to Spark, so that
+    rows stay where they are; a key has few names."""
+    values = [c for c in table.columns if c not in (key, name)]
+    right = table.select(F.col(key).alias("_bk"), F.col(name).alias("_bn"), *values)
+    same = (F.col(key) == F.col("_bk")) & (F.col(name).bitwiseXOR(F.col("_bn")) == 0)
+    return rows.join(right, same, "left").select(*rows.columns, *values)
 
 
 SPAN = ("seg_from", "seg_to", "n_marks")
 
 
-def as_of_join(left: DataFrame, segments: DataFrame, key: str, date: str, *, small: bool = False) -> DataFrame:
+def as_of_join(left: DataFrame, segments: DataFrame, key: str, date: str, *, small: bool = False, sets=()) -> DataFrame:
     """Each row of `left` with the columns of the stretch of its key its date falls in.
 
     `small` says the stretches were counted and may be broadcast: nothing of `left` moves then. Otherwise rows meet the stretches in
-    one ordered pass per key. Of keys that hold more than 1/HEAVY of the rows, every distinct date is answered once and joined back."""
+    one ordered pass per key. Of keys that hold more than 1/HEAVY of the rows, every distinct date is answered once and joined back.
+    `sets`, of (table, column), have what a number in a column of the stretches stands for, by key and number: joined last, to rows
+    that then lie by key already."""
     values = [c for c in segments.columns if c != key and c not in SPAN]
     if small:
         right = segments.select(F.col(key).alias("_k"), "seg_from", "seg_to", *values)
@@ -118,9 +124,17 @@ def as_of_join(left: DataFrame, segments: DataFrame, key: str, date: str, *, sma
     few, many = left.where(of_heavy), left.where(~of_heavy)
     asked = key_counts(few, [key, date]).persist()      # the days of fewer than HEAVY keys, read several times
     theirs = segments.where(F.col(key).isin(heavy))
-    apart = lookup_join(few, sweep(asked, theirs, key, date, "_seg"), [key, date], counts=asked)
-    met = passed(many, segments, key, date)
-    return met.unionByName(apart).select(*left.columns, *[F.col(f"_seg.{c}").alias(c) for c in values])
+    answered = passed(asked, theirs, key, date)         # holds the distinct days of a key, so it is bounded by the calendar
+    flat = lambda rows: rows.select(*left.columns, *[F.col(f"_seg.{c}").alias(c) for c in values])
+    met, apart = flat(passed(many, segments, key, date)), flat(lookup_join(few, answered.drop("n_rows"), [key, date], counts=asked))
+    if sets:
+        names = [name for _, name in sets]
+        held = theirs.select(key, *names).distinct()
+        for table, name in sets:
+            met, held = beside(met, table, key, name), held.join(table, [key, name], "left")
+        counts = answered.groupBy(key, *[F.col(f"_seg.{n}").alias(n) for n in names]).agg(F.sum("n_rows").alias("n_rows"))
+        apart = lookup_join(apart, held, [key, *names], counts=counts)
+    return met.unionByName(apart)
 
 
 def broadcastable(segments: DataFrame) -> tuple[DataFrame, bool]:

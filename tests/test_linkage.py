@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from areadep.plans import report as rp
 from areadep.registry import LOOKUP_HEADER, REGISTRY, SMALL_USER_HEADER
@@ -225,3 +226,35 @@ def test_a_same_day_record_changes_nothing_whatever_is_carried(spark, n):
     want = {s: stored(s)[rank] for s in (1, 3)}
     assert dated == {1: want[3], 2: want[1], 3: want[3]} and sorted(newest) == [(i, want[3]) for i in (1, 2, 3)]
     assert link_as_of(c, h, source=columns[:n]).count() == 3
+
+
+def shuffled(plan) -> list[str]:
+    """The columns of every shuffle of a plan."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return shuffled(plan.initialPlan())
+    mine = [plan.schema().json()] if plan.nodeName() == "Exchange" else []
+    return mine + [x for i in range(plan.children().size()) for x in shuffled(plan.children().apply(i))]
+
+
+@pytest.mark.parametrize("link", ["link_latest", "link_as_of"])
+def test_rows_of_a_cohort_are_not_shuffled_with_what_the_directory_carries(spark, link):
+    """Many carried columns: by shuffles the same rows as by broadcast, and none moves a row together with its values. Values move null for null."""
+    from areadep.plans import linkage
+    columns = [e.column(m) for e in REGISTRY.editions for m in ("rank", "pw_scotland_quintile")]
+    gap = lambda **k: life(**k) | {columns[0]: None, columns[1]: 5}
+    h = directory(spark, *[life(intro=f"200{y}-01-01", deleted=f"200{y}-06-01", seed=1) for y in range(9)], life(intro="2010-01-01", seed=2),
+                  gap(pc="AB11AB", intro="2001-01-01", deleted="2005-01-01", seed=3), life(pc="AB11AB", intro="2005-01-01", seed=3) | {columns[0]: 5, columns[1]: None},
+                  life(pc="AB11AC", user="large_user", link="AB1 1AA", seed=4))
+    days = [(i, f"AB1 1A{'ABCD'[i % 4]}" if i % 9 else None, D(1999 + i % 13, 2 + i % 9, 1)) for i in range(200)]
+    c = cohort(spark, days, "id int, postcode string, address_date date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved, stayed = [getattr(linkage, link)(c, h, context=["Postcode"], source=columns, strategy=how) for how in ("sorted", "broadcast")]
+        rows = [x for x in shuffled(moved._jdf.queryExecution().executedPlan()) if '"name":"id"' in x]
+        assert rows and not [x for x in rows if columns[0] in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = moved.collect()
+    assert moved.columns == stayed.columns and sorted(map(repr, got)) == sorted(map(repr, stayed.collect()))
+    of = {(r[f"source_{columns[0]}"], r[f"source_{columns[1]}"]) for r in got if r["matched_pc_norm"] == "AB11AB"}
+    assert of <= {(None, 5), (5, None)} and (5, None) in of
