@@ -163,11 +163,13 @@ def source_equal_checks(saved: DataFrame, index: DataFrame, key: list[str], labe
     return c.run(pairs)
 
 
-def edition_measure(df: DataFrame, edition_column: str, measures: dict[str, str], registry: Registry = REGISTRY, source: str | None = None) -> DataFrame:
+def edition_measure(df: DataFrame, edition_column: str, measures: dict[str, str], registry: Registry = REGISTRY, source: str | None = None,
+                    types: dict | None = None) -> DataFrame:
     """One edition's stored measures per row, chosen by the row's edition: output name -> measure. The
-    choice is made once per row for all measures together, not once per measure."""
+    choice is made once per row for all measures together, not once per measure. `types` are those of the
+    outputs where `df` does not hold the measures of every edition."""
     at = (lambda c: F.col(f"{source}{c}")) if source else F.col
-    types = {}
+    types = dict(types or {})
     for e in registry.editions:
         for out, m in measures.items():
             name = f"{source or ''}{e.column(m)}"

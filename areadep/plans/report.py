@@ -33,15 +33,28 @@ def common(registry: Registry = REGISTRY) -> list[str]:
             "data_zone_code", "intermediate_zone_code", *[f"phs_{g}_code" for g in GEOGRAPHIES], *measures(registry), "band_direction"]
 
 
-def _stored(history: DataFrame, registry: Registry) -> list[str]:
-    """Columns the geography record supplies: zones, areas and every stored measure."""
-    names = [f"{z}{v}Code" for z in ("DataZone", "IntermediateZone") for v in registry.vintages()]
-    names += [f"phs_dz{v}_{g}" for v in registry.vintages() for g in GEOGRAPHIES]
-    names += [e.column(m) for e in registry.editions for m in measures(registry).values() if e.publishes(m)]
-    missing = [n for n in names if n not in history.columns]
+def _stored(history: DataFrame, registry: Registry, used: Registry | None = None) -> list[str]:
+    """Columns the geography record supplies: zones, areas and every stored measure. All have to be there; those of the editions in `used` are read."""
+    def of(r: Registry) -> list[str]:
+        names = [f"{z}{v}Code" for z in ("DataZone", "IntermediateZone") for v in r.vintages()]
+        names += [f"phs_dz{v}_{g}" for v in r.vintages() for g in GEOGRAPHIES]
+        return names + [e.column(m) for e in r.editions for m in measures(registry).values() if e.publishes(m)]
+    missing = [n for n in of(registry) if n not in history.columns]
     if missing:
         raise ValueError(f"the directory lacks published columns: {missing[:5]}")
-    return names
+    return of(used or registry)
+
+
+def _used(registry: Registry, edition: str | None) -> Registry:
+    """What a report reads: one edition and the latest version where these hold throughout, else all."""
+    if edition not in {e.key for e in registry.editions}:
+        return registry
+    return registry.replace(editions=(registry.edition(edition),), rurality_versions=registry.rurality_versions[-1:])
+
+
+def _types(history: DataFrame, registry: Registry) -> dict:
+    """The type of each measure's output, by the first edition that published it."""
+    return {out: history.schema[e.column(m)].dataType for e in reversed(registry.editions) for out, m in measures(registry).items() if e.publishes(m)}
 
 
 def _own_fields(history: DataFrame, header) -> list[str]:
@@ -56,29 +69,38 @@ def _by_vintage(name: str, registry: Registry):
     return out
 
 
-def _values(df: DataFrame, registry: Registry, source: dict, usable: tuple) -> DataFrame:
-    named = {"data_zone_code": "source_DataZone{}Code", "intermediate_zone_code": "source_IntermediateZone{}Code"}
-    named.update({f"phs_{g}_code": "source_phs_dz{}_" + g for g in GEOGRAPHIES})
-    df = df.withColumns({k: _by_vintage(v, registry) for k, v in named.items()})
-    df = edition_measure(df, "simd_edition", measures(registry), registry, source="source_")
-    # Missing counts only what the row's edition published; a source status may be empty, and the intermediate zone is carried as it is.
+ZONES = {"data_zone_code": "DataZone{}Code", "intermediate_zone_code": "IntermediateZone{}Code", **{f"phs_{g}_code": "phs_dz{}_" + g for g in GEOGRAPHIES}}
+
+
+def _required(registry: Registry) -> dict:
+    """Outputs that have to have a value, with their measure (none for a zone). A source status may be empty, and the intermediate zone is carried as it is."""
+    named = {**dict.fromkeys(ZONES), **measures(registry)}
+    return {out: m for out, m in named.items() if out != "intermediate_zone_code" and not (m and m.endswith("_source_status"))}
+
+
+def _missing(registry: Registry, used: Registry):
+    """Whether a row lacks a value that its edition published."""
     missing = []
-    for out, m in {**{k: None for k in named}, **measures(registry)}.items():
-        if out == "intermediate_zone_code" or m and m.endswith("_source_status"):
-            continue
-        unpublished = [e.key for e in registry.editions if m and not e.publishes(m)]
+    for out, m in _required(registry).items():
+        unpublished = [e.key for e in used.editions if m and not e.publishes(m)]
         test = F.col(out).isNull()
         missing.append(test & ~F.col("simd_edition").isin(*unpublished) if unpublished else test)
+    return folded(missing, lambda a, b: a | b)
+
+
+def _values(df: DataFrame, registry: Registry, source: dict, usable: tuple, used: Registry, types: dict) -> DataFrame:
+    df = df.withColumns({k: _by_vintage("source_" + v, used) for k, v in ZONES.items()})
+    df = edition_measure(df, "simd_edition", measures(registry), used, source="source_", types=types)
     return df.withColumns({
-        "simd_status": st.value_status(usable, folded(missing, lambda a, b: a | b)), "index_source": F.lit(source["index_source"]), "allocation": F.lit(source["allocation"]),
+        "simd_status": st.value_status(usable, _missing(registry, used)), "index_source": F.lit(source["index_source"]), "allocation": F.lit(source["allocation"]),
         "index_release": F.col(f"context_{source['release']}"), "band_direction": F.lit(BAND_DIRECTION),
         "simd_source_pc_norm": F.col("source_key"), "simd_source_introduced_on": F.col("source_introduced_on"),
         "simd_source_is_current": F.col("source_is_current")})
 
 
-def _rurality(df: DataFrame, registry: Registry) -> DataFrame:
+def _rurality(df: DataFrame, registry: Registry, used: Registry) -> DataFrame:
     packed = None
-    for v in registry.rurality_versions:
+    for v in used.rurality_versions:
         cell = F.struct(*[F.col(f"context_{v.stem}_{c}").alias(n) for c, n in (("6fold", "six"), ("8fold", "eight"), ("status", "reason"))])
         test = F.col("rurality_version") == v.key
         packed = F.when(test, cell) if packed is None else packed.when(test, cell)
@@ -108,11 +130,14 @@ def _chosen(cohort: DataFrame, registry: Registry, edition: str | None) -> DataF
         "edition_status": F.lit("ok" if known else "unknown_edition")}).withColumn("data_zone_vintage", vintage_of("simd_edition", registry))
 
 
-def _history_columns(history: DataFrame, registry: Registry) -> tuple[list[str], list[str], list[str]]:
+def _rural(used: Registry) -> list[str]:
+    return [f"{v.stem}_{c}" for v in used.rurality_versions for c in ("6fold", "8fold", "status")]
+
+
+def _history_columns(history: DataFrame, registry: Registry, used: Registry) -> tuple[list[str], list[str], list[str]]:
     header = [*SMALL_USER_HEADER, *[c for c in LARGE_USER_HEADER if c not in SMALL_USER_HEADER]]
     own = _own_fields(history, header)
-    rural = [f"{v.stem}_{c}" for v in registry.rurality_versions for c in ("6fold", "8fold", "status")]
-    return own, [*own, HISTORY_SOURCE["release"], *rural], _stored(history, registry)
+    return own, [*own, HISTORY_SOURCE["release"], *_rural(used)], _stored(history, registry, used)
 
 
 def by_era(cohort: DataFrame, history: DataFrame, registry: Registry = REGISTRY, lives: Lives = Lives(), **options) -> DataFrame:
@@ -128,20 +153,28 @@ def throughout(cohort: DataFrame, history: DataFrame, edition: str, registry: Re
 
 
 def _latest(asked, history, registry, lives, edition, options) -> DataFrame:
-    own, context, source = _history_columns(history, registry)
+    used = _used(registry, edition)
+    own, context, source = _history_columns(history, registry, used)
     df = _chosen(link_latest(asked, history, lives=lives, context=context, source=source, **options), registry, edition)
-    return _shaped(_rurality(_values(df, registry, HISTORY_SOURCE, st.USABLE), registry), registry, own, True, ["matched_pc_base"])
+    df = _rurality(_values(df, registry, HISTORY_SOURCE, st.USABLE, used, _types(history, registry)), registry, used)
+    return _shaped(df, registry, own, True, ["matched_pc_base"])
+
+
+def _dated(cohort: DataFrame) -> DataFrame:
+    override = F.col("analysis_year") if "analysis_year" in cohort.columns else F.lit(None)
+    return cohort.select("id", "postcode", F.col("address_date").cast("date").alias("address_date"),
+                         analysis_year(override.cast("int"), F.col("address_date").cast("date")).alias("analysis_year"))
+
+
+DATED = (*st.USABLE, "previous_life")
 
 
 def on_date(cohort: DataFrame, history: DataFrame, registry: Registry = REGISTRY, lives: Lives = Lives(), **options) -> DataFrame:
     """History table, the life on the row's date, edition by its year or by analysis_year where given.
     Cohort: id, postcode, address_date and optionally analysis_year."""
-    override = F.col("analysis_year") if "analysis_year" in cohort.columns else F.lit(None)
-    asked = cohort.select("id", "postcode", F.col("address_date").cast("date").alias("address_date"),
-                          analysis_year(override.cast("int"), F.col("address_date").cast("date")).alias("analysis_year"))
-    own, context, source = _history_columns(history, registry)
-    df = _chosen(link_as_of(asked, history, lives=lives, context=context, source=source, **options), registry, None)
-    df = _rurality(_values(df, registry, HISTORY_SOURCE, (*st.USABLE, "previous_life")), registry)
+    own, context, source = _history_columns(history, registry, registry)
+    df = _chosen(link_as_of(_dated(cohort), history, lives=lives, context=context, source=source, **options), registry, None)
+    df = _rurality(_values(df, registry, HISTORY_SOURCE, DATED, registry, _types(history, registry)), registry, registry)
     return _shaped(df, registry, own, True, ["first_introduced_on", "previous_life_deleted_on", "next_life_introduced_on", "matched_pc_base"])
 
 
@@ -151,7 +184,7 @@ SHORT = ["id", "postcode", "address_date", "postcode_status", "simd_status", "si
 
 
 def on_date_short(cohort: DataFrame, history: DataFrame, registry: Registry = REGISTRY, lives: Lives = Lives(), **options) -> DataFrame:
-    """The dated result on a few columns, with the 6-fold class in words. Unread columns never leave the directory."""
+    """The dated result on a few columns, with the 6-fold class in words."""
     from ..registry import SIXFOLD_LABELS
     words = F.create_map(*[F.lit(x) for kv in SIXFOLD_LABELS.items() for x in kv])[F.col("rurality_6fold").cast("int")]
     return on_date(cohort, history, registry, lives, **options).select(*SHORT, words.alias("rurality_6fold_label"))
@@ -171,5 +204,7 @@ def lookup_throughout(cohort: DataFrame, main: DataFrame, edition: str, registry
 
 def _lookup(asked, main, registry, lives, edition, options) -> DataFrame:
     own = _own_fields(main, LOOKUP_HEADER)
-    df = link_lookup(asked, main, lives=lives, context=[*own, LOOKUP_SOURCE["release"]], source=_stored(main, registry), **options)
-    return _shaped(_values(_chosen(df, registry, edition), registry, LOOKUP_SOURCE, st.USABLE), registry, own, False, [])
+    used = _used(registry, edition)
+    df = link_lookup(asked, main, lives=lives, context=[*own, LOOKUP_SOURCE["release"]], source=_stored(main, registry, used), **options)
+    df = _values(_chosen(df, registry, edition), registry, LOOKUP_SOURCE, st.USABLE, used, _types(main, registry))
+    return _shaped(df, registry, own, False, [])

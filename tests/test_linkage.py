@@ -258,3 +258,14 @@ def test_rows_of_a_cohort_are_not_shuffled_with_what_the_directory_carries(spark
     assert moved.columns == stayed.columns and sorted(map(repr, got)) == sorted(map(repr, stayed.collect()))
     of = {(r[f"source_{columns[0]}"], r[f"source_{columns[1]}"]) for r in got if r["matched_pc_norm"] == "AB11AB"}
     assert of <= {(None, 5), (5, None)} and (5, None) in of
+
+
+def test_a_report_of_one_edition_reads_no_other(spark):
+    """Unread values are not worked out, however they could be: types and columns are those of all editions."""
+    h = directory(spark, life(seed=2))
+    other = h.withColumns({c: F.raise_error(F.lit("read")).cast(h.schema[c].dataType) for c in ("simd2020v2_rank", "simd2004_pw_hb_decile", "urbanrural2003_2004_6fold")})
+    c = cohort(spark, [(1, "AB1 1AA"), (2, "ZZ1 1ZZ")], "id int, postcode string")
+    for how in ("auto", "sorted"):
+        out = rp.throughout(c, other, "2012", strategy=how)
+        assert out.schema.simpleString() == rp.throughout(c, h, "none such").schema.simpleString()
+        assert {r["id"]: (r["simd_rank"], r["simd_status"]) for r in out.collect()} == {1: (stored(2)["simd2012_rank"], "matched"), 2: (None, "not_found")}
